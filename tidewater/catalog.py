@@ -282,3 +282,123 @@ def q_e0(spark, sf):
     from pyspark.sql import Window
     return top.select(F.row_number().over(Window.orderBy(F.col("publish_datetime").desc(), "article_id"))
                       .alias("rank"), "article_id", "canonical_url", "title", "summary")
+
+
+# --------------------------------------------------------------------------
+# 3. landed model answers
+# --------------------------------------------------------------------------
+from . import fixture_sql  # noqa: E402
+from .functions import llm_json as lj  # noqa: E402
+from .functions import prompts  # noqa: E402
+
+
+def answers(spark, sf) -> DataFrame:
+    """One model answer / response body per event (see fixture_sql)."""
+    t(spark, sf, "events").createOrReplaceTempView("events")
+    return spark.sql(fixture_sql.ANSWERS)
+
+
+def heuristic_for_answers(a: DataFrame) -> DataFrame:
+    """Heuristic payload (the fallback) of each answer's article."""
+    none = F.lit(None).cast("string")
+    return a.withColumn("fallback", F.struct(
+        text.build_summary("title", none, none).alias("summary"),
+        text.topic_flag("title", none, none).alias("mentions_cooling_or_water"),
+        F.lit(None).cast("string").alias("cooling_water_summary"),
+        F.array().cast(f"array<{lj.PERSON_T}>").alias("people"),
+        text.heuristic_companies("event_type", "title").alias("companies"),
+        none.alias("full_text"),
+        F.lit("US").alias("country")))
+
+
+@query("S9_llm_response_scan")
+def q_s9(spark, sf):
+    return answers(spark, sf).select("event_id", lj.llm_response_content("response_body").alias("content"))
+
+
+@query("D8_json_object_from_text")
+def q_d8(spark, sf):
+    a = answers(spark, sf).select("event_id", lj.json_object_from_text("extraction_answer").alias("v"))
+    return a.select("event_id", F.col("v").isNotNull().alias("parsed_ok"),
+                    lj.as_str(lj.vfield(F.col("v"), "summary")).alias("summary"),
+                    lj.as_str(lj.vfield(F.col("v"), "country")).alias("country"))
+
+
+@query("D9_strip_fence_parse")
+def q_d9(spark, sf):
+    a = answers(spark, sf).select("event_id", lj.briefing_fields(lj.parse_fenced_json("briefing_answer")).alias("b"))
+    return a.select("event_id", "b.summary", "b.author", F.array_join("b.entities", "|").alias("entities"),
+                    "b.relevance_score")
+
+
+@query("D10_extraction_score")
+def q_d10(spark, sf):
+    a = answers(spark, sf).select("event_id", lj.json_object_from_text("extraction_answer").alias("v"))
+    a = a.filter(F.col("v").isNotNull()).select("event_id", lj.extraction_score(F.col("v")).alias("score"))
+    return a.withColumn("passes", F.col("score") >= lj.MIN_CONFIDENCE)
+
+
+def _normalized(spark, sf) -> DataFrame:
+    a = heuristic_for_answers(answers(spark, sf))
+    a = a.select("event_id", "fallback", lj.json_object_from_text("extraction_answer").alias("v"))
+    return a.filter(F.col("v").isNotNull()).select(
+        "event_id", lj.normalize_extraction(F.col("v"), F.col("fallback")).alias("x"))
+
+
+def _extraction_cols(x: str = "x"):
+    return [F.col(f"{x}.summary").alias("summary"),
+            F.col(f"{x}.mentions_cooling_or_water").alias("mentions_cooling_or_water"),
+            F.col(f"{x}.cooling_water_summary").alias("cooling_water_summary"),
+            F.col(f"{x}.country").alias("country"),
+            F.size(f"{x}.people").alias("n_people"), F.size(f"{x}.companies").alias("n_companies")]
+
+
+@query("D11_normalise_extraction")
+def q_d11(spark, sf):
+    return _normalized(spark, sf).select("event_id", *_extraction_cols())
+
+
+@query("D12_normalise_people")
+def q_d12(spark, sf):
+    n = _normalized(spark, sf).select("event_id", F.posexplode("x.people").alias("elem_pos", "p"))
+    return n.select("event_id", "elem_pos", "p.full_name", "p.primary_title", "p.primary_company",
+                    "p.lead_relevance", "p.notes")
+
+
+@query("D13_normalise_companies")
+def q_d13(spark, sf):
+    n = _normalized(spark, sf).select("event_id", F.posexplode("x.companies").alias("elem_pos", "c"))
+    return n.select("event_id", "elem_pos", "c.name", "c.sector", "c.country", "c.notes")
+
+
+@query("P15_extraction_fallback")
+def q_p15(spark, sf):
+    a = heuristic_for_answers(answers(spark, sf))
+    v = lj.json_object_from_text("extraction_answer")
+    a = a.select("event_id", lj.choose_extraction("extraction_answer", F.col("fallback")).alias("x"),
+                 (v.isNotNull() & (lj.extraction_score(v) >= lj.MIN_CONFIDENCE)).alias("used_answer"))
+    return a.select("event_id", *_extraction_cols(), "used_answer")
+
+
+@query("P16_primary_fallback_answer")
+def q_p16(spark, sf):
+    a = answers(spark, sf)
+    v = lj.primary_or_fallback("briefing_answer", "primary_error", "fallback_answer")
+    a = a.select("event_id", lj.briefing_fields(v).alias("b"),
+                 F.when(F.col("primary_error").isNull(), F.lit("primary")).otherwise(F.lit("fallback"))
+                 .alias("answered_by"))
+    return a.select("event_id", "b.summary", "b.author", F.array_join("b.entities", "|").alias("entities"),
+                    "b.relevance_score", "answered_by")
+
+
+@query("S7_llm_request_projection")
+def q_s7(spark, sf):
+    a = doc_articles(spark, sf)
+    return a.select("doc_id", prompts.extraction_request("extraction-model", "title", "summary_text", "full_text")
+                    .alias("request_json"))
+
+
+@query("S8_briefing_prompt_projection")
+def q_s8(spark, sf):
+    a = doc_articles(spark, sf)
+    return a.select("doc_id", prompts.briefing_prompt("title", "full_text", "summary_text").alias("prompt"))

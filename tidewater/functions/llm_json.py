@@ -79,18 +79,38 @@ def truthy(v: Column) -> Column:
 
 def llm_response_content(body) -> Column:
     """``choices[0].message.content`` of a chat-completions body, when a string."""
-    v = F.try_parse_json(col_(body))
+    v = strict_parse_json(col_(body))
     content = F.try_variant_get(v, "$.choices[0].message.content", "variant")
     return as_str(content)
 
 
+_JSON_SCALAR = r"^(-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|\"(?s:.*)\")$"
+
+
+def strict_parse_json(text) -> Column:
+    """Parse ``text`` as exactly one JSON value (Python ``json.loads``).
+
+    ``try_parse_json`` stops after the first complete value; requiring the
+    stripped text to end with the closing character of that value's type
+    (or to be a bare scalar) rejects trailing text.  Two concatenated
+    objects ('{..} {..}') still parse as the first.
+    """
+    def body(t):
+        v = F.try_parse_json(t)
+        closes = (F.when(t.startswith("{"), t.endswith("}"))
+                  .when(t.startswith("["), t.endswith("]"))
+                  .otherwise(t.rlike(_JSON_SCALAR)))
+        return F.when(closes, v)
+    return let(py_strip(col_(text)), body)
+
+
 def json_object_from_text(text) -> Column:
     """Strict parse; if that fails, the greedy first-'{'..last-'}' span;
     NULL unless the result is a JSON object."""
     def body(t):
-        strict = F.try_parse_json(t)
+        strict = strict_parse_json(t)
         return let(F.when(strict.isNotNull(), strict)
-                   .otherwise(F.try_parse_json(F.regexp_extract(t, r"(?s)\{.*\}", 0))),
+                   .otherwise(strict_parse_json(F.regexp_extract(t, r"(?s)\{.*\}", 0))),
                    lambda parsed: F.when(truthy_str(t) & is_obj(parsed), parsed))
     return let(col_(text), body)
 
@@ -106,7 +126,7 @@ def strip_code_fence(text) -> Column:
 
 def parse_fenced_json(text) -> Column:
     """Strip a markdown fence, then strict-parse; NULL when invalid."""
-    return F.try_parse_json(py_strip(strip_code_fence(text)))
+    return strict_parse_json(strip_code_fence(text))
 
 
 def briefing_fields(v: Column) -> Column:
