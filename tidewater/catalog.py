@@ -402,3 +402,152 @@ def q_s7(spark, sf):
 def q_s8(spark, sf):
     a = doc_articles(spark, sf)
     return a.select("doc_id", prompts.briefing_prompt("title", "full_text", "summary_text").alias("prompt"))
+
+
+# --------------------------------------------------------------------------
+# 4. entities and links
+# --------------------------------------------------------------------------
+from .operators import entities as ent  # noqa: E402
+from .schemas import PEOPLE as PEOPLE_SCHEMA  # noqa: E402
+from .sinks import tables as sinks  # noqa: E402
+
+
+def views(spark, sf, *names):
+    for n in names:
+        t(spark, sf, n).createOrReplaceTempView(n)
+
+
+def order_articles(spark, sf) -> DataFrame:
+    views(spark, sf, "orders", "customer", "nation", "region")
+    m = spark.sql(fixture_sql.ORDER_MENTIONS)
+    return m.select(
+        *ent.PROVENANCE,
+        F.array(F.struct(F.col("person_name").alias("full_name"), F.col("person_title").alias("primary_title"),
+                         F.col("person_company").alias("primary_company"),
+                         F.col("person_relevance").alias("lead_relevance"),
+                         F.col("person_notes").alias("notes"))).alias("people"),
+        F.array(F.struct(F.col("company1_name").alias("name"), F.lit("Trade").alias("sector"),
+                         F.col("company1_country").alias("country"), F.lit(None).cast("string").alias("notes")),
+                F.struct(F.col("company2_name").alias("name"), F.lit("Region").alias("sector"),
+                         F.lit(None).cast("string").alias("country"), F.lit(None).cast("string").alias("notes"))
+                ).alias("companies"))
+
+
+def existing(spark, sf, what: str) -> DataFrame:
+    views(spark, sf, "orders", "customer", "nation")
+    return spark.sql(getattr(fixture_sql, what))
+
+
+def deduped_companies(spark, sf) -> DataFrame:
+    return dedupe.dedupe_companies(ent.explode_companies(order_articles(spark, sf)))
+
+
+def deduped_people(spark, sf) -> DataFrame:
+    return dedupe.dedupe_people(ent.explode_people(order_articles(spark, sf)))
+
+
+def resolved_people(spark, sf) -> DataFrame:
+    return resolve.resolve_people(deduped_people(spark, sf), existing(spark, sf, "EXISTING_PEOPLE"))
+
+
+AS_OF_TEXT = "2024-01-31 00:00:00"
+
+
+def as_of():
+    """The fixed 'now' of every fixture query."""
+    return F.lit(AS_OF_TEXT).cast("timestamp")
+
+
+def stamped(df: DataFrame) -> DataFrame:
+    """Rows as they would be written: created_at/updated_at = as_of."""
+    return df.withColumn("created_at", as_of()).withColumn("updated_at", as_of())
+
+
+def person_ids(spark, sf) -> DataFrame:
+    r = stamped(resolved_people(spark, sf))
+    return ent.ids_after_insert(r, sinks.required_ok(r, PEOPLE_SCHEMA))
+
+
+def deduped_links(spark, sf) -> DataFrame:
+    views(spark, sf, "orders", "customer", "nation", "region", "lineitem")
+    ll = spark.sql(fixture_sql.LINE_LINKS).withColumn(
+        "person_key", dedupe.person_key("person_name", "person_company"))
+    ll = ll.filter(F.col("person_key").isNotNull())
+    return dedupe.dedupe_relations(ll.select("article_id", "article_pos", "elem_pos", "person_key",
+                                             F.col("person_notes").alias("relation_description")))
+
+
+@query("D14_explode_entities")
+def q_d14(spark, sf):
+    p = ent.explode_people(order_articles(spark, sf))
+    return p.select("article_id", "elem_pos", "full_name", "primary_company", "lead_relevance",
+                    "role_in_article", "person_key", "article_url")
+
+
+@query("A6_company_dedupe")
+def q_a6(spark, sf):
+    return deduped_companies(spark, sf).select("company_key", "name", "sector", "country", "article_url",
+                                               "article_title")
+
+
+@query("A7_person_dedupe")
+def q_a7(spark, sf):
+    return deduped_people(spark, sf).select("person_key", "full_name", "primary_company", "lead_relevance",
+                                            "article_url")
+
+
+@query("A8_relation_dedupe")
+def q_a8(spark, sf):
+    return deduped_links(spark, sf).select("article_id", "person_key", "elem_pos")
+
+
+@query("J3_company_resolve")
+def q_j3(spark, sf):
+    r = resolve.resolve_companies(deduped_companies(spark, sf), existing(spark, sf, "EXISTING_COMPANIES"))
+    return r.select("company_key", "name", "company_id", "is_new")
+
+
+@query("J4_person_resolve")
+def q_j4(spark, sf):
+    return resolved_people(spark, sf).select("person_key", "full_name", "primary_company", "person_id", "is_new")
+
+
+@query("J5_relation_exists")
+def q_j5(spark, sf):
+    links = deduped_links(spark, sf).join(person_ids(spark, sf), "person_key")
+    return resolve.relation_exists(links, existing(spark, sf, "EXISTING_ARTICLE_PEOPLE")) \
+        .select("article_id", "person_id")
+
+
+@query("J6_link_person_join")
+def q_j6(spark, sf):
+    linked, missing = resolve.link_person_ids(deduped_links(spark, sf), person_ids(spark, sf))
+    return linked.withColumn("status", F.lit("linked")).unionByName(
+        missing.withColumn("status", F.lit("missing"))).select("article_id", "person_key", "person_id", "status")
+
+
+@query("J9_failure_provenance")
+def q_j9(spark, sf):
+    r = stamped(resolved_people(spark, sf).filter("is_new"))
+    _, bad = sinks.split_valid(r, PEOPLE_SCHEMA)
+    return bad.select(F.lit("person_insert").alias("stage"), "person_key", "full_name", "article_url",
+                      "article_title")
+
+
+@query("P12_case_insensitive_equality")
+def q_p12(spark, sf):
+    c = deduped_companies(spark, sf)
+    ex = existing(spark, sf, "EXISTING_COMPANIES")
+    return (c.join(ex.withColumnRenamed("name", "existing_name"),
+                   resolve.case_insensitive_equal(F.col("name"), F.col("existing_name")))
+            .select("company_key", "company_id"))
+
+
+@query("P13_null_safe_company_match")
+def q_p13(spark, sf):
+    p = deduped_people(spark, sf)
+    ex = existing(spark, sf, "EXISTING_PEOPLE").select("person_id", F.col("full_name").alias("ex_name"),
+                                                       F.col("primary_company").alias("ex_company"))
+    cond = (F.lower("full_name") == F.lower("ex_name")) & \
+        resolve.null_safe_company_match(F.col("primary_company"), F.col("ex_company"))
+    return p.join(ex, cond).select("person_key", "person_id")

@@ -72,3 +72,43 @@ SELECT event_id, user_id, event_type, k,
        CASE WHEN event_type = 'error' THEN 'API Error' END AS primary_error,
        {RESPONSE_BODY} AS response_body
 FROM (SELECT *, {K} AS k FROM events) e"""
+
+# Orders as articles that mention their customer (a person at the
+# customer's nation) and two companies: the nation and the region.
+# Name spellings vary with order status / priority so that keys collide.
+ORDER_MENTIONS = """
+SELECT o.o_orderkey AS article_id, o.o_orderkey AS article_pos,
+  'https://news.example.com/orders/' || CAST(o.o_orderkey AS STRING) AS article_url,
+  'Order ' || CAST(o.o_orderkey AS STRING) || ' ' || o.o_orderpriority AS article_title,
+  CASE o.o_orderstatus WHEN 'F' THEN c.c_name WHEN 'O' THEN lower(c.c_name) ELSE ' ' || c.c_name || ' ' END
+    AS person_name,
+  'Buyer' AS person_title,
+  CASE WHEN c.c_acctbal < 0 THEN NULL ELSE n.n_name END AS person_company,
+  CASE c.c_mktsegment WHEN 'BUILDING' THEN 'High' WHEN 'MACHINERY' THEN 'Medium' WHEN 'HOUSEHOLD' THEN NULL
+       ELSE 'Low' END AS person_relevance,
+  'Ordered ' || o.o_orderpriority AS person_notes,
+  CASE o.o_orderpriority WHEN '1-URGENT' THEN lower(n.n_name) WHEN '2-HIGH' THEN ' ' || n.n_name || ' '
+       ELSE n.n_name END AS company1_name,
+  r.r_name AS company1_country,
+  r.r_name AS company2_name
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey"""
+
+# Stored tables the run resolves against.
+EXISTING_COMPANIES = """
+SELECT CAST(n_nationkey + 1000 AS BIGINT) AS company_id, lower(n_name) AS name FROM nation WHERE n_regionkey < 2
+UNION ALL
+SELECT CAST(n_nationkey + 2000 AS BIGINT) AS company_id, lower(n_name) AS name FROM nation WHERE n_regionkey = 0"""
+
+EXISTING_PEOPLE = """
+SELECT c.c_custkey AS person_id, c.c_name AS full_name,
+       CASE WHEN c.c_acctbal < 0 THEN NULL ELSE n.n_name END AS primary_company
+FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey WHERE c.c_mktsegment = 'BUILDING'"""
+
+EXISTING_ARTICLE_PEOPLE = "SELECT o_orderkey AS article_id, o_custkey AS person_id FROM orders WHERE o_orderstatus = 'F'"
+
+# Every line item of an order mentions the order's customer again.
+LINE_LINKS = """
+SELECT l.l_orderkey AS article_id, l.l_orderkey AS article_pos, l.l_linenumber AS elem_pos,
+       m.person_name, m.person_company, m.person_notes
+FROM lineitem l JOIN (""" + ORDER_MENTIONS + """) m ON m.article_id = l.l_orderkey"""

@@ -31,7 +31,8 @@ def first_wins(df: DataFrame, key: Column | str, order: Sequence[str],
     best = (keyed.groupBy(key_name)
             .agg(F.min_by(F.struct(*[F.col(c) for c in cols]),
                           F.struct(*[F.col(c) for c in order])).alias("_row")))
-    return best.select(*[F.col("_row")[c].alias(c) for c in cols], key_name)
+    extra = [] if key_name in cols else [key_name]
+    return best.select(*[F.col("_row")[c].alias(c) for c in cols], *extra)
 
 
 def company_key(name) -> Column:
