@@ -474,7 +474,8 @@ def deduped_links(spark, sf) -> DataFrame:
         "person_key", dedupe.person_key("person_name", "person_company"))
     ll = ll.filter(F.col("person_key").isNotNull())
     return dedupe.dedupe_relations(ll.select("article_id", "article_pos", "elem_pos", "person_key",
-                                             F.col("person_notes").alias("relation_description")))
+                                             F.col("person_notes").alias("relation_description"),
+                                             "article_url", "article_title"))
 
 
 @query("D14_explode_entities")
@@ -551,3 +552,198 @@ def q_p13(spark, sf):
     cond = (F.lower("full_name") == F.lower("ex_name")) & \
         resolve.null_safe_company_match(F.col("primary_company"), F.col("ex_company"))
     return p.join(ex, cond).select("person_key", "person_id")
+
+
+# --------------------------------------------------------------------------
+# 5. writes, failures, stats
+# --------------------------------------------------------------------------
+from .functions import errors  # noqa: E402
+from .plans import ingest as ingest_plan  # noqa: E402
+from .schemas import ARTICLES as ARTICLES_SCHEMA  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sinks import failures as fl  # noqa: E402
+
+
+def error_rows(spark, sf) -> DataFrame:
+    views(spark, sf, "events")
+    return spark.sql(fixture_sql.ERRORS)
+
+
+@query("D15_error_classification")
+def q_d15(spark, sf):
+    e = error_rows(spark, sf)
+    return e.select("event_id", "error_type", errors.classify_error("error_type", "error_message").alias("error_kind"))
+
+
+@query("D16_retry_decision")
+def q_d16(spark, sf):
+    e = error_rows(spark, sf).withColumn("error_kind", errors.classify_error("error_type", "error_message"))
+    retry, delay = errors.retry_decision("error_kind", "attempt")
+    return e.select("event_id", "attempt", "error_kind", retry.alias("retry"), delay.alias("delay_seconds"))
+
+
+def run_window():
+    ws, we = fixture_sql.RUN_WINDOW
+    return F.lit(ws).cast("date"), F.lit(we).cast("date")
+
+
+def failures_fixture(spark, sf) -> DataFrame:
+    """Dead-letter rows of one run: failed extractions (events of type
+    'error'), failed person inserts and links without a person id."""
+    rid = F.lit(fixture_sql.RUN_ID)
+    ws, we = run_window()
+    ext = error_rows(spark, sf).filter(F.col("event_type") == "error")
+    bad_people = sinks.split_valid(stamped(resolved_people(spark, sf).filter("is_new")), PEOPLE_SCHEMA)[1]
+    _, missing = resolve.link_person_ids(deduped_links(spark, sf), person_ids(spark, sf))
+    return fl.union_failures([
+        fl.extract_failures(ext, rid, ws, we, as_of()),
+        fl.insert_failures(bad_people, "person_insert", "full_name", rid, ws, we, as_of()),
+        fl.link_failures(missing, rid, ws, we, as_of()),
+    ])
+
+
+@query("K4_dead_letter_rows")
+def q_k4(spark, sf):
+    return failures_fixture(spark, sf)
+
+
+@query("U2_failure_union")
+def q_u2(spark, sf):
+    return failures_fixture(spark, sf).groupBy("stage", "error_kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("K2_validated_append")
+def q_k2(spark, sf):
+    r = stamped(resolved_people(spark, sf).filter("is_new"))
+    ok, bad = sinks.split_valid(r, PEOPLE_SCHEMA)
+    path = scratch_path(spark, "people")
+    sinks.append(ok, path, PEOPLE_SCHEMA)
+    stored = spark.read.schema(PEOPLE_SCHEMA).parquet(path)
+    return stored.select("person_id", "full_name", F.lit("inserted").alias("status")).unionByName(
+        bad.select("person_id", "full_name", F.lit("rejected").alias("status")))
+
+
+@query("K3_insert_only_merge")
+def q_k3(spark, sf):
+    """Merge the run's links into article_people twice: the second run adds nothing."""
+    linked, _ = resolve.link_person_ids(deduped_links(spark, sf), person_ids(spark, sf))
+    src = linked.select("article_id", "person_id", "role_in_article" if "role_in_article" in linked.columns
+                        else F.lit("Mentioned").alias("role_in_article"), "relation_description",
+                        as_of().alias("created_at")).dropDuplicates(["article_id", "person_id"])
+    path = scratch_path(spark, "article_people")
+    base = existing(spark, sf, "EXISTING_ARTICLE_PEOPLE").select(
+        "article_id", "person_id", F.lit("Mentioned").alias("role_in_article"),
+        F.lit(None).cast("string").alias("relation_description"), as_of().alias("created_at"))
+    from .schemas import ARTICLE_PEOPLE
+    sinks.append(base, path, ARTICLE_PEOPLE)
+    for _ in range(2):
+        target = spark.read.schema(ARTICLE_PEOPLE).parquet(path)
+        sinks.append(sinks.merge_insert_only(src, target, ["article_id", "person_id"]), path, ARTICLE_PEOPLE)
+    return spark.read.schema(ARTICLE_PEOPLE).parquet(path).select("article_id", "person_id")
+
+
+def page_feed(spark, sf, copies: int = 2) -> DataFrame:
+    """pages as feed entries of 7-day backfill windows (two keyword copies)."""
+    a = t(spark, sf, "pages").select(
+        "page_id", "url",
+        text.html_unescape(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"),
+        F.regexp_extract("url", r"//([^/?#]+)", 1).alias("source_name"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("page_id") * 7))
+        .alias("publish_datetime"))
+    start = F.lit("2024-01-01").cast("date")
+    a = a.withColumn("window_start", F.date_add(start, (F.floor(
+        F.datediff(F.to_date("publish_datetime"), start) / 7) * 7).cast("int")))
+    a = a.withColumn("window_end", F.date_add("window_start", 6))
+    out = None
+    for k in range(copies):
+        d = a.select("window_start", "window_end", F.lit(k).alias("kw_pos"), F.col("page_id").alias("entry_pos"),
+                     "title", "url", "source_name", "publish_datetime",
+                     F.lit(None).cast("string").alias("summary"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def page_run(spark, sf) -> ingest_plan.RunOutput:
+    pages = urls.with_canonical_url(t(spark, sf, "pages"), "url", "canonical_url")
+    # landed fetches are keyed by URL: one page per canonical URL
+    pages = dedupe.first_wins(pages.select(F.col("canonical_url").alias("url"), "html", "page_id"),
+                              F.col("url"), ["page_id"], "_pk").select("url", "html")
+    known = known_pages(spark, sf).select(urls.canonical_url("url").alias("url"))
+    empty_people = existing(spark, sf, "EXISTING_PEOPLE")
+    return ingest_plan.ingest(page_feed(spark, sf), pages, known, existing(spark, sf, "EXISTING_COMPANIES"),
+                              empty_people, existing(spark, sf, "EXISTING_ARTICLE_PEOPLE"),
+                              fixture_sql.RUN_ID, as_of())
+
+
+ARTICLE_COLS = ["article_id", "title", "summary", "url", "source_name", "publish_datetime", "language", "country",
+                "mentions_cooling_or_water", "cooling_water_summary", "created_at"]
+
+
+@query("P3_article_row_projection")
+def q_p3(spark, sf):
+    return page_run(spark, sf).articles.select(*ARTICLE_COLS, F.length("full_text").alias("full_text_chars"))
+
+
+@query("K1_append")
+def q_k1(spark, sf):
+    path = scratch_path(spark, "articles")
+    sinks.append(page_run(spark, sf).articles, path, ARTICLES_SCHEMA)
+    return spark.read.schema(ARTICLES_SCHEMA).parquet(path).select(*ARTICLE_COLS)
+
+
+@query("A3_run_stats")
+def q_a3(spark, sf):
+    return page_run(spark, sf).stats
+
+
+@query("K12_run_event_rows")
+def q_k12(spark, sf):
+    return page_run(spark, sf).events
+
+
+@query("U1_union_batches")
+def q_u1(spark, sf):
+    from .operators.batches import union_batches
+    ev = t(spark, sf, "events").select("event_id", "event_type")
+    batches = [(i, ev.filter(F.col("event_type") == b), b in fixture_sql.FAILED_BATCHES)
+               for i, b in enumerate(fixture_sql.BATCHES)]
+    return union_batches(batches).select("event_id", "kw_pos")
+
+
+@query("A2_row_count")
+def q_a2(spark, sf):
+    names = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+             "labels conversations").split()
+    out = None
+    for n in names:
+        d = t(spark, sf, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n",
+                                                                     (F.col("n") == 0).alias("is_empty"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def sheet_rows(spark, sf) -> DataFrame:
+    a = answers(spark, sf).select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("title"),
+        F.concat(F.lit("https://news.example.com/events/"), F.col("event_id").cast("string")).alias("url"),
+        lj.briefing_fields(lj.parse_fenced_json("briefing_answer")).alias("b"))
+    return a.select("date", "title", "url", F.col("b.summary").alias("summary"), F.col("b.author").alias("author"),
+                    F.array_join("b.entities", ", ").alias("entities"))
+
+
+@query("K5_sheet_row_append")
+def q_k5(spark, sf):
+    from .sinks.exports import SHEET_COLUMNS, append_sheet_rows
+    path = scratch_path(spark, "sheet")
+    append_sheet_rows(sheet_rows(spark, sf), path)
+    back = spark.read.option("header", True).schema(", ".join(f"{c} string" for c in SHEET_COLUMNS)).csv(path)
+    return back.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in SHEET_COLUMNS])
+
+
+@query("S5_url_column_scan")
+def q_s5(spark, sf):
+    from .sinks.exports import append_sheet_rows
+    from .sources.sheets import url_column
+    path = scratch_path(spark, "sheet")
+    append_sheet_rows(sheet_rows(spark, sf), path)
+    return url_column(spark, path)

@@ -64,7 +64,7 @@ RESPONSE_BODY = """CASE event_id % 7
 END"""
 
 ANSWERS = f"""
-SELECT event_id, user_id, event_type, k,
+SELECT event_id, ts, user_id, event_type, k,
        'Event ' || CAST(event_id AS STRING) || ' ' || event_type AS title,
        {EXTRACTION_ANSWER} AS extraction_answer,
        {BRIEFING_ANSWER} AS briefing_answer,
@@ -110,5 +110,22 @@ EXISTING_ARTICLE_PEOPLE = "SELECT o_orderkey AS article_id, o_custkey AS person_
 # Every line item of an order mentions the order's customer again.
 LINE_LINKS = """
 SELECT l.l_orderkey AS article_id, l.l_orderkey AS article_pos, l.l_linenumber AS elem_pos,
-       m.person_name, m.person_company, m.person_notes
+       m.person_name, m.person_company, m.person_notes, m.article_url, m.article_title
 FROM lineitem l JOIN (""" + ORDER_MENTIONS + """) m ON m.article_id = l.l_orderkey"""
+
+# Failed calls: exception name by event type, message with a status code.
+ERRORS = """
+SELECT event_id, event_type, k, k % 3 + 1 AS attempt,
+  'https://news.example.com/events/' || CAST(event_id AS STRING) AS article_url,
+  'Event ' || CAST(event_id AS STRING) || ' ' || event_type AS article_title,
+  CASE event_type WHEN 'error' THEN 'ReadTimeout' WHEN 'click' THEN 'ConnectError'
+       WHEN 'purchase' THEN 'HTTPStatusError' WHEN 'view' THEN 'ServiceUnavailable' ELSE 'ValueError' END AS error_type,
+  CASE WHEN event_type = 'signup' AND k % 10 = 0 THEN 'read timeout while waiting'
+       ELSE 'Server error ' || CAST(300 + k * 3 AS STRING) || ' for url' END AS error_message
+FROM (SELECT *, """ + K + """ AS k FROM events) e"""
+
+RUN_ID = "run_fixture"
+RUN_WINDOW = ("2024-01-01", "2024-01-31")
+# "Keyword" batches of the fixture: one per event type; the 'error' batch failed.
+BATCHES = ["click", "error", "purchase", "signup", "view"]
+FAILED_BATCHES = ["error"]

@@ -16,27 +16,27 @@ from .dedupe import person_key
 PROVENANCE = ["article_id", "article_pos", "article_url", "article_title"]
 
 
-def explode_companies(articles: DataFrame, col: str = "companies") -> DataFrame:
+def explode_companies(articles: DataFrame, col: str = "companies", keep=()) -> DataFrame:
     """D14 (companies): one row per company element, with provenance."""
-    e = articles.select(*PROVENANCE, F.posexplode(col).alias("elem_pos", "_c"))
-    return e.select(*PROVENANCE, "elem_pos", *[F.col(f"_c.{f}").alias(f) for f in
-                                               ("name", "sector", "country", "notes")])
+    e = articles.select(*PROVENANCE, *keep, F.posexplode(col).alias("elem_pos", "_c"))
+    return e.select(*PROVENANCE, *keep, "elem_pos", *[F.col(f"_c.{f}").alias(f) for f in
+                                                      ("name", "sector", "country", "notes")])
 
 
-def explode_people(articles: DataFrame, col: str = "people") -> DataFrame:
+def explode_people(articles: DataFrame, col: str = "people", keep=()) -> DataFrame:
     """D14 (people): one row per person element; role defaults to
     'Mentioned'; ``person_key`` is NULL for a blank name."""
-    e = articles.select(*PROVENANCE, F.posexplode(col).alias("elem_pos", "_p"))
+    e = articles.select(*PROVENANCE, *keep, F.posexplode(col).alias("elem_pos", "_p"))
     fields = ("full_name", "primary_title", "primary_company", "lead_relevance", "notes")
-    out = e.select(*PROVENANCE, "elem_pos", *[F.col(f"_p.{f}").alias(f) for f in fields])
+    out = e.select(*PROVENANCE, *keep, "elem_pos", *[F.col(f"_p.{f}").alias(f) for f in fields])
     return (out.withColumn("role_in_article", F.lit(DEFAULT_ROLE))
                .withColumn("person_key", person_key("full_name", "primary_company")))
 
 
-def links_from_people(people_rows: DataFrame) -> DataFrame:
+def links_from_people(people_rows: DataFrame, keep=()) -> DataFrame:
     """Article-person link candidates (rows whose person has a key)."""
     return people_rows.filter(F.col("person_key").isNotNull()).select(
-        *PROVENANCE, "elem_pos", "person_key", "role_in_article",
+        *PROVENANCE, *keep, "elem_pos", "person_key", "role_in_article",
         F.col("notes").alias("relation_description"))
 
 
