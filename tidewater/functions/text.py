@@ -94,33 +94,63 @@ def meta_description(h: Column) -> Column:
     return content
 
 
-def paragraphs(c) -> Column:
-    """All <p> texts of a page (noise removed), in document order.
+_META_SEP, _NO_REGIONS = "\u0004", "\u0005"
 
-    A paragraph ends at the next <p>, </p>, </article> or </body>.
-    """
-    h = _drop_elements(col_(c), ["script", "style"])
+
+def _strip_noise(html: Column) -> Column:
+    h = _drop_elements(html, ["script", "style"])
     h = _drop_comments(h)
-    h = _drop_elements(h, [t for t in NOISE_TAGS if t not in ("script", "style")])
+    return _drop_elements(h, [t for t in NOISE_TAGS if t not in ("script", "style")])
+
+
+def _regions(h: Column) -> Column:
+    """Raw text of each <p> (up to its end marker), tags turned to NODE."""
     h = F.regexp_replace(h, r"(?i)<p\b[^>]*>", P_OPEN)
     h = F.regexp_replace(h, r"(?i)</(p|article|body)\s*>", P_CLOSE)
     h = F.regexp_replace(h, r"(?s)<[^>]*>", NODE)
-    regions = F.transform(F.slice(F.split(h, P_OPEN), 2, 1 << 30),
-                          lambda x: F.substring_index(x, P_CLOSE, 1))
-    decoded = F.split(html_unescape(F.array_join(regions, P_OPEN)), P_OPEN)
-    return F.when(F.size(regions) > 0, F.transform(decoded, _nodes_to_text)) \
-        .otherwise(F.array().cast("array<string>"))
+    return F.transform(F.slice(F.split(h, P_OPEN), 2, 1 << 30), lambda x: F.substring_index(x, P_CLOSE, 1))
+
+
+def page_parts(c) -> Column:
+    """struct<meta: string, paragraphs: array<string>> of a page.
+
+    The noise-stripped HTML is computed once; meta content and paragraph
+    regions travel through a single entity-decoding UDF call, so no regex
+    pass over the page is repeated.
+    """
+    # (inside a UDF argument a nested lambda must not capture an outer lambda
+    # variable, or Spark cannot extract the UDF: pass values via a struct)
+    def pack(h):
+        return let(F.struct(_regions(h).alias("r"), meta_description(h).alias("m")), lambda s: F.concat(
+            F.coalesce(s["m"], F.lit("")), F.lit(_META_SEP),
+            F.when(F.size(s["r"]) > 0, F.array_join(s["r"], P_OPEN)).otherwise(F.lit(_NO_REGIONS))))
+    decoded = html_unescape(let(_strip_noise(col_(c)), pack))
+
+    def unpack(d):
+        meta = F.substring_index(d, _META_SEP, 1)
+        rest = F.substring(d, F.length(meta) + 2, 1 << 30)
+        paras = F.when(rest == _NO_REGIONS, F.array().cast("array<string>")) \
+            .otherwise(F.transform(F.split(rest, P_OPEN), _nodes_to_text))
+        return F.struct(F.when(meta != "", meta).alias("meta"), paras.alias("paragraphs"))
+    return let(decoded, unpack)
+
+
+def paragraphs(c) -> Column:
+    """All <p> texts of a page (noise removed), in document order.
+
+    A paragraph ends at the next <p>, </p>, </article> or </body>.
+    """
+    return page_parts(c)["paragraphs"]
 
 
 def page_main_text(c, max_paragraphs: int = MAX_PARAGRAPHS,
                    min_chars: int = MIN_PARAGRAPH_CHARS) -> Column:
     """Long paragraphs (first N joined by ' '), else meta description."""
-    html = col_(c)
-    long_ps = F.filter(paragraphs(html), lambda p: F.length(p) > min_chars)
-    joined = let(long_ps, lambda ps: F.when(F.size(ps) > 0, F.array_join(F.slice(ps, 1, max_paragraphs), " ")))
-    # (the UDF must stay outside lambda bodies)
-    meta = py_strip(html_unescape(meta_description(_drop_elements(_drop_comments(html), NOISE_TAGS))))
-    return F.coalesce(joined, meta)
+    def body(parts):
+        long_ps = F.filter(parts["paragraphs"], lambda p: F.length(p) > min_chars)
+        joined = let(long_ps, lambda ps: F.when(F.size(ps) > 0, F.array_join(F.slice(ps, 1, max_paragraphs), " ")))
+        return F.coalesce(joined, py_strip(parts["meta"]))
+    return let(page_parts(c), body)
 
 
 def sentences(c) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, text, urls
+from ..functions.strings import let
 from ..functions import llm_json as lj
 from ..operators import dedupe, entities, resolve
 from ..schemas import ARTICLES, COMPANIES, PEOPLE
@@ -34,18 +35,27 @@ INSERTED_EVENT, INSERTED_PREFIX = "pipeline_inserted_article", "Inserted Article
 
 def heuristic_payload(title="title", summary="summary", full_text="full_text", source="source_name",
                       keywords: list[str] = text.TOPIC_KEYWORDS) -> Column:
-    """The extraction payload without a model."""
-    body = text.article_text(title, summary, full_text)
+    """The extraction payload without a model.
+
+    The inputs are bound once (``let``): the page text is referenced by
+    several parts and must not be recomputed per reference.
+    """
+    def c(x):
+        return F.col(x) if isinstance(x, str) else x
     pat = text.keyword_pattern(keywords)
-    flag = F.lower(body).rlike(pat)
-    return F.struct(
-        text.build_summary(title, summary, full_text).alias("summary"),
-        flag.alias("mentions_cooling_or_water"),
-        F.when(flag, text.keyword_sentences(body, pat)).alias("cooling_water_summary"),
-        F.array().cast(f"array<{lj.PERSON_T}>").alias("people"),
-        text.heuristic_companies(source, body).alias("companies"),
-        F.col(full_text).alias("full_text") if isinstance(full_text, str) else full_text.alias("full_text"),
-        F.lit("US").alias("country"))
+    inputs = F.struct(c(title).alias("t"), c(summary).alias("s"), c(full_text).alias("f"), c(source).alias("src"))
+
+    def body(r):
+        t, s, f = r["t"], r["s"], r["f"]
+        return let(text.article_text(t, s, f), lambda b: let(F.lower(b).rlike(pat), lambda flag: F.struct(
+            text.build_summary(t, s, f).alias("summary"),
+            flag.alias("mentions_cooling_or_water"),
+            F.when(flag, text.keyword_sentences(b, pat)).alias("cooling_water_summary"),
+            F.array().cast(f"array<{lj.PERSON_T}>").alias("people"),
+            text.heuristic_companies(r["src"], b).alias("companies"),
+            f.alias("full_text"),
+            F.lit("US").alias("country"))))
+    return let(inputs, body)
 
 
 def article_rows(df: DataFrame, extracted: str, now: Column, keep=()) -> DataFrame:
