@@ -747,3 +747,164 @@ def q_s5(spark, sf):
     path = scratch_path(spark, "sheet")
     append_sheet_rows(sheet_rows(spark, sf), path)
     return url_column(spark, path)
+
+
+# --------------------------------------------------------------------------
+# 6. report and briefing
+# --------------------------------------------------------------------------
+from .functions import dates  # noqa: E402
+from .operators import briefing as brief  # noqa: E402
+from .operators import report  # noqa: E402
+
+
+def report_as_of():
+    return F.lit(fixture_sql.REPORT_AS_OF).cast("timestamp")
+
+
+def report_tables(spark, sf):
+    views(spark, sf, "events", "customer", "nation")
+    return (spark.sql(fixture_sql.REPORT_ARTICLES), spark.sql(fixture_sql.REPORT_FAILURES),
+            spark.sql(fixture_sql.REPORT_ARTICLE_PEOPLE), spark.sql(fixture_sql.REPORT_PEOPLE))
+
+
+def recent(spark, sf):
+    arts, _, _, _ = report_tables(spark, sf)
+    return report.recent_articles(arts, report_as_of(), fixture_sql.REPORT_DAYS)
+
+
+def report_links(spark, sf):
+    arts, _, ap, ppl = report_tables(spark, sf)
+    return report.people_links(ap, ppl, report.recent_articles(arts, report_as_of(), fixture_sql.REPORT_DAYS))
+
+
+@query("P5_publish_window_predicate")
+def q_p5(spark, sf):
+    e = t(spark, sf, "events")
+    return e.filter(dates.in_publish_window("ts", F.lit("2024-01-08").cast("date"), F.lit("2024-01-14").cast("date"))) \
+        .select("event_id", "ts")
+
+
+@query("P6_lookback_predicate")
+def q_p6(spark, sf):
+    return recent(spark, sf).select("article_id", "publish_datetime")
+
+
+@query("P8_relevant_filter")
+def q_p8(spark, sf):
+    return recent(spark, sf).filter("mentions_cooling_or_water").select("article_id")
+
+
+@query("P10_polymorphic_date_cast")
+def q_p10(spark, sf):
+    from pyspark.sql import types as T
+    e = t(spark, sf, "events").select(
+        "event_id", "ts", F.to_date("ts").alias("d"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("iso_t"), F.date_format("ts", "yyyy-MM-dd").alias("iso_d"))
+    return e.select("event_id", dates.as_date("ts", T.TimestampType()).alias("from_ts"),
+                    dates.as_date("d", T.DateType()).alias("from_date"),
+                    dates.as_date("iso_t", T.StringType()).alias("from_iso_t"),
+                    dates.as_date("iso_d", T.StringType()).alias("from_iso_d"))
+
+
+@query("P11_null_to_blank")
+def q_p11(spark, sf):
+    return report.presentation(recent(spark, sf))
+
+
+@query("J7_report_people_join")
+def q_j7(spark, sf):
+    _, _, ap, ppl = report_tables(spark, sf)
+    return ap.join(ppl, "person_id", "inner").select("article_id", "full_name", "primary_title", "primary_company",
+                                                     "lead_relevance", "role_in_article")
+
+
+@query("J8_id_list_semi_join")
+def q_j8(spark, sf):
+    return report_links(spark, sf)
+
+
+@query("O2_people_order")
+def q_o2(spark, sf):
+    return report.people_order(report_links(spark, sf))
+
+
+@query("O1_articles_newest_first")
+def q_o1(spark, sf):
+    return report.newest_first(recent(spark, sf))
+
+
+@query("A1_failures_by_stage")
+def q_a1(spark, sf):
+    _, f, _, _ = report_tables(spark, sf)
+    return report.failures_by_stage(f, report_as_of(), fixture_sql.REPORT_DAYS)
+
+
+@query("O3_failure_stages_by_count")
+def q_o3(spark, sf):
+    return report.stages_by_count(q_a1(spark, sf))
+
+
+@query("A4_report_totals")
+def q_a4(spark, sf):
+    return report.totals(recent(spark, sf), report_links(spark, sf))
+
+
+@query("O5_top10_relevant")
+def q_o5(spark, sf):
+    return report.top_relevant(recent(spark, sf)).drop("position")
+
+
+@query("W1_position_numbering")
+def q_w1(spark, sf):
+    return report.top_relevant(recent(spark, sf)).select("position", "article_id")
+
+
+@query("K7_markdown_report_lines")
+def q_k7(spark, sf):
+    r = recent(spark, sf)
+    _, f, _, _ = report_tables(spark, sf)
+    return report.markdown_lines(report.totals(r, report_links(spark, sf)), report.top_relevant(r),
+                                 report.failures_by_stage(f, report_as_of(), fixture_sql.REPORT_DAYS),
+                                 generated=report_as_of(), project=fixture_sql.REPORT_PROJECT,
+                                 dataset=fixture_sql.REPORT_DATASET, days=fixture_sql.REPORT_DAYS,
+                                 files=fixture_sql.REPORT_FILES)
+
+
+@query("K6_csv_report_export")
+def q_k6(spark, sf):
+    from .sinks.exports import write_csv_report
+    r = recent(spark, sf)
+    _, f, _, _ = report_tables(spark, sf)
+    base = scratch_path(spark, "report")
+    outs = {"articles": (report.presentation(report.newest_first(r)), report.ARTICLE_CSV_COLUMNS),
+            "people": (report.presentation(report.people_order(report_links(spark, sf))), report.PEOPLE_CSV_COLUMNS),
+            "failures": (report.stages_by_count(report.failures_by_stage(f, report_as_of(), fixture_sql.REPORT_DAYS)),
+                         report.FAILURE_CSV_COLUMNS)}
+    res = None
+    for name, (df, cols) in outs.items():
+        write_csv_report(df, f"{base}/{name}", cols)
+        back = spark.read.option("header", True).csv(f"{base}/{name}")
+        d = back.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("report"), "n_rows",
+                                                                 F.lit(",".join(back.columns)).alias("header"))
+        res = d if res is None else res.unionByName(d)
+    return res
+
+
+def briefing_articles(spark, sf) -> DataFrame:
+    a = answers(spark, sf).select(
+        F.col("event_id").alias("pos"), "title",
+        F.concat(F.lit("https://news.example.com/events/"), F.col("event_id").cast("string")).alias("url"),
+        lj.parse_fenced_json("briefing_answer").alias("v"))
+    summary = F.when(lj.is_obj(F.col("v")), F.coalesce(
+        lj.as_str(lj.vfield(F.col("v"), "summary")), lj.as_str(lj.vfield(F.col("v"), "brief"))))
+    return a.select("pos", "title", "url", summary.alias("summary"))
+
+
+@query("O6_top3_briefing")
+def q_o6(spark, sf):
+    return brief.top_entries(briefing_articles(spark, sf))
+
+
+@query("K8_briefing_text")
+def q_k8(spark, sf):
+    return brief.briefing_message(briefing_articles(spark, sf))

@@ -129,3 +129,28 @@ RUN_WINDOW = ("2024-01-01", "2024-01-31")
 # "Keyword" batches of the fixture: one per event type; the 'error' batch failed.
 BATCHES = ["click", "error", "purchase", "signup", "view"]
 FAILED_BATCHES = ["error"]
+
+# Stored tables read by the lookback report.
+REPORT_AS_OF, REPORT_DAYS = "2024-01-31 00:00:00", 7
+REPORT_ARTICLES = """
+SELECT event_id AS article_id, 'Event ' || CAST(event_id AS STRING) || ' ' || event_type AS title,
+  'user' || CAST(user_id AS STRING) AS source_name, ts AS publish_datetime,
+  'https://news.example.com/events/' || CAST(event_id AS STRING) AS url,
+  event_type IN ('purchase', 'signup') AS mentions_cooling_or_water,
+  CASE WHEN event_type = 'purchase' AND k % 2 = 0 THEN 'Water note ' || CAST(k AS STRING) END AS cooling_water_summary
+FROM (SELECT *, """ + K + """ AS k FROM events) e"""
+REPORT_FAILURES = "SELECT event_id AS failure_id, event_type AS stage, ts AS created_at FROM events"
+REPORT_ARTICLE_PEOPLE = """
+SELECT event_id AS article_id, user_id AS person_id,
+       CASE WHEN value > 50 THEN 'Quoted' ELSE 'Mentioned' END AS role_in_article FROM events"""
+REPORT_PEOPLE = """
+SELECT c.c_custkey AS person_id, c.c_name AS full_name, CASE WHEN c.c_acctbal < 0 THEN NULL ELSE 'Buyer' END AS primary_title,
+       n.n_name AS primary_company,
+       CASE c.c_mktsegment WHEN 'BUILDING' THEN 'High' WHEN 'MACHINERY' THEN 'Medium' WHEN 'HOUSEHOLD' THEN NULL
+            ELSE 'Low' END AS lead_relevance
+FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey"""
+REPORT_FILES = {"Markdown": "reports/daily_report_20240131_000000.md",
+                "Articles CSV": "reports/articles_20240131_000000.csv",
+                "People CSV": "reports/people_20240131_000000.csv",
+                "Failures CSV": "reports/failures_20240131_000000.csv"}
+REPORT_PROJECT, REPORT_DATASET = "fixture-project", "fixture-dataset"
