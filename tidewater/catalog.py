@@ -908,3 +908,204 @@ def q_o6(spark, sf):
 @query("K8_briefing_text")
 def q_k8(spark, sf):
     return brief.briefing_message(briefing_articles(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# 7. incremental state, windows, landed sources, streaming
+# --------------------------------------------------------------------------
+from .operators import state as st  # noqa: E402
+from .schemas import INGESTION_STATE  # noqa: E402
+from .sources import feeds, manifest  # noqa: E402
+
+
+def state_table(spark, sf) -> DataFrame:
+    views(spark, sf, "events")
+    return spark.sql(fixture_sql.STATE)
+
+
+def state_today():
+    return F.to_date(F.lit(fixture_sql.STATE_AS_OF).cast("timestamp"))
+
+
+def plans(spark, sf) -> DataFrame:
+    return st.plan_runs(state_table(spark, sf), state_today())
+
+
+@query("I1_run_planning")
+def q_i1(spark, sf):
+    return plans(spark, sf).select("state_id", "mode", "window_start", "window_end", "mark_backfill_complete",
+                                   "error")
+
+
+@query("I2_backfill_advance")
+def q_i2(spark, sf):
+    return st.backfill_advance(plans(spark, sf))
+
+
+@query("I3_daily_advance")
+def q_i3(spark, sf):
+    return st.daily_advance(plans(spark, sf), F.lit(fixture_sql.STATE_AS_OF).cast("timestamp"))
+
+
+@query("K9_state_patch")
+def q_k9(spark, sf):
+    now = F.lit(fixture_sql.STATE_AS_OF).cast("timestamp")
+    p = plans(spark, sf)
+    bf = st.backfill_advance(p)
+    dl = st.daily_advance(p, now)
+    patch = bf.join(dl, "state_id", "full")  # at most one of the two per feed
+    return sinks.patch(state_table(spark, sf), patch, "state_id", now)
+
+
+@query("K10_seed_if_empty")
+def q_k10(spark, sf):
+    s = state_table(spark, sf).filter(F.col("state_id") % 5 != 0)  # feeds already seeded
+    feeds_ = t(spark, sf, "events").select(F.col("user_id").cast("bigint").alias("state_id")).distinct()
+    return sinks.seed_if_empty(s, st.seed_defaults(feeds_, state_today(), "2024-01-01"), "state_id")
+
+
+@query("K11_align_to_schema")
+def q_k11(spark, sf):
+    old = state_table(spark, sf).drop("lock_owner", "lock_expires_at")  # a table from before the lock columns
+    return sinks.align_to_schema(old, INGESTION_STATE)
+
+
+@query("O8_point_lookup")
+def q_o8(spark, sf):
+    return state_table(spark, sf).filter(F.col("state_id") == 1).limit(1)
+
+
+@query("I4_window_enumeration")
+def q_i4(spark, sf):
+    return st.enumerate_windows(state_table(spark, sf))
+
+
+@query("I5_window_assignment")
+def q_i5(spark, sf):
+    ev = t(spark, sf, "events").select("event_id", F.col("user_id").cast("bigint").alias("user_id"), "ts")
+    a = st.assign_windows(ev, state_table(spark, sf), "user_id", "ts")
+    return a.groupBy(F.col("user_id").alias("state_id"), "window_start", "window_end") \
+        .agg(F.count(F.lit(1)).alias("n_events"))
+
+
+@query("J10_keyword_window_cross_join")
+def q_j10(spark, sf):
+    return manifest.keyword_windows(st.enumerate_windows(state_table(spark, sf)))
+
+
+@query("S6_request_manifest")
+def q_s6(spark, sf):
+    m = manifest.request_manifest(manifest.keyword_windows(st.enumerate_windows(state_table(spark, sf))))
+    return m.select("state_id", "kw_pos", "window_start", "query_text", "request_url")
+
+
+def rss_items(spark, sf) -> DataFrame:
+    """pages as landed RSS <item> elements (every third without pubDate,
+    every fifth without source)."""
+    p = t(spark, sf, "pages").select(
+        "page_id", "url",
+        text.html_unescape(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"),
+        F.regexp_extract("url", r"//([^/?#]+)", 1).alias("host"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("page_id") * 7)).alias("ts"))
+
+    def esc(c):
+        return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                         F.lit(">"), F.lit("&gt;"))
+    item = F.concat(
+        F.lit("<item><title>"), esc(F.col("title")), F.lit("</title><link>"), esc(F.col("url")), F.lit("</link>"),
+        F.when(F.col("page_id") % 3 != 0, F.concat(F.lit("<pubDate>"),
+                                                   F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss 'GMT'"),
+                                                   F.lit("</pubDate>"))).otherwise(F.lit("")),
+        F.lit("<description>"), esc(F.concat(F.lit("<p><b>"), F.col("title"), F.lit("</b> via "), F.col("host"),
+                                             F.lit("</p>"))), F.lit("</description>"),
+        F.when(F.col("page_id") % 5 != 0, F.concat(F.lit("<source url=\"https://"), F.col("host"), F.lit("\">"),
+                                                   esc(F.col("host")), F.lit("</source>"))).otherwise(F.lit("")),
+        F.lit("</item>"))
+    return p.select("page_id", item.alias("item_xml"))
+
+
+@query("S1_rss_feed_scan")
+def q_s1(spark, sf):
+    return feeds.parse_rss_items(rss_items(spark, sf), "item_xml", as_of())
+
+
+@query("P9_feed_date_parse")
+def q_p9(spark, sf):
+    e = t(spark, sf, "events").select("event_id", "ts")
+    v = F.col("event_id") % 5
+    text_ = (F.when(v == 0, F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss 'GMT'"))
+             .when(v == 1, F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"),
+                                                  "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0200")))
+             .when(v == 2, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")))
+             .when(v == 3, F.lit("sometime last week")))
+    return e.select("event_id", dates.feed_date(text_, as_of()).alias("publish_datetime"))
+
+
+def news_responses(spark, sf) -> DataFrame:
+    """pages as landed news-API responses: one per page, two articles each
+    (the second a repeat of the first URL); spam hosts answered 'error'."""
+    p = t(spark, sf, "pages").select(
+        "page_id", "url",
+        text.html_unescape(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"),
+        F.date_format(F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("page_id") * 7),
+                      "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"))
+    art = F.struct("title", "url", F.lit(None).cast("string").alias("description"),
+                   F.lit(None).cast("string").alias("content"), "publishedAt", F.lit(None).cast("string").alias("author"))
+    art2 = F.struct(F.concat("title", F.lit(" (update)")).alias("title"), "url",
+                    F.lit(None).cast("string").alias("description"), F.lit(None).cast("string").alias("content"),
+                    "publishedAt", F.lit(None).cast("string").alias("author"))
+    body = F.to_json(F.struct(F.when(F.col("url").contains("spam"), F.lit("error")).otherwise(F.lit("ok"))
+                              .alias("status"), F.array(art, art2).alias("articles")))
+    return p.select(F.col("page_id").alias("resp_pos"), body.alias("body"))
+
+
+@query("S2_news_api_json_scan")
+def q_s2(spark, sf):
+    return feeds.news_api_articles(news_responses(spark, sf), "body", "resp_pos") \
+        .select("resp_pos", "art_pos", "title", "url", "publishedAt")
+
+
+@query("J2_known_url_subtraction")
+def q_j2(spark, sf):
+    arts = feeds.news_api_articles(news_responses(spark, sf), "body", "resp_pos")
+    known = known_pages(spark, sf).select("url")
+    return resolve.subtract_known(arts, known).select("resp_pos", "art_pos", "url", "title")
+
+
+@query("O9_api_newest_first")
+def q_o9(spark, sf):
+    arts = feeds.news_api_articles(news_responses(spark, sf), "body", "resp_pos")
+    return arts.orderBy(F.col("publishedAt").desc(), "resp_pos", "art_pos").select("resp_pos", "art_pos",
+                                                                                    "publishedAt")
+
+
+@query("I6_idempotent_replay")
+def q_i6(spark, sf):
+    """Run the same windows twice; the second run finds every article known."""
+    path = scratch_path(spark, "articles")
+    first = page_run(spark, sf)
+    sinks.append(first.articles, path, ARTICLES_SCHEMA)
+    stored = spark.read.schema(ARTICLES_SCHEMA).parquet(path).select("url")
+    known = known_pages(spark, sf).select(urls.canonical_url("url").alias("url")).unionByName(stored)
+    pages = dedupe.first_wins(urls.with_canonical_url(t(spark, sf, "pages"), "url", "canonical_url")
+                              .select(F.col("canonical_url").alias("url"), "html", "page_id"),
+                              F.col("url"), ["page_id"], "_pk").select("url", "html")
+    second = ingest_plan.ingest(page_feed(spark, sf), pages, known, existing(spark, sf, "EXISTING_COMPANIES"),
+                                existing(spark, sf, "EXISTING_PEOPLE"),
+                                existing(spark, sf, "EXISTING_ARTICLE_PEOPLE"), fixture_sql.RUN_ID, as_of())
+    sinks.append(second.articles, path, ARTICLES_SCHEMA)
+    return spark.read.schema(ARTICLES_SCHEMA).parquet(path).select("article_id", "url")
+
+
+@query("T1_incremental_ingest_stream")
+def q_t1(spark, sf):
+    from pyspark.sql import types as T
+    from .streaming.ingest_stream import ingest_stream, read_target
+    schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
+                           T.StructField("html", T.StringType())])
+    target = scratch_path(spark, "stream_articles")
+    # a glob that matches exactly the landed file (a file stream needs a
+    # directory or a glob; landing areas are directories in production)
+    ingest_stream(spark, f"{sf.rstrip('/')}/[p]ages.parquet", schema, target, scratch_path(spark, "stream_ckpt"),
+                  order="page_id")
+    return read_target(spark, target)

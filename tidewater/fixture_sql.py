@@ -154,3 +154,18 @@ REPORT_FILES = {"Markdown": "reports/daily_report_20240131_000000.md",
                 "People CSV": "reports/people_20240131_000000.csv",
                 "Failures CSV": "reports/failures_20240131_000000.csv"}
 REPORT_PROJECT, REPORT_DATASET = "fixture-project", "fixture-dataset"
+
+# One ingestion-state row per feed (user_id), derived from its events.
+STATE_AS_OF = "2024-01-31 00:00:00"
+STATE = """
+SELECT CAST(user_id AS BIGINT) AS state_id,
+  CAST(min(ts) AS DATE) AS backfill_start_date,
+  CAST(max(ts) AS DATE) AS backfill_end_date,
+  CASE WHEN user_id % 4 = 0 THEN NULL ELSE CAST(min(ts) AS DATE) + CAST(user_id % 40 AS INT) END AS backfill_progress_cutoff,
+  user_id % 3 = 0 AS backfill_complete,
+  CAST(NULL AS TIMESTAMP) AS last_daily_run_start,
+  CASE WHEN user_id % 2 = 0 THEN CAST(CAST(min(ts) AS DATE) + CAST(user_id % 31 AS INT) AS TIMESTAMP)
+                                 + INTERVAL 86399 SECOND END AS last_daily_run_end,
+  CAST(NULL AS STRING) AS lock_owner, CAST(NULL AS TIMESTAMP) AS lock_expires_at,
+  TIMESTAMP '2024-01-01 00:00:00' AS updated_at
+FROM events GROUP BY user_id"""
