@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import ids, text, urls
+from .functions.strings import bind_columns
 from .operators import dedupe, resolve
 from .session import table_path
 
@@ -269,16 +270,30 @@ def page_articles(spark, sf) -> DataFrame:
 
 @query("E0_top_relevant_pages")
 def q_e0(spark, sf):
-    """Flagship: top-10 relevant pages with id, canonical URL, text summary."""
-    a = page_articles(spark, sf).withColumn("kw_pos", F.lit(0))
-    a = dedupe.dedupe_urls(a, order=["kw_pos", "page_id"],
-                           key=F.when(F.coalesce(F.col("canonical_url"), F.lit("")) != "", F.col("canonical_url")))
+    """Flagship: top-10 relevant pages with id, canonical URL, text summary.
+
+    Dedupe runs on narrow rows (id, URL, position); only the surviving
+    pages are joined back for the expensive text extraction.
+    """
+    p = t(spark, sf, "pages")
+    keys = urls.with_canonical_url(p.select("page_id", "url"), "url", "canonical_url").withColumn("kw_pos", F.lit(0))
+    first = dedupe.dedupe_urls(keys, order=["kw_pos", "page_id"],
+                               key=F.when(F.coalesce(F.col("canonical_url"), F.lit("")) != "", F.col("canonical_url")))
+    a = first.select("page_id", "canonical_url").join(p.select("page_id", "html"), "page_id")
     a = a.select(
-        ids.stable_id(ids.ARTICLE, "canonical_url").alias("article_id"), "canonical_url", "title",
-        "publish_datetime",
-        text.build_summary("title", F.lit(None).cast("string"), "full_text").alias("summary"),
-        text.topic_flag("title", F.lit(None).cast("string"), "full_text", FIXTURE_KEYWORDS).alias("relevant"))
-    top = a.filter("relevant").orderBy(F.col("publish_datetime").desc(), "article_id").limit(10)
+        ids.stable_id(ids.ARTICLE, "canonical_url").alias("article_id"), "canonical_url",
+        text.html_unescape(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("page_id") * 7))
+        .alias("publish_datetime"),
+        text.page_main_text("html").alias("full_text"))
+    a = a.select("article_id", "canonical_url", "title", "publish_datetime",
+                 text.build_summary("title", F.lit(None).cast("string"), "full_text").alias("summary"),
+                 text.topic_flag("title", F.lit(None).cast("string"), "full_text", FIXTURE_KEYWORDS).alias("relevant"))
+    # top-10 of the relevant rows = the first 10 rows ordered relevant-first,
+    # then filtered; filtering after the limit keeps the text predicate from
+    # being pushed below the join (where it would run the extraction twice)
+    top = a.orderBy(F.col("relevant").desc(), F.col("publish_datetime").desc(), "article_id").limit(10) \
+        .filter("relevant")
     from pyspark.sql import Window
     return top.select(F.row_number().over(Window.orderBy(F.col("publish_datetime").desc(), "article_id"))
                       .alias("rank"), "article_id", "canonical_url", "title", "summary")
@@ -316,9 +331,14 @@ def q_s9(spark, sf):
     return answers(spark, sf).select("event_id", lj.llm_response_content("response_body").alias("content"))
 
 
+def parsed_answers(spark, sf, fallback: bool = False) -> DataFrame:
+    a = heuristic_for_answers(answers(spark, sf)) if fallback else answers(spark, sf)
+    return bind_columns(a, v=lj.json_object_from_text("extraction_answer"))
+
+
 @query("D8_json_object_from_text")
 def q_d8(spark, sf):
-    a = answers(spark, sf).select("event_id", lj.json_object_from_text("extraction_answer").alias("v"))
+    a = parsed_answers(spark, sf)
     return a.select("event_id", F.col("v").isNotNull().alias("parsed_ok"),
                     lj.as_str(lj.vfield(F.col("v"), "summary")).alias("summary"),
                     lj.as_str(lj.vfield(F.col("v"), "country")).alias("country"))
@@ -333,14 +353,13 @@ def q_d9(spark, sf):
 
 @query("D10_extraction_score")
 def q_d10(spark, sf):
-    a = answers(spark, sf).select("event_id", lj.json_object_from_text("extraction_answer").alias("v"))
+    a = parsed_answers(spark, sf)
     a = a.filter(F.col("v").isNotNull()).select("event_id", lj.extraction_score(F.col("v")).alias("score"))
     return a.withColumn("passes", F.col("score") >= lj.MIN_CONFIDENCE)
 
 
 def _normalized(spark, sf) -> DataFrame:
-    a = heuristic_for_answers(answers(spark, sf))
-    a = a.select("event_id", "fallback", lj.json_object_from_text("extraction_answer").alias("v"))
+    a = parsed_answers(spark, sf, fallback=True)
     return a.filter(F.col("v").isNotNull()).select(
         "event_id", lj.normalize_extraction(F.col("v"), F.col("fallback")).alias("x"))
 
@@ -374,10 +393,8 @@ def q_d13(spark, sf):
 @query("P15_extraction_fallback")
 def q_p15(spark, sf):
     a = heuristic_for_answers(answers(spark, sf))
-    v = lj.json_object_from_text("extraction_answer")
-    a = a.select("event_id", lj.choose_extraction("extraction_answer", F.col("fallback")).alias("x"),
-                 (v.isNotNull() & (lj.extraction_score(v) >= lj.MIN_CONFIDENCE)).alias("used_answer"))
-    return a.select("event_id", *_extraction_cols(), "used_answer")
+    a = a.select("event_id", lj.extraction_choice("extraction_answer", F.col("fallback")).alias("c"))
+    return a.select("event_id", *_extraction_cols("c.payload"), F.col("c.used_answer").alias("used_answer"))
 
 
 @query("P16_primary_fallback_answer")

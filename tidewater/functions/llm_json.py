@@ -52,11 +52,13 @@ def is_bool(v: Column) -> Column:
 
 
 def is_list(v: Column) -> Column:
-    return F.coalesce(vtype(v).startswith("ARRAY"), F.lit(False))
+    """JSON array?  A shallow cast (schema_of_variant would walk the whole value)."""
+    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
 
 
 def is_obj(v: Column) -> Column:
-    return F.coalesce(vtype(v).startswith("OBJECT"), F.lit(False))
+    """JSON object?  A shallow cast, as for is_list."""
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
 def as_str(v: Column) -> Column:
@@ -138,27 +140,38 @@ def briefing_fields(v: Column) -> Column:
         F.try_variant_get(v, "$.relevance_score", "int").alias("relevance_score"))
 
 
-def extraction_score(v: Column) -> Column:
-    """Confidence of an extraction answer (summed in the reference's order)."""
-    summary = vfield(v, "summary")
-    country = vfield(v, "country")
+MEMBERS = ["summary", "mentions_cooling_or_water", "cooling_water_summary", "people", "companies", "country"]
+
+
+def members(v: Column) -> Column:
+    """The extraction answer's members as VARIANTs, looked up once."""
+    return F.struct(*[vfield(v, k).alias(k) for k in MEMBERS])
+
+
+def _score(m: Column) -> Column:
+    summary, country = m["summary"], m["country"]
     s1 = F.when(is_str(summary) & (F.length(py_strip(as_str(summary))) >= SCORE_SUMMARY_MIN_CHARS),
                 F.lit(SCORE_SUMMARY)).otherwise(F.lit(0.0))
-    s2 = F.when(is_bool(vfield(v, "mentions_cooling_or_water")), F.lit(SCORE_FLAG)).otherwise(F.lit(0.0))
-    s3 = F.when(is_list(vfield(v, "people")), F.lit(SCORE_PEOPLE)).otherwise(F.lit(0.0))
-    s4 = F.when(is_list(vfield(v, "companies")), F.lit(SCORE_COMPANIES)).otherwise(F.lit(0.0))
+    s2 = F.when(is_bool(m["mentions_cooling_or_water"]), F.lit(SCORE_FLAG)).otherwise(F.lit(0.0))
+    s3 = F.when(is_list(m["people"]), F.lit(SCORE_PEOPLE)).otherwise(F.lit(0.0))
+    s4 = F.when(is_list(m["companies"]), F.lit(SCORE_COMPANIES)).otherwise(F.lit(0.0))
     s5 = F.when(is_str(country) & (py_strip(as_str(country)) != ""),
                 F.lit(SCORE_COUNTRY)).otherwise(F.lit(0.0))
     return F.lit(0.0) + s1 + s2 + s3 + s4 + s5
 
 
+def extraction_score(v: Column) -> Column:
+    """Confidence of an extraction answer (summed in the reference's order)."""
+    return let(members(v), _score)
+
+
 def _str_member(x: Column, key: str) -> Column:
     return as_str(vfield(x, key))
 
 
-def normalize_people(v: Column, fallback: Column) -> Column:
+def normalize_people(v: Column, fallback: Column, people: Column | None = None) -> Column:
     """List of person objects with a non-blank name; else the fallback."""
-    people = vfield(v, "people")
+    people = vfield(v, "people") if people is None else people
     arr = F.try_variant_get(people, "$", "array<variant>")
     kept = F.filter(arr, lambda x: is_obj(x) & (F.coalesce(py_strip(_str_member(x, "full_name")), F.lit("")) != ""))
     clean = F.transform(kept, lambda x: F.struct(
@@ -171,9 +184,9 @@ def normalize_people(v: Column, fallback: Column) -> Column:
     return F.when(is_list(people), clean.cast(f"array<{PERSON_T}>")).otherwise(fallback)
 
 
-def normalize_companies(v: Column, fallback: Column) -> Column:
+def normalize_companies(v: Column, fallback: Column, comps: Column | None = None) -> Column:
     """List of company objects with a non-blank name; else the fallback."""
-    comps = vfield(v, "companies")
+    comps = vfield(v, "companies") if comps is None else comps
     arr = F.try_variant_get(comps, "$", "array<variant>")
     kept = F.filter(arr, lambda x: is_obj(x) & (F.coalesce(py_strip(_str_member(x, "name")), F.lit("")) != ""))
     clean = F.transform(kept, lambda x: F.struct(
@@ -184,30 +197,40 @@ def normalize_companies(v: Column, fallback: Column) -> Column:
     return F.when(is_list(comps), clean.cast(f"array<{COMPANY_T}>")).otherwise(fallback)
 
 
-def normalize_extraction(v: Column, fb: Column) -> Column:
-    """Typed extraction, each field type-guarded against the fallback."""
-    summary = vfield(v, "summary")
-    flag = vfield(v, "mentions_cooling_or_water")
-    cws = vfield(v, "cooling_water_summary")
-    country = vfield(v, "country")
+def _normalize(m: Column, fb: Column) -> Column:
+    summary, flag, cws, country = m["summary"], m["mentions_cooling_or_water"], m["cooling_water_summary"], m["country"]
     s = F.when(is_str(summary), as_str(summary)).otherwise(fb["summary"])
     return F.struct(
         F.when(F.coalesce(s, F.lit("")) != "", s).otherwise(fb["summary"]).alias("summary"),
         F.when(flag.isNotNull(), truthy(flag)).otherwise(fb["mentions_cooling_or_water"])
          .alias("mentions_cooling_or_water"),
         F.when(is_str(cws), as_str(cws)).otherwise(fb["cooling_water_summary"]).alias("cooling_water_summary"),
-        normalize_people(v, fb["people"]).alias("people"),
-        normalize_companies(v, fb["companies"]).alias("companies"),
+        normalize_people(None, fb["people"], m["people"]).alias("people"),
+        normalize_companies(None, fb["companies"], m["companies"]).alias("companies"),
         fb["full_text"].alias("full_text"),
         F.when(is_str(country), as_str(country)).otherwise(fb["country"]).alias("country"))
 
 
+def normalize_extraction(v: Column, fb: Column) -> Column:
+    """Typed extraction, each field type-guarded against the fallback."""
+    return let(members(v), lambda m: _normalize(m, fb))
+
+
+def extraction_choice(answer_text, fallback: Column) -> Column:
+    """P15 with its decision: struct<payload, used_answer>.  The answer is
+    used when it is a JSON object scoring at least 0.35; otherwise the
+    heuristic payload is kept.  Members are looked up once."""
+    def body(m):
+        ok = F.coalesce(m["present"] & (_score(m) >= MIN_CONFIDENCE), F.lit(False))
+        return F.struct(F.when(ok, _normalize(m, fallback)).otherwise(fallback).alias("payload"),
+                        ok.alias("used_answer"))
+    return let(json_object_from_text(answer_text), lambda v: let(
+        F.struct(v.isNotNull().alias("present"), *[vfield(v, k).alias(k) for k in MEMBERS]), body))
+
+
 def choose_extraction(answer_text, fallback: Column) -> Column:
     """Heuristic payload unless the answer is a confident JSON object."""
-    def body(v):
-        ok = v.isNotNull() & (extraction_score(v) >= MIN_CONFIDENCE)
-        return F.when(ok, normalize_extraction(v, fallback)).otherwise(fallback)
-    return let(json_object_from_text(answer_text), body)
+    return extraction_choice(answer_text, fallback)["payload"]
 
 
 def primary_or_fallback(primary_text, primary_error, fallback_text, fallback_error=None) -> Column:

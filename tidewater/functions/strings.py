@@ -48,3 +48,14 @@ def let(value: Column, body) -> Column:
     otherwise copied into the tree once per reference.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def bind_columns(df, **cols):
+    """Add computed columns as the output of a one-row generator.
+
+    A later filter on such a column stays above the generator, instead of
+    being pushed down with the (expensive) expression substituted into it -
+    which would evaluate the expression once in the filter and again in
+    the projection.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))

@@ -59,26 +59,6 @@ def _in(c: Column, values: list[str]) -> Column:
     return c.isin(*values)
 
 
-def _stages(raw: Column):
-    """Ordered (name, expression) stages; each refers to earlier names only."""
-    s = F.col("_cu_s")
-    scheme, rest, path = F.col("_cu_scheme"), F.col("_cu_rest"), F.col("_cu_path")
-    return [
-        [("_cu_s", F.regexp_replace(F.regexp_replace(py_strip(raw), r"^[\x{00}-\x{20}]+", ""), r"[\t\r\n]", ""))],
-        [("_cu_scheme", F.when(s.rlike(_SCHEME_RE), F.lower(F.regexp_extract(s, _SCHEME_RE, 1))).otherwise(F.lit(""))),
-         ("_cu_rest", F.when(s.rlike(_SCHEME_RE), F.regexp_replace(s, _SCHEME_RE, "")).otherwise(s))],
-        [("_cu_netloc", F.lower(F.regexp_extract(rest, _PARTS_RE, 2))),
-         ("_cu_path", F.regexp_extract(rest, _PARTS_RE, 3)),
-         ("_cu_query", F.regexp_extract(rest, _PARTS_RE, 5))],
-        # ;params of the last path segment are dropped (only for USES_PARAMS).
-        [("_cu_path", F.when(_in(scheme, USES_PARAMS), F.regexp_replace(path, r";[^/]*$", "")).otherwise(path))],
-        [("_cu_path", F.when(path == "", F.lit("/")).otherwise(path))],
-        [("_cu_path", F.when((path != "/") & path.endswith("/"), F.left(path, F.length(path) - 1)).otherwise(path)),
-         ("_cu_scheme", F.when(scheme == "", F.lit("https")).otherwise(scheme)),
-         ("_cu_qs", _query_string(F.col("_cu_query")))],
-    ]
-
-
 def _query_string(query: Column) -> Column:
     pairs = F.filter(F.split(query, "&"),
                      lambda x: (F.instr(x, "=") > 0) & (F.length(x) > F.instr(x, "=")))
@@ -92,29 +72,14 @@ def _query_string(query: Column) -> Column:
                         "&")
 
 
-def _assemble(raw: Column) -> Column:
-    scheme, netloc, path, qs = F.col("_cu_scheme"), F.col("_cu_netloc"), F.col("_cu_path"), F.col("_cu_qs")
-    body = (F.when(netloc != "", F.concat(F.lit("//"), netloc, path))
-            .when(path.startswith("//"), F.concat(F.lit("//"), path))
-            .when(_in(scheme, USES_NETLOC) & path.startswith("/"), F.concat(F.lit("//"), path))
-            .otherwise(path))
-    out = F.concat(scheme, F.lit(":"), body, F.when(qs != "", F.concat(F.lit("?"), qs)).otherwise(F.lit("")))
-    return F.when(raw.isNull() | (raw == ""), raw).otherwise(out)
-
-
-_TEMP = ["_cu_s", "_cu_scheme", "_cu_rest", "_cu_netloc", "_cu_path", "_cu_query", "_cu_qs"]
-
-
 def with_canonical_url(df, src: str = "url", out: str = "canonical_url"):
     """P1 as a DataFrame transform: adds ``out`` = canonical form of ``src``.
 
-    Intermediate parts are staged as columns (each computed once per row,
-    inside one codegen'd projection chain); NULL and '' are unchanged.
+    Uses the single-expression form: staging the parts as separate
+    projections lets predicate pushdown substitute them into filters on
+    ``out`` and the expression tree grows multiplicatively.
     """
-    raw = F.col(src)
-    for stage in _stages(raw):
-        df = df.withColumns(dict(stage))
-    return df.withColumn(out, _assemble(raw)).drop(*_TEMP)
+    return df.withColumn(out, canonical_url(F.col(src)))
 
 
 def canonical_url(c) -> Column:
