@@ -138,7 +138,11 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
         .filter(F.col("_first").isNull())
     new, known = resolve.new_vs_known(firsts, known_urls)
 
-    fetched = new.join(pages.select(F.col("url"), text.page_main_text("html").alias("full_text")), "url", "left")
+    # fetch only what is new: narrow the landed pages to the new URLs first
+    # (semi join; AQE broadcasts the key side when its runtime size is
+    # small), then extract text for those pages alone
+    wanted = pages.select("url", "html").join(new.select("url").distinct(), "url", "left_semi")
+    fetched = new.join(wanted, "url", "left").withColumn("full_text", text.page_main_text("html")).drop("html")
     fetched = fetched.withColumn("_heur", heuristic_payload("title", "summary", "full_text", "source_name",
                                                             keywords))
     if answers is not None:
