@@ -8,6 +8,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Broadcast decisions come only from sizes measured at runtime (AQE), never
+# from static estimates; skewed sort-merge partitions are split.
+RUNTIME_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.session.timeZone": "UTC",
+}
+
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -38,6 +48,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    configure(spark)
+    return spark
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings the operators assume to a session we
+    did not build (e.g. the one a driver passes in)."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
