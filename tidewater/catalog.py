@@ -333,7 +333,7 @@ def q_s9(spark, sf):
 
 def parsed_answers(spark, sf, fallback: bool = False) -> DataFrame:
     a = heuristic_for_answers(answers(spark, sf)) if fallback else answers(spark, sf)
-    return bind_columns(a, v=lj.json_object_from_text("extraction_answer"))
+    return lj.with_answer_object(a, "extraction_answer", "v")
 
 
 @query("D8_json_object_from_text")
@@ -354,14 +354,14 @@ def q_d9(spark, sf):
 @query("D10_extraction_score")
 def q_d10(spark, sf):
     a = parsed_answers(spark, sf)
-    a = a.filter(F.col("v").isNotNull()).select("event_id", lj.extraction_score(F.col("v")).alias("score"))
+    a = lj.with_extraction_score(a.filter(F.col("v").isNotNull()), "v", "score").select("event_id", "score")
     return a.withColumn("passes", F.col("score") >= lj.MIN_CONFIDENCE)
 
 
 def _normalized(spark, sf) -> DataFrame:
     a = parsed_answers(spark, sf, fallback=True)
-    return a.filter(F.col("v").isNotNull()).select(
-        "event_id", lj.normalize_extraction(F.col("v"), F.col("fallback")).alias("x"))
+    return lj.with_normalized_extraction(a.filter(F.col("v").isNotNull()), "v", "fallback", "x") \
+        .select("event_id", "x")
 
 
 def _extraction_cols(x: str = "x"):
@@ -393,7 +393,8 @@ def q_d13(spark, sf):
 @query("P15_extraction_fallback")
 def q_p15(spark, sf):
     a = heuristic_for_answers(answers(spark, sf))
-    a = a.select("event_id", lj.extraction_choice("extraction_answer", F.col("fallback")).alias("c"))
+    a = lj.with_extraction_choice(a.select("event_id", "extraction_answer", "fallback"),
+                                  "extraction_answer", "fallback", "c")
     return a.select("event_id", *_extraction_cols("c.payload"), F.col("c.used_answer").alias("used_answer"))
 
 

@@ -12,10 +12,10 @@ trailing text itself closes a brace, or that repeat a key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .strings import col_, let, py_strip, truthy_str
+from .strings import bind_columns, col_, let, py_strip, truthy_str
 
 # ---- fixed values (must equal the reference's behaviour) -------------------
 MIN_CONFIDENCE = 0.35
@@ -68,15 +68,7 @@ def as_str(v: Column) -> Column:
 
 def truthy(v: Column) -> Column:
     """Python ``bool()`` of a decoded JSON value."""
-    t = vtype(v)
-    numeric = F.lit(False)
-    for n in _NUMERIC:
-        numeric = numeric | t.startswith(n)
-    return (F.when(t == "VOID", F.lit(False))
-            .when(t == "BOOLEAN", F.variant_get(v, "$", "boolean"))
-            .when(numeric, F.variant_get(v, "$", "double") != 0)
-            .when(t == "STRING", F.variant_get(v, "$", "string") != "")
-            .otherwise(~F.to_json(v).isin("[]", "{}")))
+    return _truthy_typed(v, vtype(v))
 
 
 def llm_response_content(body) -> Column:
@@ -141,6 +133,9 @@ def briefing_fields(v: Column) -> Column:
 
 
 MEMBERS = ["summary", "mentions_cooling_or_water", "cooling_water_summary", "people", "companies", "country"]
+_SCALARS = ["summary", "mentions_cooling_or_water", "cooling_water_summary", "country"]
+_STRINGS = ["summary", "cooling_water_summary", "country"]
+_LISTS = ["people", "companies"]
 
 
 def members(v: Column) -> Column:
@@ -148,31 +143,45 @@ def members(v: Column) -> Column:
     return F.struct(*[vfield(v, k).alias(k) for k in MEMBERS])
 
 
-def _score(m: Column) -> Column:
-    summary, country = m["summary"], m["country"]
-    s1 = F.when(is_str(summary) & (F.length(py_strip(as_str(summary))) >= SCORE_SUMMARY_MIN_CHARS),
+def _inline_view(m: Column):
+    """Accessor over a ``members`` struct: ('v'|'t'|'s'|'a', key) -> Column
+    (member, type name, string value, array cast), computed in place."""
+    def get(kind: str, k: str) -> Column:
+        x = m[k]
+        if kind == "v":
+            return x
+        if kind == "t":
+            return vtype(x)
+        if kind == "s":
+            return as_str(x)
+        return F.try_variant_get(x, "$", "array<variant>")
+    return get
+
+
+def _score_of(get) -> Column:
+    s1 = F.when((get("t", "summary") == "STRING")
+                & (F.length(py_strip(get("s", "summary"))) >= SCORE_SUMMARY_MIN_CHARS),
                 F.lit(SCORE_SUMMARY)).otherwise(F.lit(0.0))
-    s2 = F.when(is_bool(m["mentions_cooling_or_water"]), F.lit(SCORE_FLAG)).otherwise(F.lit(0.0))
-    s3 = F.when(is_list(m["people"]), F.lit(SCORE_PEOPLE)).otherwise(F.lit(0.0))
-    s4 = F.when(is_list(m["companies"]), F.lit(SCORE_COMPANIES)).otherwise(F.lit(0.0))
-    s5 = F.when(is_str(country) & (py_strip(as_str(country)) != ""),
+    s2 = F.when(get("t", "mentions_cooling_or_water") == "BOOLEAN", F.lit(SCORE_FLAG)).otherwise(F.lit(0.0))
+    s3 = F.when(get("a", "people").isNotNull(), F.lit(SCORE_PEOPLE)).otherwise(F.lit(0.0))
+    s4 = F.when(get("a", "companies").isNotNull(), F.lit(SCORE_COMPANIES)).otherwise(F.lit(0.0))
+    s5 = F.when((get("t", "country") == "STRING") & (py_strip(get("s", "country")) != ""),
                 F.lit(SCORE_COUNTRY)).otherwise(F.lit(0.0))
     return F.lit(0.0) + s1 + s2 + s3 + s4 + s5
 
 
-def extraction_score(v: Column) -> Column:
-    """Confidence of an extraction answer (summed in the reference's order)."""
-    return let(members(v), _score)
-
-
-def _str_member(x: Column, key: str) -> Column:
-    return as_str(vfield(x, key))
+def _truthy_typed(x: Column, t: Column) -> Column:
+    numeric = F.lit(False)
+    for n in _NUMERIC:
+        numeric = numeric | t.startswith(n)
+    return (F.when(t == "VOID", F.lit(False))
+            .when(t == "BOOLEAN", F.variant_get(x, "$", "boolean"))
+            .when(numeric, F.variant_get(x, "$", "double") != 0)
+            .when(t == "STRING", F.variant_get(x, "$", "string") != "")
+            .otherwise(~F.to_json(x).isin("[]", "{}")))
 
 
-def normalize_people(v: Column, fallback: Column, people: Column | None = None) -> Column:
-    """List of person objects with a non-blank name; else the fallback."""
-    people = vfield(v, "people") if people is None else people
-    arr = F.try_variant_get(people, "$", "array<variant>")
+def _people_of(arr: Column, fallback: Column) -> Column:
     kept = F.filter(arr, lambda x: is_obj(x) & (F.coalesce(py_strip(_str_member(x, "full_name")), F.lit("")) != ""))
     clean = F.transform(kept, lambda x: F.struct(
         py_strip(_str_member(x, "full_name")).alias("full_name"),
@@ -181,39 +190,58 @@ def normalize_people(v: Column, fallback: Column, people: Column | None = None)
         F.when(_str_member(x, "lead_relevance").isin(*RELEVANCE_LEVELS), _str_member(x, "lead_relevance"))
          .otherwise(F.lit(DEFAULT_RELEVANCE)).alias("lead_relevance"),
         _str_member(x, "notes").alias("notes")))
-    return F.when(is_list(people), clean.cast(f"array<{PERSON_T}>")).otherwise(fallback)
+    return F.when(arr.isNotNull(), clean.cast(f"array<{PERSON_T}>")).otherwise(fallback)
 
 
-def normalize_companies(v: Column, fallback: Column, comps: Column | None = None) -> Column:
-    """List of company objects with a non-blank name; else the fallback."""
-    comps = vfield(v, "companies") if comps is None else comps
-    arr = F.try_variant_get(comps, "$", "array<variant>")
+def _companies_of(arr: Column, fallback: Column) -> Column:
     kept = F.filter(arr, lambda x: is_obj(x) & (F.coalesce(py_strip(_str_member(x, "name")), F.lit("")) != ""))
     clean = F.transform(kept, lambda x: F.struct(
         py_strip(_str_member(x, "name")).alias("name"),
         _str_member(x, "sector").alias("sector"),
         _str_member(x, "country").alias("country"),
         _str_member(x, "notes").alias("notes")))
-    return F.when(is_list(comps), clean.cast(f"array<{COMPANY_T}>")).otherwise(fallback)
+    return F.when(arr.isNotNull(), clean.cast(f"array<{COMPANY_T}>")).otherwise(fallback)
 
 
-def _normalize(m: Column, fb: Column) -> Column:
-    summary, flag, cws, country = m["summary"], m["mentions_cooling_or_water"], m["cooling_water_summary"], m["country"]
-    s = F.when(is_str(summary), as_str(summary)).otherwise(fb["summary"])
+def _normalized_of(get, fb: Column) -> Column:
+    # a member's string value is non-NULL exactly when the member is a JSON string
+    summary = get("s", "summary")
+    flag = get("v", "mentions_cooling_or_water")
     return F.struct(
-        F.when(F.coalesce(s, F.lit("")) != "", s).otherwise(fb["summary"]).alias("summary"),
-        F.when(flag.isNotNull(), truthy(flag)).otherwise(fb["mentions_cooling_or_water"])
-         .alias("mentions_cooling_or_water"),
-        F.when(is_str(cws), as_str(cws)).otherwise(fb["cooling_water_summary"]).alias("cooling_water_summary"),
-        normalize_people(None, fb["people"], m["people"]).alias("people"),
-        normalize_companies(None, fb["companies"], m["companies"]).alias("companies"),
+        F.when(F.coalesce(summary, F.lit("")) != "", summary).otherwise(fb["summary"]).alias("summary"),
+        F.when(flag.isNotNull(), _truthy_typed(flag, get("t", "mentions_cooling_or_water")))
+         .otherwise(fb["mentions_cooling_or_water"]).alias("mentions_cooling_or_water"),
+        F.coalesce(get("s", "cooling_water_summary"), fb["cooling_water_summary"]).alias("cooling_water_summary"),
+        _people_of(get("a", "people"), fb["people"]).alias("people"),
+        _companies_of(get("a", "companies"), fb["companies"]).alias("companies"),
         fb["full_text"].alias("full_text"),
-        F.when(is_str(country), as_str(country)).otherwise(fb["country"]).alias("country"))
+        F.coalesce(get("s", "country"), fb["country"]).alias("country"))
+
+
+def extraction_score(v: Column) -> Column:
+    """Confidence of an extraction answer (summed in the reference's order)."""
+    return let(members(v), lambda m: _score_of(_inline_view(m)))
+
+
+def _str_member(x: Column, key: str) -> Column:
+    return as_str(vfield(x, key))
+
+
+def normalize_people(v: Column, fallback: Column, people: Column | None = None) -> Column:
+    """List of person objects with a non-blank name; else the fallback."""
+    people = vfield(v, "people") if people is None else people
+    return _people_of(F.try_variant_get(people, "$", "array<variant>"), fallback)
+
+
+def normalize_companies(v: Column, fallback: Column, comps: Column | None = None) -> Column:
+    """List of company objects with a non-blank name; else the fallback."""
+    comps = vfield(v, "companies") if comps is None else comps
+    return _companies_of(F.try_variant_get(comps, "$", "array<variant>"), fallback)
 
 
 def normalize_extraction(v: Column, fb: Column) -> Column:
     """Typed extraction, each field type-guarded against the fallback."""
-    return let(members(v), lambda m: _normalize(m, fb))
+    return let(members(v), lambda m: _normalized_of(_inline_view(m), fb))
 
 
 def extraction_choice(answer_text, fallback: Column) -> Column:
@@ -221,8 +249,9 @@ def extraction_choice(answer_text, fallback: Column) -> Column:
     used when it is a JSON object scoring at least 0.35; otherwise the
     heuristic payload is kept.  Members are looked up once."""
     def body(m):
-        ok = F.coalesce(m["present"] & (_score(m) >= MIN_CONFIDENCE), F.lit(False))
-        return F.struct(F.when(ok, _normalize(m, fallback)).otherwise(fallback).alias("payload"),
+        get = _inline_view(m)
+        ok = F.coalesce(m["present"] & (_score_of(get) >= MIN_CONFIDENCE), F.lit(False))
+        return F.struct(F.when(ok, _normalized_of(get, fallback)).otherwise(fallback).alias("payload"),
                         ok.alias("used_answer"))
     return let(json_object_from_text(answer_text), lambda v: let(
         F.struct(v.isNotNull().alias("present"), *[vfield(v, k).alias(k) for k in MEMBERS]), body))
@@ -233,6 +262,88 @@ def choose_extraction(answer_text, fallback: Column) -> Column:
     return extraction_choice(answer_text, fallback)["payload"]
 
 
+# ---- staged DataFrame forms -------------------------------------------------
+# The same operators as successive projections over a DataFrame.  Every
+# intermediate value (stripped text, parsed VARIANT, members, their types)
+# is its own column, so it is computed once: Catalyst does not merge a
+# projection into the next one when that would copy a non-trivial
+# expression, and all of it stays inside whole-stage codegen (the
+# Column forms above bind values through a higher-order function, which
+# is evaluated by the interpreter).
+
+def _tmp(prefix: str, name: str) -> str:
+    return f"__{prefix}_{name}"
+
+
+def with_answer_object(df: DataFrame, text: str, out: str = "v") -> DataFrame:
+    """D8 as a DataFrame step: adds ``out``, the answer's JSON object
+    (strict parse, else the greedy first-'{'..last-'}' span) or NULL.
+
+    ``out`` is produced by a one-row generator, so a later filter on it is
+    not pushed below and evaluated a second time.
+    """
+    t, v = _tmp(out, "t"), _tmp(out, "v")
+    raw = F.col(text)
+    d = df.withColumn(t, py_strip(raw))
+    tc = F.col(t)
+    closes = (F.when(tc.startswith("{"), tc.endswith("}"))
+              .when(tc.startswith("["), tc.endswith("]"))
+              .otherwise(tc.rlike(_JSON_SCALAR)))
+    # the span always starts with '{' and ends with '}', so it needs no strip
+    # and no closing check; the coalesce only parses it when the text fails
+    d = d.withColumn(v, F.coalesce(F.when(closes, F.try_parse_json(tc)),
+                                   F.try_parse_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0))))
+    vc = F.col(v)
+    d = bind_columns(d, **{out: F.when(truthy_str(raw) & is_obj(vc), vc)})
+    return d.drop(t, v)
+
+
+def with_answer_members(df: DataFrame, v: str, prefix: str):
+    """Adds the extraction members of VARIANT column ``v`` and their typed
+    views as columns; returns (DataFrame, accessor, temporary names)."""
+    names = {}
+
+    def name(kind, k):
+        return names.setdefault((kind, k), _tmp(prefix, f"{kind}_{k}"))
+
+    d = df.select("*", *[vfield(F.col(v), k).alias(name("v", k)) for k in MEMBERS])
+    d = d.select("*", *[vtype(F.col(name("v", k))).alias(name("t", k)) for k in _SCALARS],
+                 *[F.try_variant_get(F.col(name("v", k)), "$", "array<variant>").alias(name("a", k))
+                   for k in _LISTS])
+    d = d.select("*", *[F.when(F.col(name("t", k)) == "STRING", F.variant_get(F.col(name("v", k)), "$", "string"))
+                        .alias(name("s", k)) for k in _STRINGS])
+
+    def get(kind, k):
+        return F.col(names[(kind, k)])
+    return d, get, list(names.values())
+
+
+def with_extraction_score(df: DataFrame, v: str, out: str = "score") -> DataFrame:
+    """D10 as a DataFrame step over VARIANT column ``v``."""
+    d, get, tmp = with_answer_members(df, v, out)
+    return d.withColumn(out, _score_of(get)).drop(*tmp)
+
+
+def with_normalized_extraction(df: DataFrame, v: str, fallback: str, out: str = "x") -> DataFrame:
+    """D11 as a DataFrame step: typed extraction from VARIANT column ``v``."""
+    d, get, tmp = with_answer_members(df, v, out)
+    return d.withColumn(out, _normalized_of(get, F.col(fallback))).drop(*tmp)
+
+
+def with_extraction_choice(df: DataFrame, text: str, fallback: str, out: str = "c") -> DataFrame:
+    """P15 as a DataFrame step: ``out`` = struct<payload, used_answer>, the
+    normalised answer when it is a JSON object scoring at least 0.35, else
+    the heuristic payload in column ``fallback``."""
+    v, ok = _tmp(out, "obj"), _tmp(out, "ok")
+    d = with_answer_object(df, text, v)
+    d, get, tmp = with_answer_members(d, v, out)
+    d = d.withColumn(ok, F.coalesce(F.col(v).isNotNull() & (_score_of(get) >= MIN_CONFIDENCE), F.lit(False)))
+    fb = F.col(fallback)
+    d = d.withColumn(out, F.struct(F.when(F.col(ok), _normalized_of(get, fb)).otherwise(fb).alias("payload"),
+                                   F.col(ok).alias("used_answer")))
+    return d.drop(v, ok, *tmp)
+
+
 def primary_or_fallback(primary_text, primary_error, fallback_text, fallback_error=None) -> Column:
     """The primary answer unless the primary call errored; an
     unparseable primary answer gives NULL and does not fall back."""

@@ -146,8 +146,9 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
     fetched = fetched.withColumn("_heur", heuristic_payload("title", "summary", "full_text", "source_name",
                                                             keywords))
     if answers is not None:
-        fetched = fetched.join(answers.select("url", "answer"), "url", "left") \
-            .withColumn("_x", lj.choose_extraction("answer", F.col("_heur")))
+        fetched = lj.with_extraction_choice(fetched.join(answers.select("url", "answer"), "url", "left"),
+                                            "answer", "_heur", "_xc")
+        fetched = fetched.withColumn("_x", F.col("_xc.payload")).drop("_xc")
     else:
         fetched = fetched.withColumn("_x", F.col("_heur"))
 
