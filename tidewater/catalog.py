@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .functions import ids, text, urls
 from .functions.strings import bind_columns
+from .operators.sizing import proven_small
 from .operators import dedupe, resolve
 from .session import table_path
 
@@ -30,8 +31,21 @@ def query(name: str):
     return deco
 
 
+# Dimension tables the fixtures join large intermediates to (on keys with few
+# values); they are broadcast when a bounded probe proves them small.
+DIMENSIONS = ("nation", "region")
+_SMALL: dict[str, bool] = {}
+
+
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf, name))
+    path = table_path(sf, name)
+    df = spark.read.parquet(path)
+    if name in DIMENSIONS:
+        if path not in _SMALL:
+            _SMALL[path] = proven_small(df)
+        if _SMALL[path]:
+            df = F.broadcast(df)
+    return df
 
 
 # --------------------------------------------------------------------------
