@@ -915,7 +915,8 @@ def q_k6(spark, sf):
     res = None
     for name, (df, cols) in outs.items():
         write_csv_report(df, f"{base}/{name}", cols)
-        back = spark.read.option("header", True).csv(f"{base}/{name}")
+        # quoted fields may hold line breaks: read back record-wise, not line-wise
+        back = spark.read.option("header", True).option("multiLine", True).csv(f"{base}/{name}")
         d = back.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("report"), "n_rows",
                                                                  F.lit(",".join(back.columns)).alias("header"))
         res = d if res is None else res.unionByName(d)
