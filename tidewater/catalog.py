@@ -696,15 +696,19 @@ def page_feed(spark, sf, copies: int = 2) -> DataFrame:
 
 
 def page_run(spark, sf) -> ingest_plan.RunOutput:
-    pages = urls.with_canonical_url(t(spark, sf, "pages"), "url", "canonical_url")
-    # landed fetches are keyed by URL: one page per canonical URL
-    pages = dedupe.first_wins(pages.select(F.col("canonical_url").alias("url"), "html", "page_id"),
-                              F.col("url"), ["page_id"], "_pk").select("url", "html")
     known = known_pages(spark, sf).select(urls.canonical_url("url").alias("url"))
     empty_people = existing(spark, sf, "EXISTING_PEOPLE")
-    return ingest_plan.ingest(page_feed(spark, sf), pages, known, existing(spark, sf, "EXISTING_COMPANIES"),
+    return ingest_plan.ingest(page_feed(spark, sf), landed_pages(spark, sf), known,
+                              existing(spark, sf, "EXISTING_COMPANIES"),
                               empty_people, existing(spark, sf, "EXISTING_ARTICLE_PEOPLE"),
-                              fixture_sql.RUN_ID, as_of())
+                              fixture_sql.RUN_ID, as_of(), page_order="page_id")
+
+
+def landed_pages(spark, sf) -> DataFrame:
+    """Landed fetches keyed by canonical URL; page_id orders repeated
+    fetches of one URL (the plan keeps the first of those it needs)."""
+    pages = urls.with_canonical_url(t(spark, sf, "pages"), "url", "canonical_url")
+    return pages.select(F.col("canonical_url").alias("url"), "html", "page_id")
 
 
 ARTICLE_COLS = ["article_id", "title", "summary", "url", "source_name", "publish_datetime", "language", "country",
@@ -1128,12 +1132,10 @@ def q_i6(spark, sf):
     sinks.append(first.articles, path, ARTICLES_SCHEMA)
     stored = spark.read.schema(ARTICLES_SCHEMA).parquet(path).select("url")
     known = known_pages(spark, sf).select(urls.canonical_url("url").alias("url")).unionByName(stored)
-    pages = dedupe.first_wins(urls.with_canonical_url(t(spark, sf, "pages"), "url", "canonical_url")
-                              .select(F.col("canonical_url").alias("url"), "html", "page_id"),
-                              F.col("url"), ["page_id"], "_pk").select("url", "html")
-    second = ingest_plan.ingest(page_feed(spark, sf), pages, known, existing(spark, sf, "EXISTING_COMPANIES"),
-                                existing(spark, sf, "EXISTING_PEOPLE"),
-                                existing(spark, sf, "EXISTING_ARTICLE_PEOPLE"), fixture_sql.RUN_ID, as_of())
+    second = ingest_plan.ingest(page_feed(spark, sf), landed_pages(spark, sf), known,
+                                existing(spark, sf, "EXISTING_COMPANIES"), existing(spark, sf, "EXISTING_PEOPLE"),
+                                existing(spark, sf, "EXISTING_ARTICLE_PEOPLE"), fixture_sql.RUN_ID, as_of(),
+                                page_order="page_id")
     sinks.append(second.articles, path, ARTICLES_SCHEMA)
     return spark.read.schema(ARTICLES_SCHEMA).parquet(path).select("article_id", "url")
 

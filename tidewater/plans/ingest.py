@@ -23,6 +23,7 @@ from ..functions.strings import let
 from ..functions import llm_json as lj
 from ..operators import dedupe, entities, resolve
 from ..schemas import ARTICLES, COMPANIES, PEOPLE
+from ..session import materialize
 from ..sinks import failures as fl
 from ..sinks import tables
 
@@ -111,12 +112,14 @@ class RunOutput:
 def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing_companies: DataFrame,
            existing_people: DataFrame, existing_links: DataFrame, run_id: str, now: Column,
            answers: DataFrame | None = None, limit: int = FETCH_LIMIT,
-           keywords: list[str] = text.TOPIC_KEYWORDS) -> RunOutput:
+           keywords: list[str] = text.TOPIC_KEYWORDS, page_order: str | None = None) -> RunOutput:
     """One run over all windows of ``entries``.
 
     entries: window_start, window_end, kw_pos, entry_pos, title, url,
-    source_name, publish_datetime, summary.  pages: url, html (landed
-    fetches keyed by canonical URL).  answers (optional): url, answer.
+    source_name, publish_datetime, summary.  pages: url (canonical), html
+    and, when ``page_order`` names it, a fetch position: several fetches of
+    one URL may have landed and the first wins (without it, pages must hold
+    one row per URL).  answers (optional): url, answer.
     """
     rid = F.lit(run_id)
     win = ["window_start", "window_end"]
@@ -126,7 +129,7 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
                               F.struct(*win, F.col("_key")), ["kw_pos", "entry_pos"], "_dk").drop("_dk", "_key")
     first = dedupe.first_n_per_group(first, limit, win, ["kw_pos", "entry_pos"], "_rank").drop("_rank")
     # materialised once: every branch below (skips, repeats, known, new) reads it
-    canon = urls.with_canonical_url(first, "url", "canonical_url").checkpoint()
+    canon = materialize(urls.with_canonical_url(first, "url", "canonical_url"), "ingest_entries")
     blank = canon.filter(F.coalesce(F.col("canonical_url"), F.lit("")) == "")
     canon = canon.filter(F.coalesce(F.col("canonical_url"), F.lit("")) != "") \
         .withColumn("raw_url", F.col("url")).withColumn("url", F.col("canonical_url")).drop("canonical_url")
@@ -141,7 +144,13 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
     # fetch only what is new: narrow the landed pages to the new URLs first
     # (semi join; AQE broadcasts the key side when its runtime size is
     # small), then extract text for those pages alone
-    wanted = pages.select("url", "html").join(new.select("url").distinct(), "url", "left_semi")
+    # Repeated fetches are deduped only here, after the semi join: the wide
+    # HTML rows of URLs this run does not need are never aggregated, and the
+    # semi join's partitioning by url already serves the dedupe.
+    wanted = pages.select("url", "html", *([page_order] if page_order else [])) \
+        .join(new.select("url"), "url", "left_semi")
+    if page_order:
+        wanted = dedupe.first_wins(wanted, F.col("url"), [page_order], "_pk").select("url", "html")
     fetched = new.join(wanted, "url", "left").withColumn("full_text", text.page_main_text("html")).drop("html")
     fetched = fetched.withColumn("_heur", heuristic_payload("title", "summary", "full_text", "source_name",
                                                             keywords))
@@ -152,10 +161,10 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
     else:
         fetched = fetched.withColumn("_x", F.col("_heur"))
 
-    # page text + extraction is the expensive part: compute it once (reliable
-    # checkpoint in spark.checkpoint.dir) and let articles, entities, links,
+    # page text + extraction is the expensive part: compute it once (a table
+    # written to spark.checkpoint.dir) and let articles, entities, links,
     # failures and stats read the result
-    rows = article_rows(fetched, "_x", now, keep=[*win, "kw_pos", "entry_pos", "_x"]).checkpoint()
+    rows = materialize(article_rows(fetched, "_x", now, keep=[*win, "kw_pos", "entry_pos", "_x"]), "ingest_rows")
     ok_articles, bad_articles = tables.split_valid(rows, ARTICLES)
 
     # entities of inserted articles, with provenance and positions

@@ -84,3 +84,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` once as a parquet table under the shared
+    ``spark.checkpoint.dir`` and read it back.
+
+    One job computes the plan and writes it (a reliable ``checkpoint()`` of
+    an unpersisted DataFrame computes it twice: once to count, once to
+    write); the files survive executor loss, and later stages read only the
+    columns they use.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
