@@ -66,3 +66,12 @@ def test_source_company_and_dedupe(spark):
                                "src string, body string")
     out = [r[0] for r in df.select(F.transform(text.heuristic_companies("src", "body"), lambda c: c["notes"])).collect()]
     assert out == [["Article source outlet."], [], []]
+
+
+def test_comments_and_raw_text_elements_nest_like_a_parser(spark):
+    # a tag inside a comment is comment text; a comment opener inside a script is script text
+    assert one(spark, text.html_to_text("x"), "<!-- <script> -->visible text</script>") == "visible text"
+    assert one(spark, text.html_to_text("x"), '<script>var s = "<!--";</script>kept<!-- gone -->') == "kept"
+    long = "A paragraph that is clearly longer than forty characters in total."
+    page = f"<nav><!-- </nav> -->menu</nav><p>{long}</p><footer>bye</footer>"
+    assert one(spark, text.page_main_text("x"), page) == long
