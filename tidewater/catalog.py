@@ -38,8 +38,13 @@ _SMALL: dict[str, bool] = {}
 
 
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A driver table.  The tables are read-only, so each is listed and its
+    footer read once per session (the DataFrame is reused, not its data)."""
     path = table_path(sf, name)
-    df = spark.read.parquet(path)
+    reads = spark.__dict__.setdefault("_tidewater_reads", {})
+    if path not in reads:
+        reads[path] = spark.read.parquet(path)
+    df = reads[path]
     if name in DIMENSIONS:
         if path not in _SMALL:
             _SMALL[path] = proven_small(df)
