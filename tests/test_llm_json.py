@@ -67,3 +67,34 @@ def test_response_content(spark):
     vals = ['{"choices": [{"message": {"content": "hi"}}]}', '{"choices": []}', '{"x": 1}',
             '{"choices": [{"message": {"content": 5}}]}', "garbage"]
     assert col1(spark, lj.llm_response_content("x"), vals) == ["hi", None, None, None, None]
+
+
+def test_staged_forms_match_column_forms(spark):
+    """The DataFrame (staged) forms give the Column forms' answers."""
+    fb = F.struct(F.lit("fb summary").alias("summary"), F.lit(True).alias("mentions_cooling_or_water"),
+                  F.lit(None).cast("string").alias("cooling_water_summary"),
+                  F.array().cast(f"array<{lj.PERSON_T}>").alias("people"),
+                  F.array().cast(f"array<{lj.COMPANY_T}>").alias("companies"),
+                  F.lit(None).cast("string").alias("full_text"), F.lit("US").alias("country"))
+    long = "A summary that is comfortably longer than forty characters."
+    vals = ['{"a": 1}', 'Sure: {"a": 2} thanks', '[{"a": 3}]', None, "", '"str"', "  {\"a\": 4}\n",
+            json.dumps({"summary": long, "mentions_cooling_or_water": 1, "country": "DE", "people": [
+                {"Full_Name": "Case"}, {"full_name": 7}, {"full_name": "Bo", "lead_relevance": "High",
+                                                          "notes": ["x"]}, [1], "str"],
+                        "companies": [{"name": " Acme ", "sector": None}, {"name": ""}, 3]}),
+            "Here: " + json.dumps({"summary": long, "people": [], "companies": {"name": "x"}}) + " end"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x string").withColumn("fb", fb)
+    staged = lj.with_extraction_choice(lj.with_answer_object(df, "x", "v"), "x", "fb", "c")
+    staged = lj.with_extraction_score(staged, "v", "score")
+    cols = staged.select("i", F.to_json("v").alias("v"), "score", F.to_json("c").alias("c"),
+                         F.to_json(lj.json_object_from_text("x")).alias("v0"),
+                         lj.extraction_score(lj.json_object_from_text("x")).alias("score0"),
+                         F.to_json(lj.extraction_choice("x", F.col("fb"))).alias("c0")).orderBy("i").collect()
+    for r in cols:
+        assert (r.v, r.c) == (r.v0, r.c0), r.i
+        assert (r.score is None and r.score0 is None) or abs(r.score - r.score0) < 1e-9, r.i
+    assert [r.v is not None for r in cols] == [True, True, False, False, False, False, True, True, True]
+    p = json.loads(cols[7].c)["payload"]
+    assert [x["full_name"] for x in p["people"]] == ["Bo"]          # case-sensitive keys, non-objects dropped
+    assert p["people"][0].get("notes") is None                        # non-string member -> NULL (to_json omits it)
+    assert [x["name"] for x in p["companies"]] == ["Acme"]

@@ -139,8 +139,9 @@ _LISTS = ["people", "companies"]
 
 
 def members(v: Column) -> Column:
-    """The extraction answer's members as VARIANTs, looked up once."""
-    return F.struct(*[vfield(v, k).alias(k) for k in MEMBERS])
+    """The extraction answer's members as VARIANTs (one struct cast: keys
+    matched case-sensitively, absent -> NULL)."""
+    return F.try_variant_get(v, "$", _members_t(MEMBERS))
 
 
 def _inline_view(m: Column):
@@ -181,25 +182,43 @@ def _truthy_typed(x: Column, t: Column) -> Column:
             .otherwise(~F.to_json(x).isin("[]", "{}")))
 
 
+def _members_t(fields) -> str:
+    return "struct<" + ",".join(f"{f}:variant" for f in fields) + ">"
+
+
+def _string_or_null(x: Column) -> Column:
+    return F.when(vtype(x) == "STRING", F.variant_get(x, "$", "string"))
+
+
+def _object_list(arr: Column, fields: list[str], name: str) -> Column:
+    """Elements of a list of VARIANTs as struct<fields: string>, keeping the
+    objects whose ``name`` member is a non-blank string.  Each element's
+    members are fetched by one struct cast (case-sensitive keys; NULL for a
+    non-object, which the name test then drops); a member that is not a
+    JSON string becomes NULL."""
+    objs = F.transform(arr, lambda x: F.try_variant_get(x, "$", _members_t(fields)))
+    strs = F.transform(objs, lambda o: F.struct(*[_string_or_null(o[f]).alias(f) for f in fields]))
+    return F.filter(strs, lambda r: F.coalesce(py_strip(r[name]), F.lit("")) != "")
+
+
+_PERSON_FIELDS = ["full_name", "primary_title", "primary_company", "lead_relevance", "notes"]
+_COMPANY_FIELDS = ["name", "sector", "country", "notes"]
+
+
 def _people_of(arr: Column, fallback: Column) -> Column:
-    kept = F.filter(arr, lambda x: is_obj(x) & (F.coalesce(py_strip(_str_member(x, "full_name")), F.lit("")) != ""))
-    clean = F.transform(kept, lambda x: F.struct(
-        py_strip(_str_member(x, "full_name")).alias("full_name"),
-        _str_member(x, "primary_title").alias("primary_title"),
-        _str_member(x, "primary_company").alias("primary_company"),
-        F.when(_str_member(x, "lead_relevance").isin(*RELEVANCE_LEVELS), _str_member(x, "lead_relevance"))
+    clean = F.transform(_object_list(arr, _PERSON_FIELDS, "full_name"), lambda r: F.struct(
+        py_strip(r["full_name"]).alias("full_name"), r["primary_title"].alias("primary_title"),
+        r["primary_company"].alias("primary_company"),
+        F.when(r["lead_relevance"].isin(*RELEVANCE_LEVELS), r["lead_relevance"])
          .otherwise(F.lit(DEFAULT_RELEVANCE)).alias("lead_relevance"),
-        _str_member(x, "notes").alias("notes")))
+        r["notes"].alias("notes")))
     return F.when(arr.isNotNull(), clean.cast(f"array<{PERSON_T}>")).otherwise(fallback)
 
 
 def _companies_of(arr: Column, fallback: Column) -> Column:
-    kept = F.filter(arr, lambda x: is_obj(x) & (F.coalesce(py_strip(_str_member(x, "name")), F.lit("")) != ""))
-    clean = F.transform(kept, lambda x: F.struct(
-        py_strip(_str_member(x, "name")).alias("name"),
-        _str_member(x, "sector").alias("sector"),
-        _str_member(x, "country").alias("country"),
-        _str_member(x, "notes").alias("notes")))
+    clean = F.transform(_object_list(arr, _COMPANY_FIELDS, "name"), lambda r: F.struct(
+        py_strip(r["name"]).alias("name"), r["sector"].alias("sector"), r["country"].alias("country"),
+        r["notes"].alias("notes")))
     return F.when(arr.isNotNull(), clean.cast(f"array<{COMPANY_T}>")).otherwise(fallback)
 
 
@@ -254,7 +273,7 @@ def extraction_choice(answer_text, fallback: Column) -> Column:
         return F.struct(F.when(ok, _normalized_of(get, fallback)).otherwise(fallback).alias("payload"),
                         ok.alias("used_answer"))
     return let(json_object_from_text(answer_text), lambda v: let(
-        F.struct(v.isNotNull().alias("present"), *[vfield(v, k).alias(k) for k in MEMBERS]), body))
+        F.struct(v.isNotNull().alias("present"), *[members(v)[k].alias(k) for k in MEMBERS]), body))
 
 
 def choose_extraction(answer_text, fallback: Column) -> Column:
@@ -291,11 +310,15 @@ def with_answer_object(df: DataFrame, text: str, out: str = "v") -> DataFrame:
               .otherwise(tc.rlike(_JSON_SCALAR)))
     # the span always starts with '{' and ends with '}', so it needs no strip
     # and no closing check; the coalesce only parses it when the text fails
-    d = d.withColumn(v, F.coalesce(F.when(closes, F.try_parse_json(tc)),
-                                   F.try_parse_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0))))
-    vc = F.col(v)
-    d = bind_columns(d, **{out: F.when(truthy_str(raw) & is_obj(vc), vc)})
-    return d.drop(t, v)
+    sv = _tmp(out, "strict")
+    d = d.withColumn(sv, F.when(closes, F.try_parse_json(tc)))
+    d = d.withColumn(v, F.coalesce(F.col(sv), F.try_parse_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0))))
+    # an object without a cast: a strict parse is one when the text starts
+    # with '{' (a parsed array or scalar is not, and does not fall back); a
+    # parsed span always starts with '{'
+    is_object = F.coalesce(F.when(F.col(sv).isNotNull(), tc.startswith("{")), F.col(v).isNotNull())
+    d = bind_columns(d, **{out: F.when(truthy_str(raw) & is_object, F.col(v))})
+    return d.drop(t, sv, v)
 
 
 def with_answer_members(df: DataFrame, v: str, prefix: str):
@@ -306,7 +329,9 @@ def with_answer_members(df: DataFrame, v: str, prefix: str):
     def name(kind, k):
         return names.setdefault((kind, k), _tmp(prefix, f"{kind}_{k}"))
 
-    d = df.select("*", *[vfield(F.col(v), k).alias(name("v", k)) for k in MEMBERS])
+    ms = _tmp(prefix, "members")
+    d = df.withColumn(ms, members(F.col(v)))
+    d = d.select("*", *[F.col(ms)[k].alias(name("v", k)) for k in MEMBERS]).drop(ms)
     d = d.select("*", *[vtype(F.col(name("v", k))).alias(name("t", k)) for k in _SCALARS],
                  *[F.try_variant_get(F.col(name("v", k)), "$", "array<variant>").alias(name("a", k))
                    for k in _LISTS])
