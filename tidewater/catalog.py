@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import ids, text, urls
-from .functions.strings import bind_columns
 from .operators.sizing import proven_small
 from .operators import dedupe, resolve
 from .session import table_path

@@ -242,10 +242,6 @@ def extraction_score(v: Column) -> Column:
     return let(members(v), lambda m: _score_of(_inline_view(m)))
 
 
-def _str_member(x: Column, key: str) -> Column:
-    return as_str(vfield(x, key))
-
-
 def normalize_people(v: Column, fallback: Column, people: Column | None = None) -> Column:
     """List of person objects with a non-blank name; else the fallback."""
     people = vfield(v, "people") if people is None else people
