@@ -56,3 +56,16 @@ def test_first_n_per_group_plans_group_limit(spark):
     out = dedupe.first_n_per_group(df, 5, ["g"], ["pos"])
     assert out.count() == 15
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_links_to_one_person_first_in_list_order_wins(spark):
+    from tidewater.operators import resolve
+    links = spark.createDataFrame(
+        [(1, 0, 2, "k2", "second"), (1, 0, 0, "k1", "first"), (2, 1, 0, "k1", "other article")],
+        "article_id long, article_pos long, elem_pos long, person_key string, relation_description string")
+    ids = spark.createDataFrame([("k1", 7), ("k2", 7), ("k2", 9)], "person_key string, person_id long")
+    linked, missing = resolve.link_person_ids(links, ids)
+    assert missing.count() == 0
+    out = {(r.article_id, r.person_id): r.relation_description
+           for r in resolve.first_link_per_pair(linked).collect()}
+    assert out == {(1, 7): "first", (2, 7): "other article"}   # k2 -> smallest id 7

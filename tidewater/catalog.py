@@ -663,9 +663,9 @@ def q_k2(spark, sf):
 def q_k3(spark, sf):
     """Merge the run's links into article_people twice: the second run adds nothing."""
     linked, _ = resolve.link_person_ids(deduped_links(spark, sf), person_ids(spark, sf))
-    src = linked.select("article_id", "person_id", "role_in_article" if "role_in_article" in linked.columns
-                        else F.lit("Mentioned").alias("role_in_article"), "relation_description",
-                        as_of().alias("created_at")).dropDuplicates(["article_id", "person_id"])
+    src = resolve.first_link_per_pair(linked).select(
+        "article_id", "person_id", "role_in_article" if "role_in_article" in linked.columns
+        else F.lit("Mentioned").alias("role_in_article"), "relation_description", as_of().alias("created_at"))
     path = scratch_path(spark, "article_people")
     base = existing(spark, sf, "EXISTING_ARTICLE_PEOPLE").select(
         "article_id", "person_id", F.lit("Mentioned").alias("role_in_article"),

@@ -76,7 +76,8 @@ def relation_exists(links: DataFrame, existing: DataFrame) -> DataFrame:
 
 def link_person_ids(links: DataFrame, person_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Attach person_id by person_key; (linked, missing)."""
-    pid = person_ids.select("person_key", "person_id").dropDuplicates(["person_key"])
+    # one id per key (the smallest, should a key ever carry two): deterministic
+    pid = person_ids.groupBy("person_key").agg(F.min("person_id").alias("person_id"))
     j = links.join(pid, "person_key", "left")
     return j.filter(F.col("person_id").isNotNull()), j.filter(F.col("person_id").isNull())
 
@@ -99,3 +100,11 @@ def null_safe_company_match(a, b):
 
 def trimmed(c):
     return py_strip(c)
+
+
+def first_link_per_pair(links: DataFrame, order=("article_pos", "elem_pos")) -> DataFrame:
+    """Links of one run that resolve to the same (article_id, person_id):
+    the first in list order wins, as it would for one MERGE per link."""
+    from .dedupe import first_wins
+    key = F.struct("article_id", "person_id")
+    return first_wins(links, key, list(order), "_pair").drop("_pair")

@@ -186,8 +186,8 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
         .unionByName(ok_ppl.select("person_key", "person_id"))
     links = dedupe.dedupe_relations(entities.links_from_people(ppl_rows, keep=win))
     linked, unlinked = resolve.link_person_ids(links, pid)
-    link_rows = linked.select("article_id", "person_id", "role_in_article", "relation_description",
-                              now.alias("created_at")).dropDuplicates(["article_id", "person_id"])
+    link_rows = resolve.first_link_per_pair(linked).select(
+        "article_id", "person_id", "role_in_article", "relation_description", now.alias("created_at"))
     new_links = tables.merge_insert_only(link_rows, existing_links, ["article_id", "person_id"])
 
     ws, we = F.col("window_start"), F.col("window_end")
