@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Broadcast decisions come only from sizes measured at runtime (AQE), never
-# from static estimates; skewed sort-merge partitions are split.
+# Settings that a session without its own values gets: a modest static
+# broadcast bound, a larger one for sizes measured at runtime (AQE), and
+# skewed sort-merge partitions split.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": str(8 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-    "spark.sql.session.timeZone": "UTC",
 }
 
 DEFAULT_CONF = {
@@ -53,10 +55,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the operators assume to a session we
-    did not build (e.g. the one a driver passes in)."""
+    """Complete the settings of a session we did not build: whatever its owner
+    has set stays, except the time zone, which results depend on."""
+    own = spark.conf.getAll
     for k, v in RUNTIME_CONF.items():
-        spark.conf.set(k, v)
+        if k not in own:
+            spark.conf.set(k, v)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -64,18 +69,28 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we create
-    one, as a fresh scratch folder.
+    A cluster names it.  Only a local master without one gets a fresh
+    scratch folder, removed when the process ends; any other master raises,
+    since executors would each write to a disk of their own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
+        d = local_scratch(spark.sparkContext.master)
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def local_scratch(master: str) -> str:
+    """A scratch folder of this machine, for a local master only."""
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder all executors of {master} share")
+    d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    return d
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique table location under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
