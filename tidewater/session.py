@@ -62,6 +62,11 @@ def configure(spark: SparkSession) -> SparkSession:
         if k not in own:
             spark.conf.set(k, v)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Python workers on this machine import the library from where it lies;
+    # on a cluster it is installed or shipped with --py-files.
+    env, home = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [home, env.get("PYTHONPATH")]))
     ensure_checkpoint_dir(spark)
     return spark
 
