@@ -45,11 +45,13 @@ BASE_INV = pow(BASE, -1, 1 << 64)
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte ranges [start, end): equal bytes, equal hash."""
+    """64-bit hashes of the ranges [start, end) of bytes or code points: equal
+    items, equal hash."""
     n = len(data)
     with np.errstate(over="ignore"):
+        codes = _byte_codes()[data] if data.dtype == np.uint8 else mix(data.astype(np.uint64) * MULT + MULT)
         prefix = np.concatenate([np.zeros(1, np.uint64),
-                                 np.cumsum(_byte_codes()[data] * powers(BASE, n), dtype=np.uint64)])
+                                 np.cumsum(codes * powers(BASE, n), dtype=np.uint64)])
         inverse = powers(BASE_INV, n + 1)
         h = (prefix[ends] - prefix[starts]) * inverse[starts]
         return mix(h + (ends - starts).astype(np.uint64) * MULT)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import langid, quality, toxicity
 from .storage import read
 
 QUERIES: dict = {}
@@ -23,3 +23,19 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where("not held_out"))
     return langid.predict(docs.select("doc_id", "text", "held_out"), model).select(
         "doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity grades are the labels' toxic column."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    severities = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("grade"))
+    return toxicity.rate_severity(docs, severities).select("doc_id", "toxic", "severity", "severity_pred", "p_toxic")
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings are the labels' quality column; selected from grade 1."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("grade"))
+    return quality.grade_quality(docs, ratings).select("doc_id", "selected", "quality", "grade_pred", "p_good")
