@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, toxicity
+from . import jaccard, langid, quality, toxicity
 from .storage import read
 
 QUERIES: dict = {}
@@ -39,3 +39,9 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     ratings = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("grade"))
     return quality.grade_quality(docs, ratings).select("doc_id", "selected", "quality", "grade_pred", "p_good")
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.jaccard_groups(docs).select("doc_id", "n_shingles", "component_id")
