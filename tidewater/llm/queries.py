@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, langid, quality, toxicity
+from . import decontaminate, jaccard, langid, quality, toxicity
 from .storage import read
 
 QUERIES: dict = {}
@@ -45,3 +45,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.jaccard_groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item it contains."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
