@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, quality, toxicity
+from . import decontaminate, jaccard, langid, quality, secrets, toxicity
 from .storage import read
 
 QUERIES: dict = {}
@@ -53,3 +53,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate and its verdict; values are shown by their first four characters only."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    masked = F.concat(F.left("value", F.lit(4)), F.lit("..."))
+    return secrets.scan(docs).select("doc_id", "word_no", masked.alias("masked"), F.length("value").alias("n_chars"),
+                                     "assigned", "probability", "is_secret")
