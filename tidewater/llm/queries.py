@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, quality, secrets, toxicity
+from . import decontaminate, jaccard, langid, mixing, quality, secrets, toxicity
 from .storage import read
 
 QUERIES: dict = {}
@@ -62,3 +62,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     masked = F.concat(F.left("value", F.lit(4)), F.lit("..."))
     return secrets.scan(docs).select("doc_id", "word_no", masked.alias("masked"), F.length("value").alias("n_chars"),
                                      "assigned", "probability", "is_secret")
+
+
+@query
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
