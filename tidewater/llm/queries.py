@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, mixing, quality, secrets, toxicity
+from . import decontaminate, jaccard, langid, mixing, quality, quality_rules, secrets, toxicity
 from .storage import read
 
 QUERIES: dict = {}
@@ -68,3 +68,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "p_good")
