@@ -29,15 +29,16 @@ WINDOW = 3
 ROUNDS = 30
 TOLERANCE = 1e-6
 MIN_PROBABILITY = 0.5
-#: Start and bounds of a rule's accuracy (a rule is never worse than chance), and of the share of good documents.
-ACCURACY, LEAST_ACCURACY, MOST_ACCURACY = 0.8, 0.55, 0.99
+#: Start and bounds of a rule's accuracy on good and on poor documents, and of the share of good ones.  A rule for
+#: one fault is silent on others, so few poor documents need trigger it, but bounds are set so that good ones seldom do.
+OF_GOOD, OF_POOR, PRIOR = 0.99, 0.4, 20.0
+LEAST_ACCURACY, MOST_ACCURACY, LEAST_RATIO = 0.99, 0.999, 10.0
 GOOD, LEAST_GOOD, MOST_GOOD = 0.8, 0.05, 0.99
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, n_upper_words, n_loud_words (ending in !!) and
-    n_distinct_words (long).
+    n_repeat_words, n_upper_words, n_distinct_words and n_lines (long).
 
     A null or blank text has 0 of each; a line without a word is no line; a
     text with fewer than three words has no window.
@@ -72,7 +73,6 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         count(covered).alias("n_repeat_words"),
         count(F.size(F.filter("__words__", lambda w: (w == F.upper(w)) & (w != F.lower(w)) & (F.length(w) > 2))))
         .alias("n_upper_words"),
-        count(F.size(F.filter("__words__", lambda w: w.endswith("!!")))).alias("n_loud_words"),
         count(F.size(F.array_distinct("__words__"))).alias("n_distinct_words"),
         count(F.size("__lines__")).alias("n_lines"))
 
@@ -90,37 +90,47 @@ def rules() -> dict[str, Column]:
         "dup_lines": _rule(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 0.05, 0.3),
         "repeats": _rule(F.col("n_repeat_words") / words, 0.1, 0.3),
         "upper": _rule(F.col("n_upper_words") / words, 0.03, 0.2),
-        "loud": _rule(F.col("n_loud_words") / words, 0.01, 0.1),
         "word_length": F.when((mean < 2.5) | (mean > 15), -1).when((mean >= 3.5) & (mean <= 10), 1).otherwise(0),
         "distinct": F.when(F.col("n_distinct_words") / words < 0.2, -1)
         .when((F.col("n_distinct_words") / words > 0.4) | (F.col("n_words") > 2000), 1).otherwise(0),
     }
 
 
-def _log_odds(names: list[str], accuracy: dict[str, float], good: float) -> Column:
+Accuracy = dict[str, tuple[float, float]]
+
+
+def _log_odds(names: list[str], accuracy: Accuracy, good: float) -> Column:
     total = F.lit(math.log(good / (1 - good)))
     for r in names:
-        total = total + F.col(r) * math.log(accuracy[r] / (1 - accuracy[r]))
+        of_good, of_poor = accuracy[r]
+        total = total + F.when(F.col(r) == 1, math.log(of_good / (1 - of_poor))).when(
+            F.col(r) == -1, math.log((1 - of_good) / of_poor)).otherwise(0.0)
     return total
 
 
-def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> tuple[dict[str, float], float]:
-    """(accuracy of each rule, share of good documents) by expectation-
-    maximisation over ``patterns`` (one column per rule, and n)."""
-    accuracy, good = dict.fromkeys(names, ACCURACY), GOOD
+def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> tuple[Accuracy, float]:
+    """Each rule's accuracy on good and on poor documents (when it votes), and
+    the share of good documents, by expectation-maximisation over ``patterns``
+    (one column per rule, and n)."""
+    accuracy, good = dict.fromkeys(names, (OF_GOOD, OF_POOR)), GOOD
     for _ in range(rounds):
         p = 1 / (1 + F.exp(-_log_odds(names, accuracy, good)))
-        right = [F.sum(F.col("n") * F.when(F.col(r) == 1, p).when(F.col(r) == -1, 1 - p).otherwise(0.0)).alias(f"{r}_r")
-                 for r in names]
-        votes = [F.sum(F.col("n") * F.abs(F.col(r))).alias(f"{r}_v") for r in names]
-        got = patterns.agg(F.sum(F.col("n") * p).alias("good"), F.sum("n").alias("all"), *right, *votes).first()
+        n = F.col("n")
+        sums = [F.sum(F.when(F.col(r) == vote, n * weight).otherwise(0.0)).alias(f"{r}{kind}")
+                for r in names for kind, vote, weight in (("+g", 1, p), ("-g", -1, p), ("+p", 1, 1 - p),
+                                                          ("-p", -1, 1 - p))]
+        got = patterns.agg(F.sum(n * p).alias("good"), F.sum("n").alias("all"), *sums).first()
         if not got["all"]:
             break
-        # One vote each way, at the starting accuracy, for rules that seldom vote.
-        new = {r: min(MOST_ACCURACY, max(LEAST_ACCURACY, (got[f"{r}_r"] + 2 * ACCURACY) / (got[f"{r}_v"] + 2)))
-               for r in names}
+        new = {}
+        for r in names:
+            # PRIOR votes at the starting accuracies, for rules that seldom vote.
+            of_good = (got[f"{r}+g"] + PRIOR * OF_GOOD) / (got[f"{r}+g"] + got[f"{r}-g"] + PRIOR)
+            of_poor = (got[f"{r}-p"] + PRIOR * OF_POOR) / (got[f"{r}+p"] + got[f"{r}-p"] + PRIOR)
+            of_good = min(MOST_ACCURACY, max(LEAST_ACCURACY, of_good))
+            new[r] = (of_good, min(MOST_ACCURACY, max(LEAST_RATIO * (1 - of_good), of_poor)))
         share = min(MOST_GOOD, max(LEAST_GOOD, got["good"] / got["all"]))
-        change = max(abs(share - good), *(abs(new[r] - accuracy[r]) for r in names))
+        change = max(abs(share - good), *(abs(x - y) for r in names for x, y in zip(new[r], accuracy[r])))
         accuracy, good = new, share
         if change < TOLERANCE:
             break
@@ -133,7 +143,7 @@ def judge(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id"
     per rule, base_failed (too short, or mostly repeated words), p_good and
     kept.
 
-    A null or blank text fails the base.  Repeated rows are judged alike.
+    Accuracies are estimated over the documents that pass the base.  A null or blank text fails it.  Repeated rows are judged alike.
     An empty table gives no rows.
     """
     made = rules()
@@ -141,10 +151,10 @@ def judge(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id"
     stats = with_statistics(source, "__text__").drop("__text__")
     voted = write_table(stats.select("*", *[v.alias(f"vote_{r}") for r, v in made.items()]), "quality-votes")
     names = [f"vote_{r}" for r in made]
-    patterns = write_table(voted.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "quality-patterns")
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    patterns = write_table(voted.where(~failed).groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "quality-patterns")
     accuracy, good = estimate(patterns, names)
     drop_table(patterns)
     p = 1 / (1 + F.exp(-_log_odds(names, accuracy, good)))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (voted.withColumn("base_failed", failed).withColumn("p_good", F.round(p, 6))
             .withColumn("kept", ~failed & (p >= min_probability)))
