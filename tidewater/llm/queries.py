@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, mixing, quality, quality_rules, secrets, toxicity
+from . import decontaminate, jaccard, langid, mixing, quality, quality_rules, secrets, toxicity, url_filter
 from .storage import read
 
 QUERIES: dict = {}
@@ -75,3 +75,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "p_good")
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
