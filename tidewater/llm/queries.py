@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, mixing, quality, quality_rules, secrets, toxicity, url_filter
+from . import decontaminate, jaccard, langid, mixing, quality, quality_rules, secrets, suffix_dedup, toxicity, url_filter
 from .storage import read
 
 QUERIES: dict = {}
@@ -80,3 +80,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
