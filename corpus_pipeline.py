@@ -1,12 +1,17 @@
 """From raw documents to a training mix: the stages in order, each a function
 (spark, docs, sf_dir) -> DataFrame whose result is written as Parquet and read
-again as the next stage's documents."""
+again as the next stage's documents.
+
+Each stage takes any further columns along and holds for an empty table.  Nulls,
+blank texts and repeated rows: see the stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import langid
+from tidewater.llm import decontaminate, jaccard, langid, mixing, secrets
 from tidewater.llm.storage import read, write_table
 
 #: Least posterior of the predicted language that a document keeps.
@@ -14,14 +19,57 @@ MIN_LANG_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is recognised (``und`` and doubtful ones go)."""
+    """Keep documents whose language is recognised; null texts, texts without a
+    letter and doubtful ones go.  The stated languages are learned from, never
+    trusted for a document of its own."""
     model = langid.fit(docs.where(~langid.held_out()))
     guess = langid.predict(docs, model)
     return guess.where((guess["lang_pred"] != langid.UNKNOWN) & (guess["score"] >= MIN_LANG_SCORE)).select(docs.columns)
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id stays
+    (null ids last, ties by a hash of the text).  Documents without words are
+    linked with nothing and stay; of rows with equal id and text one stays."""
+    found = jaccard.jaccard_groups(docs)
+    no_id, own_id = F.col("doc_id").isNull().alias("__no_id__"), F.coalesce("doc_id", F.lit(0)).alias("__id__")
+    first = F.min(F.struct(no_id, own_id, F.col("text_hash").alias("__hash__")))
+    alone = found.where("`group` is null").select(no_id, own_id, F.col("text_hash").alias("__hash__"))
+    kept = found.where("`group` is not null").groupBy("group").agg(first.alias("rep")).select("rep.*")
+    key = ["__no_id__", "__id__", "__hash__"]
+    keyed = docs.select(*docs.columns, no_id, own_id, F.xxhash64("text").alias("__hash__"))
+    return keyed.join(kept.unionByName(alone), key, "left_semi").dropDuplicates(key).select(docs.columns)
+
+
+def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, or an edited copy of one, go."""
+    found = decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return found.where(F.size("leaks") == 0).select(docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Confirmed secrets are replaced by a mark, and n_chars follows the text;
+    every document stays."""
+    clean = secrets.redact(docs, secrets.scan(docs))
+    if "n_chars" not in docs.columns:
+        return clean
+    kind = docs.schema["n_chars"].dataType
+    return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars"))).select(docs.columns)
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: one row per document it takes, with ``copies`` (how often) and
+    ``taken`` (words in all); documents it doesn't take go."""
+    return mixing.mix_sources(docs).where("copies > 0").select(
+        "doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
 STAGES = [
     ("language", identify_language),
+    ("jaccard", keep_one_of_each_group),
+    ("decontamination", remove_benchmark_leaks),
+    ("secrets", redact_secrets),
+    ("mix", mix_to_targets),
 ]
 
 #: Naive Bayes, alignment and random forest have no SQL form.
