@@ -1,0 +1,126 @@
+"""Decontamination, secret scan and mixing on planted cases."""
+
+import string
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tidewater.llm import decontaminate, mixing, secrets
+
+from .helpers import awkward, frame, prose, rng, words
+
+
+def test_alignment_equals_the_full_table():
+    r = np.random.default_rng(1)
+    for _ in range(40):
+        a, b = r.integers(0, 5, r.integers(1, 12)), r.integers(0, 5, r.integers(1, 15))
+        h = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                s = decontaminate.MATCH if a[i] == b[j] else decontaminate.MISMATCH
+                h[i + 1, j + 1] = max(0, h[i, j] + s, h[i, j + 1] + decontaminate.GAP, h[i + 1, j] + decontaminate.GAP)
+        assert decontaminate.align(a, b)[0] == h.max()
+
+
+def test_copies_and_edited_copies_are_found(spark):
+    r = rng(9)
+    items = [(k, prose(r, 30, 3000)) for k in range(8)] + [(20, None), (21, " "), (22, "tiny item")]
+    edited = items[1][1].split()
+    edited[4], edited[15] = "other", "changed"
+    del edited[22]
+    docs = [(k, prose(r, 200, 3000), "en", "a", 1) for k in range(40)]
+    docs += [(100, prose(r, 80, 3000) + " " + items[0][1] + "\n" + prose(r, 50, 3000), "en", "a", 1),
+             (101, prose(r, 300, 3000) + " " + " ".join(edited), "en", "a", 1), (102, items[2][1].upper(), "en", "a", 1),
+             (103, items[3][1] + " x " + items[4][1], "en", "a", 1), (104, "tiny ITEM", "en", "a", 1),
+             (105, "a tiny item in prose", "en", "a", 1)]
+    table = frame(spark, docs + awkward())
+    bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS doc_id")
+    for most in (decontaminate.BLOCK_CHARS, 100):  # one block, and a block per item
+        found = decontaminate.find_leaks(table, bench, block_chars=most)
+        assert found.count() == len(docs) + len(awkward())
+        got = {(x.doc_id, y.item_id) for x in found.where("size(leaks) > 0").collect() for y in x.leaks}
+        assert got == {(100, 0), (101, 1), (102, 2), (103, 3), (103, 4), (104, 22)}
+
+
+def test_no_benchmark_and_no_documents(spark):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.find_leaks(frame(spark, awkward()), none).where("size(leaks) > 0").isEmpty()
+    some = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
+    assert decontaminate.find_leaks(frame(spark, []), some).collect() == []
+
+
+def key(r, n=32):
+    return "".join(r.choice(string.ascii_letters + string.digits) for _ in range(n - 1)) + str(r.randrange(10))
+
+
+def test_planted_secrets_are_found_and_redacted(spark):
+    r = rng(2)
+    rows, planted = [], {}
+    for i in range(60):
+        body = prose(r, 60, 300)
+        if i % 3 == 0:
+            planted[i] = key(r)
+            body += f' token = "{planted[i]}" ' + prose(r, 10)
+        elif i % 3 == 1:
+            body += f" mail user{i}@mail{i}.example.com or call 4785380592391139 " + prose(r, 5)
+        rows.append((i, body, "en", "a", len(body)))
+    docs = frame(spark, rows + awkward())
+    found = secrets.scan(docs)
+    hits = {(x.doc_id, x.value) for x in found.where("is_secret").collect()}
+    assert hits == set(planted.items())
+    clean = secrets.redact(docs, found)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    texts = {x.doc_id: x.text for x in clean.collect()}
+    assert all(v not in texts[i] and secrets.REDACTED in texts[i] for i, v in planted.items())
+    assert all(texts[i] == t for i, t, *_ in rows if i not in planted)
+
+
+def test_nothing_to_scan(spark):
+    assert secrets.scan(frame(spark, [])).collect() == []
+    assert secrets.scan(frame(spark, awkward())).where("is_secret").isEmpty()
+
+
+def want_targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
+    capped = set()
+    while True:
+        left = sum(sizes.values()) - sum(3 * sizes[s] for s in capped)
+        free = [s for s in order if s not in capped]
+        total = sum(weight[s] for s in free)
+        aim = {s: 3 * sizes[s] if s in capped else left * weight[s] / total for s in order}
+        over = [s for s in free if aim[s] > 3 * sizes[s] + 1e-9]
+        if not over:
+            return aim
+        capped |= set(over)
+
+
+@pytest.mark.parametrize("block", [20_000, 50])
+def test_mix_meets_its_targets(spark, block):
+    r = rng(1)
+    rows = [(i, prose(r, r.randrange(1, 60)), None, r.choice(["a", "a", "a", "b", "c", "Z", None]), None)
+            for i in range(900)] + [(2000 + i, prose(r, 3), None, "small", None) for i in range(5)]
+    rows += [(i, t, g, s, n) for i, t, g, s, n in awkward()]
+    docs = frame(spark, rows)
+    run = lambda: sorted(((x.doc_id, x.source, x.size, x.source_size, x.target, x.copies, x.taken)
+                          for x in mixing.mix_sources(docs, block=block).collect()), key=str)
+    got = run()
+    assert got == run()
+    sizes = defaultdict(int)
+    for _, t, _, s, _ in rows:
+        sizes[s] += len(words(t))
+    aims, taken = want_targets(dict(sizes)), defaultdict(int)
+    assert len(got) == len(rows)
+    for _, s, size, source_size, target, copies, words_taken in got:
+        assert source_size == sizes[s] and target == pytest.approx(aims[s])
+        assert words_taken == size * copies and 0 <= copies <= 3
+        taken[s] += words_taken
+    for s, aim in aims.items():
+        assert abs(taken[s] - aim) <= max(60, 0.02 * aim), s
+
+
+def test_nothing_to_mix(spark):
+    assert mixing.mix_sources(frame(spark, [])).collect() == []
+    only = frame(spark, [(1, None, None, None, None), (2, "", None, "a", None)])
+    assert [x.taken for x in mixing.mix_sources(only).collect()] == [0, 0]

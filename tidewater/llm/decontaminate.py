@@ -202,8 +202,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     item_words, first_word, last_word) per document, by item, empty if clean.
 
     Null and blank texts and items have no words and no leaks.  An item with
-    fewer than ``n_words`` words is one seed, all its words.  Repeated
-    documents each get their leaks; repeated items are reported once each.
+    fewer than ``n_words`` words is no evidence inside longer prose: it is
+    found in a document of just the same words.  Repeated documents
+    each get their leaks; repeated items are reported once each.
     """
     texts = pick(docs, text=text).where("text is not null")
     out, columns = docs, [c for c in docs.columns if c != "leaks"]
