@@ -154,9 +154,7 @@ def q_s3(spark, sf):
 
 @query("S4_table_scan_explicit_columns")
 def q_s4(spark, sf):
-    return (t(spark, sf, "orders")
-            .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-            .filter(F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp")))
+    return t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
 
 
 # --------------------------------------------------------------------------

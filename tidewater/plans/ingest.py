@@ -1,6 +1,6 @@
 """One ingestion run over landed feed entries, as a single Spark plan.
 
-entries -> first-wins URL dedupe -> first N per window -> canonical URL ->
+entries -> first-wins URL dedupe (-> first N per window) -> canonical URL ->
 new-vs-known anti join -> page text + heuristics (+ optional landed model
 answers) -> article rows (validated) -> entities (exploded, deduped,
 resolved, validated) -> links (deduped, id-joined, insert-only merge) ->
@@ -29,7 +29,6 @@ from ..sinks import tables
 
 # ---- fixed values (must equal the reference's behaviour) -------------------
 DEFAULT_TITLE, DEFAULT_SOURCE, LANGUAGE = "Untitled", "Unknown", "en"
-FETCH_LIMIT = 60
 INSERTED_EVENT, INSERTED_PREFIX = "pipeline_inserted_article", "Inserted Article: "
 # -----------------------------------------------------------------------------
 
@@ -111,7 +110,7 @@ class RunOutput:
 
 def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing_companies: DataFrame,
            existing_people: DataFrame, existing_links: DataFrame, run_id: str, now: Column,
-           answers: DataFrame | None = None, limit: int = FETCH_LIMIT,
+           answers: DataFrame | None = None, limit: int | None = None,
            keywords: list[str] = text.TOPIC_KEYWORDS, page_order: str | None = None) -> RunOutput:
     """One run over all windows of ``entries``.
 
@@ -119,7 +118,8 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
     source_name, publish_datetime, summary.  pages: url (canonical), html
     and, when ``page_order`` names it, a fetch position: several fetches of
     one URL may have landed and the first wins (without it, pages must hold
-    one row per URL).  answers (optional): url, answer.
+    one row per URL).  answers (optional): url, answer.  limit (optional):
+    first entries of each window that the run looks at; all by default.
     """
     rid = F.lit(run_id)
     win = ["window_start", "window_end"]
@@ -127,7 +127,8 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
     missing = e.filter(F.col("_key").isNull())
     first = dedupe.first_wins(e.filter(F.col("_key").isNotNull()),
                               F.struct(*win, F.col("_key")), ["kw_pos", "entry_pos"], "_dk").drop("_dk", "_key")
-    first = dedupe.first_n_per_group(first, limit, win, ["kw_pos", "entry_pos"], "_rank").drop("_rank")
+    if limit is not None:
+        first = dedupe.first_n_per_group(first, limit, win, ["kw_pos", "entry_pos"], "_rank").drop("_rank")
     # materialised once: every branch below (skips, repeats, known, new) reads it
     canon = materialize(urls.with_canonical_url(first, "url", "canonical_url"), "ingest_entries")
     blank = canon.filter(F.coalesce(F.col("canonical_url"), F.lit("")) == "")
