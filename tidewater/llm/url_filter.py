@@ -120,7 +120,8 @@ def judge_urls(pages: DataFrame, rules=RULES, url: str = "url", html: str = "htm
     rows = pick(pages, page_id=page_id, url=url, html=html).withColumn("host", host_of(F.col("url"))).withColumn(
         "path", path_of(F.col("url")))
     narrow = rows.select("page_id", "host", "path")
-    hosts = with_rules(narrow.select("host").distinct(), rules)
+    # Read back, so that the join below deals both sides anew and a hot host's pages can be split.
+    hosts = write_table(with_rules(narrow.select("host").distinct(), rules), "url-rules")
     best = F.get(F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"])), 0)
     judged = write_table(narrow.join(hosts, "host", "left").withColumn("best", best).select(
         "page_id", "host", "path", F.concat("best.rule_host", "best.rule_path").alias("rule"),
