@@ -23,8 +23,7 @@ def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
     if name not in SQL:
-        assert len(rows) >= 0
-        return
+        pytest.skip("no SQL form; held against brute force elsewhere")
     cur = con.execute(SQL[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(dcols)

@@ -771,11 +771,10 @@ def sheet_rows(spark, sf) -> DataFrame:
 
 @query("K5_sheet_row_append")
 def q_k5(spark, sf):
-    from .sinks.exports import SHEET_COLUMNS, append_sheet_rows
+    from .sinks.exports import append_sheet_rows, read_sheet
     path = scratch_path(spark, "sheet")
     append_sheet_rows(sheet_rows(spark, sf), path)
-    back = spark.read.option("header", True).schema(", ".join(f"{c} string" for c in SHEET_COLUMNS)).csv(path)
-    return back.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in SHEET_COLUMNS])
+    return read_sheet(spark, path)
 
 
 @query("S5_url_column_scan")
@@ -910,7 +909,7 @@ def q_k7(spark, sf):
 
 @query("K6_csv_report_export")
 def q_k6(spark, sf):
-    from .sinks.exports import write_csv_report
+    from .sinks.exports import read_csv_report, write_csv_report
     r = recent(spark, sf)
     _, f, _, _ = report_tables(spark, sf)
     base = scratch_path(spark, "report")
@@ -921,10 +920,9 @@ def q_k6(spark, sf):
     res = None
     for name, (df, cols) in outs.items():
         write_csv_report(df, f"{base}/{name}", cols)
-        # quoted fields may hold line breaks: read back record-wise, not line-wise
-        back = spark.read.option("header", True).option("multiLine", True).csv(f"{base}/{name}")
-        d = back.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("report"), "n_rows",
-                                                                 F.lit(",".join(back.columns)).alias("header"))
+        back = read_csv_report(spark, f"{base}/{name}")
+        d = back.select(F.lit(name).alias("report"), F.lit(",".join(back.columns)).alias("header"),
+                        F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in back.columns]).alias("record"))
         res = d if res is None else res.unionByName(d)
     return res
 
@@ -938,12 +936,15 @@ def briefing_list(spark, sf) -> DataFrame:
 
 
 def with_briefing_summary(df: DataFrame) -> DataFrame:
-    """Summary of each answer: 'summary', else 'brief' (answers that are
-    not JSON objects give NULL and the message default)."""
-    v = lj.parse_fenced_json("briefing_answer")
-    summary = lj.let(v, lambda x: F.when(lj.is_obj(x), F.coalesce(lj.as_str(lj.vfield(x, "summary")),
-                                                                  lj.as_str(lj.vfield(x, "brief")))))
-    return df.select("pos", "title", "url", summary.alias("summary"))
+    """Summary of each answer for the message."""
+    return df.select("pos", "title", "url", message_summary(lj.parse_fenced_json("briefing_answer")).alias("summary"))
+
+
+def message_summary(answer):
+    """An object's 'summary', else its 'brief'; a text answer itself; NULL for
+    other answers (the message has a default)."""
+    return lj.let(answer, lambda x: F.when(lj.is_obj(x), F.coalesce(
+        lj.as_str(lj.vfield(x, "summary")), lj.as_str(lj.vfield(x, "brief")))).otherwise(lj.as_str(x)))
 
 
 @query("O6_top3_briefing")
@@ -1079,8 +1080,15 @@ def q_s1(spark, sf):
 @query("P9_feed_date_parse")
 def q_p9(spark, sf):
     e = t(spark, sf, "events").select("event_id", "ts")
-    v = F.col("event_id") % 5
+    v = F.col("event_id") % 12
     text_ = (F.when(v == 0, F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss 'GMT'"))
+             .when(v == 5, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+             .when(v == 6, F.date_format("ts", "yyyy-MM-dd HH:mm:ss'+00:00'"))
+             .when(v == 7, F.date_format("ts", "EEE, d MMM yyyy HH:mm '+0000'"))
+             .when(v == 8, F.date_format("ts", "dd MMM yy HH:mm:ss 'GMT'"))
+             .when(v == 9, F.date_format("ts", "MMMM d, yyyy h:mm a"))
+             .when(v == 10, F.date_format("ts", "EEE MMM dd HH:mm:ss yyyy"))
+             .when(v == 11, F.date_format("ts", "M/d/yyyy HH:mm"))
              .when(v == 1, F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"),
                                                   "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0200")))
              .when(v == 2, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")))
@@ -1186,10 +1194,10 @@ def q_e2(spark, sf):
         .select(F.row_number().over(Window.orderBy("pos")).alias("line_no"), "line")
 
 
-@query("E3_daily_briefing")
-def q_e3(spark, sf):
-    """Sheet URLs + news-API responses -> new articles -> answers (primary
-    or fallback) -> sheet rows appended -> top-3 briefing message."""
+def briefing_run(spark, sf):
+    """Sheet URLs + news-API responses -> new articles -> answers (primary or
+    fallback) -> a sheet row appended for each.  Returns the sheet's path and
+    the new articles (pos, title, url, summary for the message)."""
     from .sinks.exports import append_sheet_rows
     from .sources.sheets import url_column
     sheet = scratch_path(spark, "sheet")
@@ -1201,11 +1209,24 @@ def q_e3(spark, sf):
                                   url_column(spark, sheet))
     ans = answers(spark, sf).select(F.col("event_id").alias("resp_pos"), "briefing_answer", "primary_error",
                                     "fallback_answer")
-    top = brief.top_entries(arts.withColumn("pos", F.struct("resp_pos", "art_pos")))
     v = lj.primary_or_fallback("briefing_answer", "primary_error", "fallback_answer")
-    summ = lj.let(v, lambda x: F.when(lj.is_obj(x), F.coalesce(lj.as_str(lj.vfield(x, "summary")),
-                                                               lj.as_str(lj.vfield(x, "brief")))))
-    enriched = top.join(ans, "resp_pos", "left").select("pos", "title", "url", summ.alias("summary"))
-    append_sheet_rows(enriched.select(F.lit("2024-01-31").alias("date"), "title", "url", "summary",
-                                      F.lit("").alias("author"), F.lit("").alias("entities")), sheet)
-    return brief.briefing_message(enriched)
+    found = (arts.join(ans, "resp_pos", "left").withColumn("answer", v)
+             .select(F.struct("resp_pos", "art_pos").alias("pos"), "title", "url",
+                     message_summary(F.col("answer")).alias("summary"), lj.briefing_fields(F.col("answer")).alias("b")))
+    append_sheet_rows(found.select(F.lit("2024-01-31").alias("date"), "title", "url", F.col("b.summary").alias("summary"),
+                                   F.col("b.author").alias("author"),
+                                   F.array_join("b.entities", ", ").alias("entities")), sheet)
+    return sheet, found.select("pos", "title", "url", "summary")
+
+
+@query("E3_daily_briefing")
+def q_e3(spark, sf):
+    """The message: the first three of the run's new articles."""
+    return brief.briefing_message(briefing_run(spark, sf)[1])
+
+
+@query("E3_sheet_after_run")
+def q_e3_sheet(spark, sf):
+    """The whole sheet after the run: the known rows and one per new article."""
+    from .sinks.exports import read_sheet
+    return read_sheet(spark, briefing_run(spark, sf)[0])

@@ -9,10 +9,16 @@ from pyspark.sql import types as T
 from .strings import col_, py_strip
 
 # ---- fixed values (must equal the reference's behaviour) -------------------
-# Feed date formats tried after the weekday prefix is removed (RFC 822/1123).
-FEED_DATE_FORMATS = ["dd MMM yyyy HH:mm:ss z", "dd MMM yyyy HH:mm:ss xx", "d MMM yyyy HH:mm:ss z",
-                     "d MMM yyyy HH:mm:ss xx", "dd MMM yyyy HH:mm z", "yyyy-MM-dd'T'HH:mm:ssXXX",
-                     "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
+# Feed date formats tried, besides ISO 8601, after a weekday is removed:
+# RFC 822/1123 with two- and four-digit years, offsets or zone names and
+# optional seconds, month names first, ctime, and slashed dates.
+FEED_DATE_FORMATS = ["d MMM yyyy[ HH:mm[:ss]][ xx]", "d MMM yyyy HH:mm[:ss] z",
+                     "d MMM yyyy HH:mm[:ss] xxx", "d MMM yy HH:mm[:ss][ xx]", "d MMM yy HH:mm[:ss] z",
+                     "d MMMM yyyy[ HH:mm[:ss]][ xx]", "MMM d, yyyy[ HH:mm[:ss]]", "MMM d, yyyy h:mm[:ss] a",
+                     "MMMM d, yyyy[ HH:mm[:ss]]", "MMMM d, yyyy h:mm[:ss] a", "MMM d HH:mm:ss yyyy",
+                     "yyyy/M/d[ HH:mm[:ss]]", "M/d/yyyy[ HH:mm[:ss]]", "M/d/yyyy h:mm[:ss] a"]
+WEEKDAY = r"(?i)^(mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(day)?\.?,?\s+"
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}([T ].*)?$"
 # -----------------------------------------------------------------------------
 
 
@@ -53,10 +59,12 @@ def iso_utc(ts) -> Column:
 
 
 def feed_date(c, now) -> Column:
-    """Feed date text -> timestamp; a weekday prefix is removed first;
-    unparseable text -> ``now`` (as the reference does); NULL stays NULL."""
+    """Feed date text -> timestamp (without an offset: UTC, the session's
+    zone); a weekday is removed first; unparseable text -> ``now`` (as the
+    reference does); NULL stays NULL."""
     x = col_(c)
-    s = F.regexp_replace(py_strip(x), r"^[A-Za-z]{3,9},\s*", "")
-    s = F.regexp_replace(s, r"\s(GMT|UT|UTC|Z)$", " +0000")
-    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in FEED_DATE_FORMATS])
+    s = F.regexp_replace(F.regexp_replace(py_strip(x), WEEKDAY, ""), r"\s+", " ")
+    s = F.regexp_replace(s, r" (GMT|UT|UTC|Z)$", " +0000")
+    iso = F.when(s.rlike(ISO_DATE), F.regexp_replace(s, r"(:\d{2}(?:\.\d+)?) ?([+-]\d{2}):?(\d{2})$", "$1$2:$3"))
+    parsed = F.coalesce(iso.try_cast("timestamp"), *[F.try_to_timestamp(s, F.lit(f)) for f in FEED_DATE_FORMATS])
     return F.when(x.isNull(), F.lit(None).cast("timestamp")).otherwise(F.coalesce(parsed, col_(now)))

@@ -45,7 +45,7 @@ _SENTENCE_SPLIT = rf"(?U)(?<=[.!?]){PY_WS}+"
 
 
 def keyword_pattern(keywords: list[str]) -> str:
-    return r"\b(" + "|".join(keywords) + r")\b"
+    return r"(?U)\b(" + "|".join(keywords) + r")\b"
 
 
 def company_pattern(suffixes: list[str] = COMPANY_SUFFIXES) -> str:

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 def union_batches(batches: list[tuple[int, DataFrame, bool]]) -> DataFrame:
     """(kw_pos, rows, failed) per batch -> rows of the successful batches,
-    tagged with their keyword position (by-name union)."""
+    tagged with their keyword position (by-name union).  When every batch
+    failed the result is empty, with the batches' columns."""
+    if not batches:
+        raise ValueError("no batches, so no columns")
     out = None
     for pos, df, failed in batches:
-        if failed:
-            continue
         d = df.withColumn("kw_pos", F.lit(pos))
+        d = d.where(F.lit(False)) if failed else d
         out = d if out is None else out.unionByName(d, allowMissingColumns=True)
-    if out is None:
-        raise ValueError("no successful batch")
     return out

@@ -1,11 +1,11 @@
 """First-wins deduplication (A5-A8, A10) and per-window first-N.
 
 "First" is always an explicit position (W2) - never input order - so the
-result is deterministic under any partitioning.  Dedupe is a hash
-aggregate with ``min_by(struct(row), struct(position))``: Spark runs it as
-partial (map-side) + final aggregation, so a hot key that holds a third of
-all rows is collapsed inside each map task before the shuffle and only
-one candidate per key and task crosses the network.
+result is deterministic under any partitioning.  Dedupe is
+``min_by(struct(row), struct(position))``: a sort aggregate (its buffers hold
+whole rows), which Spark runs as partial (map-side) + final aggregation, so a
+hot key that holds a third of all rows is collapsed inside each map task
+before the shuffle and only one candidate per key and task crosses the network.
 """
 
 from __future__ import annotations

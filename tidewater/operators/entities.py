@@ -24,13 +24,17 @@ def explode_companies(articles: DataFrame, col: str = "companies", keep=()) -> D
 
 
 def explode_people(articles: DataFrame, col: str = "people", keep=()) -> DataFrame:
-    """D14 (people): one row per person element; role defaults to
-    'Mentioned'; ``person_key`` is NULL for a blank name."""
+    """D14 (people): one row per person element; a role that the element
+    carries is kept, else it is 'Mentioned'; ``person_key`` is NULL for a
+    blank name."""
     e = articles.select(*PROVENANCE, *keep, F.posexplode(col).alias("elem_pos", "_p"))
     fields = ("full_name", "primary_title", "primary_company", "lead_relevance", "notes")
-    out = e.select(*PROVENANCE, *keep, "elem_pos", *[F.col(f"_p.{f}").alias(f) for f in fields])
-    return (out.withColumn("role_in_article", F.lit(DEFAULT_ROLE))
-               .withColumn("person_key", person_key("full_name", "primary_company")))
+    role = F.lit(DEFAULT_ROLE)
+    if "role_in_article" in e.schema["_p"].dataType.names:
+        role = F.coalesce("_p.role_in_article", role)
+    out = e.select(*PROVENANCE, *keep, "elem_pos", *[F.col(f"_p.{f}").alias(f) for f in fields],
+                   role.alias("role_in_article"))
+    return out.withColumn("person_key", person_key("full_name", "primary_company"))
 
 
 def links_from_people(people_rows: DataFrame, keep=()) -> DataFrame:

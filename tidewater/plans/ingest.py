@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, text, urls
+from ..functions.dates import iso_utc
 from ..functions.strings import let
 from ..functions import llm_json as lj
 from ..operators import dedupe, entities, resolve
@@ -79,7 +80,7 @@ def article_rows(df: DataFrame, extracted: str, now: Column, keep=()) -> DataFra
 def inserted_events(articles: DataFrame, run_id: Column, now: Column) -> DataFrame:
     """One JSON event row per inserted article."""
     return articles.select(F.to_json(F.struct(
-        F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), F.lit("INFO").alias("level"),
+        iso_utc(now).alias("ts"), F.lit("INFO").alias("level"),
         F.lit(INSERTED_EVENT).alias("event"), run_id.alias("run_id"),
         F.concat(F.lit(INSERTED_PREFIX), F.col("title")).alias("detail"))).alias("event_json"))
 
@@ -116,9 +117,9 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
 
     entries: window_start, window_end, kw_pos, entry_pos, title, url,
     source_name, publish_datetime, summary.  pages: url (canonical), html
-    and, when ``page_order`` names it, a fetch position: several fetches of
-    one URL may have landed and the first wins (without it, pages must hold
-    one row per URL).  answers (optional): url, answer.  limit (optional):
+    and, when ``page_order`` names it, a fetch position (non-null, unique
+    within a URL): several fetches of one URL may have landed and the first
+    wins (without it, pages must hold one row per URL).  answers (optional): url, answer.  limit (optional):
     first entries of each window that the run looks at; all by default.
     """
     rid = F.lit(run_id)
@@ -142,16 +143,15 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
         .filter(F.col("_first").isNull())
     new, known = resolve.new_vs_known(firsts, known_urls)
 
-    # fetch only what is new: narrow the landed pages to the new URLs first
-    # (semi join; AQE broadcasts the key side when its runtime size is
-    # small), then extract text for those pages alone
-    # Repeated fetches are deduped only here, after the semi join: the wide
-    # HTML rows of URLs this run does not need are never aggregated, and the
-    # semi join's partitioning by url already serves the dedupe.
-    wanted = pages.select("url", "html", *([page_order] if page_order else [])) \
-        .join(new.select("url"), "url", "left_semi")
+    # Fetch only what is new, then extract text for those pages alone.  Of
+    # several fetches of a URL the first is found on narrow rows (a hash
+    # aggregate with a map-side step), and HTML is joined on the pair, so the
+    # refetches of one hot URL never meet in one task.
+    keys, by = new.select("url"), ["url"]
     if page_order:
-        wanted = dedupe.first_wins(wanted, F.col("url"), [page_order], "_pk").select("url", "html")
+        by = ["url", page_order]
+        keys = pages.groupBy("url").agg(F.min(page_order).alias(page_order)).join(keys, "url", "left_semi")
+    wanted = pages.select(*by, "html").join(keys, by, "left_semi").select("url", "html")
     fetched = new.join(wanted, "url", "left").withColumn("full_text", text.page_main_text("html")).drop("html")
     fetched = fetched.withColumn("_heur", heuristic_payload("title", "summary", "full_text", "source_name",
                                                             keywords))

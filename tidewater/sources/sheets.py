@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks.exports import CSV_READ
+
 URL_COLUMN_INDEX = 3  # fixed value: the third column holds the URL
 
 
 def url_column(spark: SparkSession, path: str, index: int = URL_COLUMN_INDEX) -> DataFrame:
-    """Distinct values of column ``index`` (1-based); the first line of a
+    """Distinct values of column ``index`` (1-based); the first record of a
     file is dropped only when its value is 'url' (any case).
 
-    The first line of each file is found without reading order into one
-    task: rows of a file's first split get a monotonically increasing id
-    and the per-file minimum marks line 1 (one small aggregate + join).
+    Cells may hold line breaks and quotes, so a file is read record by record
+    (by one task; a sheet has many files).  The first record of each file is
+    its least monotonically increasing id (one small aggregate + join).
     """
-    raw = (spark.read.option("header", False).csv(path)
-           .select(F.col(f"_c{index - 1}").alias("url"),
-                   F.input_file_name().alias("_file"), F.input_file_block_start().alias("_start"),
+    raw = (spark.read.options(header=False, **CSV_READ).csv(path)
+           .select(F.col(f"_c{index - 1}").alias("url"), F.input_file_name().alias("_file"),
                    F.monotonically_increasing_id().alias("_rid")))
-    first = (raw.filter(F.col("_start") == 0).groupBy("_file").agg(F.min("_rid").alias("_rid"))
-             .withColumn("_first", F.lit(True)))
+    first = raw.groupBy("_file").agg(F.min("_rid").alias("_rid")).withColumn("_first", F.lit(True))
     marked = raw.join(first, ["_file", "_rid"], "left")
     header = F.coalesce(F.col("_first"), F.lit(False)) & (F.lower(F.col("url")) == "url")
     return marked.filter(~header).select(F.coalesce(F.col("url"), F.lit("")).alias("url")).distinct()
