@@ -7,19 +7,16 @@ when its posterior probability of being good is at least ``min_probability``,
 instead of when all rules pass.
 
 Only DataFrame operations: votes are aggregated to at most 3^rules patterns,
-written once, and every round is one aggregation over that table whose result
-is a single row of sums.
+one row holds them as a list, and the rounds are one expression over that row.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strings import bind_columns
-from .storage import drop_table, write_table
+from ..functions.strings import bind_columns, let
+from .storage import write_table
 
 SYMBOLS = r"[^#*$%&|<>]"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
@@ -99,42 +96,73 @@ def rules() -> dict[str, Column]:
 Accuracy = dict[str, tuple[float, float]]
 
 
-def _log_odds(names: list[str], accuracy: Accuracy, good: float) -> Column:
-    total = F.lit(math.log(good / (1 - good)))
-    for r in names:
-        of_good, of_poor = accuracy[r]
-        total = total + F.when(F.col(r) == 1, math.log(of_good / (1 - of_poor))).when(
-            F.col(r) == -1, math.log((1 - of_good) / of_poor)).otherwise(0.0)
+def _log_odds(votes: list[Column], of_good: list, of_poor: list, good) -> Column:
+    """Log odds of being good, given the votes."""
+    total = F.log(good / (1 - good))
+    for vote, g, p in zip(votes, of_good, of_poor):
+        total = total + F.when(vote == 1, F.log(g / (1 - p))).when(vote == -1, F.log((1 - g) / p)).otherwise(0.0)
     return total
 
 
+def _probability(votes: list[Column], of_good: list, of_poor: list, good) -> Column:
+    return 1 / (1 + F.exp(-_log_odds(votes, of_good, of_poor, good)))
+
+
+def _bounded(x: Column, least, most) -> Column:
+    return F.least(F.lit(most), F.greatest(F.lit(least), x))
+
+
+def _next(state: Column, patterns: Column, rules_: range) -> Column:
+    """One round: the state (good, of_good, of_poor, change) after ``state``."""
+    of_good, of_poor = ([state[kind][i] for i in rules_] for kind in ("of_good", "of_poor"))
+    weighted = F.transform(patterns, lambda x: F.struct(
+        x["votes"].alias("votes"), x["n"].cast("double").alias("n"),
+        (x["n"] * _probability([x["votes"][i] for i in rules_], of_good, of_poor, state["good"])).alias("good")))
+
+    def update(w: Column) -> Column:
+        def total(value, vote=None, i=0) -> Column:
+            return F.aggregate(w, F.lit(0.0), lambda acc, x: acc + (
+                value(x) if vote is None else F.when(x["votes"][i] == vote, value(x)).otherwise(0.0)))
+
+        good_of, poor_of = lambda x: x["good"], lambda x: x["n"] - x["good"]
+        new_good, new_poor = [], []
+        for i in rules_:
+            # PRIOR votes at the starting accuracies, for rules that seldom vote.
+            right, wrong = total(good_of, 1, i), total(good_of, -1, i)
+            new_good.append(_bounded((right + PRIOR * OF_GOOD) / (right + wrong + PRIOR), LEAST_ACCURACY, MOST_ACCURACY))
+            right, wrong = total(poor_of, -1, i), total(poor_of, 1, i)
+            new_poor.append((right + PRIOR * OF_POOR) / (right + wrong + PRIOR))
+        share = _bounded(total(good_of) / total(lambda x: x["n"]), LEAST_GOOD, MOST_GOOD)
+        return F.struct(share.alias("good"), F.array(*new_good).alias("of_good"), F.array(*new_poor).alias("poor"))
+
+    def close(new: Column) -> Column:
+        poor = F.zip_with(new["poor"], new["of_good"], lambda p, g: _bounded(p, LEAST_RATIO * (1 - g), MOST_ACCURACY))
+        return let(poor, lambda of_poor_: F.struct(
+            new["good"].alias("good"), new["of_good"].alias("of_good"), of_poor_.alias("of_poor"),
+            F.greatest(F.abs(new["good"] - state["good"]), *[
+                F.abs(x[i] - state[kind][i]) for kind, x in (("of_good", new["of_good"]), ("of_poor", of_poor_))
+                for i in rules_]).alias("change")))
+
+    return let(weighted, lambda w: let(update(w), close))
+
+
 def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> tuple[Accuracy, float]:
     """Each rule's accuracy on good and on poor documents (when it votes), and
     the share of good documents, by expectation-maximisation over ``patterns``
-    (one column per rule, and n)."""
-    accuracy, good = dict.fromkeys(names, (OF_GOOD, OF_POOR)), GOOD
-    for _ in range(rounds):
-        p = 1 / (1 + F.exp(-_log_odds(names, accuracy, good)))
-        n = F.col("n")
-        sums = [F.sum(F.when(F.col(r) == vote, n * weight).otherwise(0.0)).alias(f"{r}{kind}")
-                for r in names for kind, vote, weight in (("+g", 1, p), ("-g", -1, p), ("+p", 1, 1 - p),
-                                                          ("-p", -1, 1 - p))]
-        got = patterns.agg(F.sum(n * p).alias("good"), F.sum("n").alias("all"), *sums).first()
-        if not got["all"]:
-            break
-        new = {}
-        for r in names:
-            # PRIOR votes at the starting accuracies, for rules that seldom vote.
-            of_good = (got[f"{r}+g"] + PRIOR * OF_GOOD) / (got[f"{r}+g"] + got[f"{r}-g"] + PRIOR)
-            of_poor = (got[f"{r}-p"] + PRIOR * OF_POOR) / (got[f"{r}+p"] + got[f"{r}-p"] + PRIOR)
-            of_good = min(MOST_ACCURACY, max(LEAST_ACCURACY, of_good))
-            new[r] = (of_good, min(MOST_ACCURACY, max(LEAST_RATIO * (1 - of_good), of_poor)))
-        share = min(MOST_GOOD, max(LEAST_GOOD, got["good"] / got["all"]))
-        change = max(abs(share - good), *(abs(x - y) for r in names for x, y in zip(new[r], accuracy[r])))
-        accuracy, good = new, share
-        if change < TOLERANCE:
-            break
-    return accuracy, good
+    (one column per rule, and n).
+
+    The patterns, at most 3^rules, become one sorted list in one row, and all
+    rounds are one expression over it: one job, however many rounds.
+    """
+    rules_ = range(len(names))
+    start = F.struct(F.lit(GOOD).alias("good"), F.array(*[F.lit(OF_GOOD)] * len(names)).alias("of_good"),
+                     F.array(*[F.lit(OF_POOR)] * len(names)).alias("of_poor"), F.lit(1.0).alias("change"))
+    listed = patterns.agg(F.sort_array(F.collect_list(F.struct(
+        F.array(*[F.col(r).cast("int") for r in names]).alias("votes"), F.col("n")))).alias("patterns"))
+    last = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda state, _: F.when(
+        state["change"] < TOLERANCE, state).otherwise(_next(state, F.col("patterns"), rules_)))
+    got = listed.select(F.when(F.size("patterns") == 0, start).otherwise(last).alias("state")).first()["state"]
+    return dict(zip(names, zip(got["of_good"], got["of_poor"]))), got["good"]
 
 
 def judge(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -152,9 +180,8 @@ def judge(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id"
     voted = write_table(stats.select("*", *[v.alias(f"vote_{r}") for r, v in made.items()]), "quality-votes")
     names = [f"vote_{r}" for r in made]
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    patterns = write_table(voted.where(~failed).groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "quality-patterns")
-    accuracy, good = estimate(patterns, names)
-    drop_table(patterns)
-    p = 1 / (1 + F.exp(-_log_odds(names, accuracy, good)))
+    accuracy, good = estimate(voted.where(~failed).groupBy(*names).agg(F.count("*").alias("n")), names)
+    of_good, of_poor = ([F.lit(accuracy[r][k]) for r in names] for k in (0, 1))
+    p = _probability([F.col(r) for r in names], of_good, of_poor, F.lit(good))
     return (voted.withColumn("base_failed", failed).withColumn("p_good", F.round(p, 6))
             .withColumn("kept", ~failed & (p >= min_probability)))
