@@ -56,7 +56,13 @@ def test_first_n_per_window_limits_before_shuffle(spark):
 
 
 def test_dimension_joins_are_broadcast(spark):
-    plan = _plan(catalog.order_articles(spark, SF))
+    # The tables here are tiny; without a static bound only marked sides are broadcast.
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(catalog.order_articles(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
     assert "BroadcastHashJoin" in plan
     # the orders x customer join itself is left to AQE (it grows with the data)
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan

@@ -1,7 +1,7 @@
 """Broadcast only behind a runtime size proof.
 
-Static broadcast is off (see ``session.RUNTIME_CONF``); AQE broadcasts a
-join side only after a shuffle has measured it.  That still shuffles the
+Beyond the session's static bound (``session.RUNTIME_CONF``), AQE broadcasts
+a join side only after a shuffle has measured it.  That still shuffles the
 large side once, and a join on a low-cardinality key (e.g. 25 nation keys)
 sends the whole large side to at most that many reducers.  For a dimension
 that a bounded probe shows to be small, mark the broadcast up front.
