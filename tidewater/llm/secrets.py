@@ -1,7 +1,8 @@
 """Secret scan: candidate strings, judged by a random forest.
 
-Candidates are words with a run of twelve or more key characters that has a
-digit, and values assigned to a credential name.  The forest sees a candidate's
+Candidates are all runs of twelve or more key characters that have a digit, and
+all values assigned to a credential name, however many a word holds (minified
+JSON, CSV, query strings).  The forest sees a candidate's
 length, character classes and transitions between them, how much of it
 dictionary words cover (words that occur on their own anywhere in the corpus),
 path and address marks, and the words before it; it is trained on labelled
@@ -30,13 +31,26 @@ CREDENTIALS = (r"(?:token|secret|passw(?:or)?d|passwd|pwd|passphrase|api[_-]?key
 KNOWN_FORMATS = (r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
                  r"|^sk-[A-Za-z0-9_-]{20,}$|^AIza[A-Za-z0-9_-]{35}$|^eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+$")
 ASSIGN = r"(?:=>|:=|[:=])"
-#: In a text: a run of key characters with a digit, seen once from its start; or an assignment.
-IN_TEXT = (rf"(?<!{KEY_CHARS})(?=[A-Za-z+/=_.@-]*[0-9]){KEY_CHARS}{{12,}}"
-           rf"|(?i:{CREDENTIALS})[\w\"'-]*\s*{ASSIGN}\s*[\"']?[^\s\"']{{6,}}")
 LONG_RUN = rf"(?<!{KEY_CHARS})(?=[A-Za-z+/=_.@-]*[0-9]){KEY_CHARS}{{12,}}"
-NAME_ENDS = rf"(?i)^[\"'\w-]*{CREDENTIALS}[\w\"'-]*{ASSIGN}$"
-NAME = rf"(?i)^[\"'\w-]*{CREDENTIALS}[\w\"'-]*$"
-NAME_VALUE = rf"(?i)^[\"'\w-]*{CREDENTIALS}[\w\"'-]*{ASSIGN}[\"']?([^\s\"']{{6,}}).*$"
+#: A credential name and its assignment, wherever they stand in a word; also in escaped JSON.
+NAMED = rf"(?i:{CREDENTIALS})[\w\"'\\-]*"
+#: In a text: a run of key characters with a digit, seen once from its start; or an assignment.
+IN_TEXT = rf"{LONG_RUN}|{NAMED}\s*{ASSIGN}\s*\S{{6,}}"
+NAME_ENDS = rf"{NAMED}{ASSIGN}$"
+NAME = rf"{NAMED}$"
+#: Where the next assignment of a list, query string or object starts.
+NEXT_NAME = rf"[&,;|)}}\]]+\\*[\"']?[\w.%$-]+\\*[\"']?{ASSIGN}"
+OPEN = r"(?:[(\[{<]*\\*[\"'])?"
+#: Up to the closing quote; without quotes, up to a quote, the next assignment or the word's end.
+VALUE = rf"(?<=\")[^\s\"]+|(?<=')[^\s']+|(?<![\"'])[^\s\"']+?(?=\\*[\"']|$|{NEXT_NAME})"
+#: The value is only looked at, so that names inside it are found as well.
+NAME_VALUE = rf"{NAMED}{ASSIGN}{OPEN}(?=({VALUE}))"
+NAME_OF_VALUE = rf"{NAMED}{ASSIGN}(?={OPEN}[^\s\"']{{6,}})"
+#: The value of a word that stands after a name and its assignment.
+FIRST_VALUE = (rf"^[\\\"'(\[{{<]*((?<=\")[^\s\"]+|(?<=')[^\s']+"
+               rf"|(?<![\"'])\S+?(?=[\"']?{NEXT_NAME}|$))")
+#: A plain name before the value inside a run, as in a query string.
+PLAIN_NAME = rf"^(?:[A-Za-z_.-]+=+)+(?={KEY_CHARS}{{12,}})"
 LONE_ASSIGN = rf"^{ASSIGN}$"
 ADDRESS = r"^[^@]+@[A-Za-z0-9.-]+\.[A-Za-z]+$|^\d{1,3}(?:\.\d{1,3}){3}$|://"
 NUMBER = r"^[0-9][0-9.,:+/-]*$"
@@ -57,8 +71,9 @@ def _share(value: Column, kept: str) -> Column:
 
 
 def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, text_hash, word_no, word, before, before2, value, assigned):
-    one row per candidate occurrence, word_no counted from 0."""
+    """(doc_id, text_hash, word_no, word, before, before2, part, value,
+    assigned): one row per candidate occurrence, word_no counted from 0, and
+    part from 0 among the candidates of a word (assigned values first)."""
     rows = pick(docs, doc_id=doc_id, text=text).where(F.col("text").rlike(IN_TEXT))
     # Words once per row, as the output of a generator, so that the lambdas below don't split again.
     rows = bind_columns(rows.withColumn("text_hash", F.xxhash64("text")),
@@ -71,13 +86,22 @@ def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
                       | named(x))
     found = rows.select("doc_id", "text_hash", F.inline(wanted))
     x = {c: F.col(c) for c in ("word", "before", "before2")}
-    inside = F.regexp_extract("word", NAME_VALUE, 1)
-    bare = F.regexp_replace("word", r"^[\"'(\[{<]+|[\"')\]}>,;!?.]+$", "")
-    run = F.regexp_extract("word", LONG_RUN, 0)
-    assigned = named(x) | (inside != "")
-    value = F.when(inside != "", inside).when(run != "", F.regexp_replace(run, r"[.=-]+$", "")).otherwise(bare)
-    return (found.withColumn("assigned", assigned).withColumn("value", value)
-            .where((F.length("value") >= 12) | (F.col("assigned") & (F.length("value") >= 6))))
+    first = F.regexp_replace(F.regexp_extract("word", FIRST_VALUE, 1), r"[\"')\]}>,;!?.\\]+$", "")
+    inside = F.transform(F.regexp_extract_all("word", F.lit(NAME_VALUE), F.lit(1)),
+                         lambda v: F.regexp_replace(v, r"\\+$", ""))
+    no_end = lambda v: F.regexp_replace(v, r"[.=-]+$", "")
+    # Every run of the word, without the names that its values are assigned to.
+    runs = F.transform(F.regexp_extract_all(F.regexp_replace("word", NAME_OF_VALUE, " "), F.lit(LONG_RUN), F.lit(0)),
+                       lambda r: no_end(F.regexp_replace(r, PLAIN_NAME, "")))
+    parts = bind_columns(found, __assigned__=F.concat(
+        F.when(named(x), F.array(first)).otherwise(F.array().cast("array<string>")), inside), __runs__=runs)
+    part = lambda v, assigned: F.struct(v.alias("value"), assigned.alias("assigned"))
+    others = F.filter("__runs__", lambda r: ~F.exists("__assigned__", lambda v: no_end(v) == r))
+    return (parts.select(*found.columns, F.posexplode(F.concat(
+        F.transform("__assigned__", lambda v: part(v, F.lit(True))),
+        F.transform(others, lambda r: part(r, F.exists("__assigned__", lambda v: F.contains(v, r))))))
+        .alias("part", "__part__")).select(*found.columns, "part", "__part__.*")
+        .where((F.length("value") >= 12) | (F.col("assigned") & (F.length("value") >= 6))))
 
 
 def _letter_runs(value: Column) -> Column:
@@ -104,8 +128,9 @@ def with_features(found: DataFrame, docs: DataFrame, text: str = "text") -> Data
         "hex": v.rlike(r"^[0-9a-fA-F]+$"), "dictionary": F.coalesce("covered", F.lit(0)) / F.length(v),
         "slashes": F.length(v) - F.length(F.replace(v, F.lit("/"))),
         "dots": F.length(v) - F.length(F.replace(v, F.lit("."))), "at_sign": v.contains("@"),
-        "after_name": F.col("before").rlike(NAME) | F.col("before2").rlike(NAME) | F.col("before").rlike(NAME_ENDS),
-        "after_assign": F.col("before").rlike(rf"{ASSIGN}$"), "quoted": F.col("word").rlike(r"[\"']"),
+        "after_name": (F.col("assigned") | F.col("before").rlike(NAME) | F.col("before2").rlike(NAME)
+                       | F.col("before").rlike(NAME_ENDS)),
+        "after_assign": F.col("assigned") | F.col("before").rlike(rf"{ASSIGN}$"), "quoted": F.col("word").rlike(r"[\"']"),
         "plain_before": F.col("before").rlike(r"^[\p{L}]+[.,]?$"),
     }
     return found.join(covered, "value", "left").select(
