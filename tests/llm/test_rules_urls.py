@@ -1,5 +1,7 @@
 """Quality rules and URL filter against plain Python."""
 
+import pytest
+
 from tidewater.llm import quality_rules, url_filter
 
 from .helpers import awkward, frame, prose, rng, words
@@ -100,3 +102,25 @@ def test_distrust_flows_to_those_that_link_to_blocked_hosts(spark):
 
 def test_no_pages(spark):
     assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    n = 20
+    link = lambda h: f'<a href="https://{h}/">x</a>'
+    rows = [(i, f"https://h{i}.org/", link(f"h{i + 1}.org")) for i in range(n - 1)]
+    rows += [(n - 1, f"https://h{n - 1}.org/", link("bad.net")), (n, "https://bad.net/es/x", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_filter.judge_urls(pages).collect()}
+    assert {r.verdict for r in got.values()} == {"block"}
+    for i in range(n):
+        assert got[i].trust == 0 and got[i].distrust == pytest.approx(0.15 * 0.85 ** (n - i), rel=1e-6)
+
+
+def test_scores_on_a_circle_have_settled(spark):
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "c", 3), ("b", "a", 1), ("c", "a", 2)],
+                                  "src string, dst string, n long")
+    seeds = spark.createDataFrame([("a", 1.0)], "host string, seed double")
+    got = {r.host: r.score for r in url_filter.propagate(edges, seeds, "circle").collect()}
+    b = 0.85 * got["a"]
+    assert got["b"] == pytest.approx(b, rel=1e-5) and got["c"] == pytest.approx(0.85 * 0.75 * b, rel=1e-5)
+    assert sum(got.values()) == pytest.approx(1, rel=1e-5)

@@ -9,7 +9,8 @@ by ``threshold``.
 
 Only DataFrame operations.  Host edges are aggregated before the first round, so
 a round costs as much as there are pairs of linked hosts; scores are written to
-the shared folder every few rounds, which cuts the lineage.
+the shared folder every few rounds, which cuts the lineage.  There are as many
+rounds as it takes until no host is newly reached and no score still changes.
 """
 
 from __future__ import annotations
@@ -17,14 +18,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import pick, write_table
+from .storage import drop_table, pick, write_table
 
 #: (host, path prefix, verdict)
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 DAMPING = 0.85
-ROUNDS = 12
 ROUNDS_A_TABLE = 4
+#: Largest change of a host's score from one table to the next, as a share of its score, that counts as none.
+TOLERANCE = 1e-6
 THRESHOLD = 0.0
 LINK = r"(?i)\bhref\s*=\s*[\"']?((?:https?:)?//[^\s\"'<>]+)"
 A_TO_Z = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -74,26 +76,39 @@ def link_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").alias("n")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, name: str, rounds: int = ROUNDS,
+def propagate(edges: DataFrame, seeds: DataFrame, name: str, tolerance: float = TOLERANCE,
               damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank: (host, score) from ``seeds`` (host, seed; adding
     up to 1) along ``edges`` (src, dst, n).  A host without links keeps no
-    flow; the rest of its score returns by the seeds in the next round."""
+    flow; the rest of its score returns by the seeds in the next round.
+
+    Rounds go on until no host's score changes by more than ``tolerance`` of
+    itself; a newly reached host changes by all of its score, so chains are
+    followed to their end.  Scores start low and only grow, the change as a
+    whole by a factor of ``damping`` less a round, so this comes to an end.
+    """
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     share = write_table(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")),
                         f"links-{name}")
-    base = write_table(seeds.select("host", "seed"), f"seeds-{name}")
-    scores = base.select("host", F.col("seed").alias("score"))
+    base = write_table(seeds.select("host", (F.col("seed") * (1 - damping)).alias("score")), f"seeds-{name}")
     if share.isEmpty():
-        return scores.withColumn("score", F.col("score") * (1 - damping))
-    for k in range(rounds):
-        flow = (share.join(scores, share["src"] == scores["host"]).groupBy(F.col("dst").alias("host"))
-                .agg(F.sum(F.col("share") * F.col("score") * damping).alias("score")))
-        scores = (flow.unionByName(base.select("host", (F.col("seed") * (1 - damping)).alias("score")))
-                  .groupBy("host").agg(F.sum("score").alias("score")))
-        if k % ROUNDS_A_TABLE == ROUNDS_A_TABLE - 1:
-            scores = write_table(scores, f"scores-{name}")
-    return scores
+        return base
+    last = base
+    while True:
+        scores = last
+        for _ in range(ROUNDS_A_TABLE):
+            flow = (share.join(scores, share["src"] == scores["host"]).groupBy(F.col("dst").alias("host"))
+                    .agg(F.sum(F.col("share") * F.col("score") * damping).alias("score")))
+            scores = flow.unionByName(base).groupBy("host").agg(F.sum("score").alias("score"))
+        scores = write_table(scores, f"scores-{name}")
+        before = last.select("host", F.col("score").alias("before"))
+        change = F.abs(F.col("score") - F.coalesce("before", F.lit(0.0)))
+        settled = scores.join(before, "host", "left").where(change > tolerance * F.col("score")).isEmpty()
+        if last is not base:
+            drop_table(last)
+        if settled:
+            return scores
+        last = scores
 
 
 def _seeds(judged: DataFrame, verdict: str) -> DataFrame:
