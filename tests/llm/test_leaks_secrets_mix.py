@@ -43,6 +43,26 @@ def test_copies_and_edited_copies_are_found(spark):
         assert got == {(100, 0), (101, 1), (102, 2), (103, 3), (103, 4), (104, 22)}
 
 
+def test_excerpts_of_long_items_are_found(spark):
+    r = rng(10)
+    long, short = prose(r, 300, 3000).split(), prose(r, 50, 3000).split()
+    edited = long[200:260]
+    edited[20], edited[40] = "other", "changed"
+    far = [w if k % 3 else "x" for k, w in enumerate(long[100:220])]
+    put = lambda part: prose(r, 90, 3000) + " " + " ".join(part) + " " + prose(r, 60, 3000)
+    docs = [(k, prose(r, 200, 3000), "en", "a", 1) for k in range(40)]
+    docs += [(100, put(long[120:260]), "en", "a", 1), (101, put(long[3:33]), "en", "a", 1), (102, put(edited), "en", "a", 1),
+             (103, put(long[50:70]), "en", "a", 1), (104, put(far), "en", "a", 1), (105, put(short[:20]), "en", "a", 1)]
+    # A part that much of the corpus quotes is found as well: its n-grams are not among the item's rarer half.
+    docs += [(200 + k, put(long[260:300]), "en", "a", 1) for k in range(30)]
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short))], "item_id long, text string")
+    found = decontaminate.find_leaks(frame(spark, docs), bench).where("size(leaks) > 0").collect()
+    assert {x.doc_id for x in found} == {100, 101, 102, *range(200, 230)}
+    leak = {x.doc_id: x.leaks[0] for x in found}
+    assert (leak[100].first_word, leak[100].last_word, leak[100].matched_words) == (90, 229, 140)
+    assert leak[101].matched_words == 30 and leak[102].matched_words >= 57 and leak[200].matched_words == 40
+
+
 def test_no_benchmark_and_no_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(frame(spark, awkward()), none).where("size(leaks) > 0").isEmpty()

@@ -2,12 +2,16 @@
 
 Word n-grams of the benchmark items are the seeds.  One pass over the corpus
 counts in how many documents each occurs; the rarer half of each item's
-distinct n-grams, and all that at most RARE_SHARE of the documents have, stay.
+distinct n-grams (of long items, of every stretch of PIECE n-grams), and all that
+at most RARE_SHARE of the documents have, stay.
 A second pass looks the seeds up in every document, gathers the hits of an item
 that lie on nearby diagonals, and aligns that stretch of the document with the
 whole item word by word (Smith-Waterman).  An item's score is the best
 alignment's score over that of a verbatim copy; edited and paraphrased copies
-lose only what was changed.
+lose only what was changed.  A hit has MIN_SCORE, or, of items of which QUOTE_WORDS
+words are less than that, a quote: an alignment that scores as much as QUOTE_WORDS
+verbatim words when every word changed, added or dropped costs STRICT.  So the
+share that is required falls with the length of the item.
 
 The benchmark is a query set of its own: it is taken in blocks of at most
 BLOCK_CHARS characters (one item at least), each broadcast, and every block
@@ -35,13 +39,18 @@ BLOCK_CHARS = 4_000_000
 #: Hits further apart than this many diagonals (words inserted or dropped) start a new stretch.
 MAX_SHIFT = 16
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: A quote: so many verbatim words, and four more for each that differs (more than 80 % of its words match).
+QUOTE_WORDS = 30
+STRICT = -8
+#: A quote has QUOTE_WORDS - SEED_WORDS + 1 n-grams in a row: some stretch of this many of the item is within it.
+PIECE = 14
 
 HIT = T.StructType([T.StructField(n, t) for n, t in (
     ("item_id", T.LongType()), ("score", T.DoubleType()), ("matched_words", T.IntegerType()),
     ("item_words", T.IntegerType()), ("first_word", T.IntegerType()), ("last_word", T.IntegerType()))])
 
 
-def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
+def align(item: np.ndarray, text: np.ndarray, mismatch: int = MISMATCH, gap: int = GAP) -> tuple[int, int, int, int]:
     """Smith-Waterman over word numbers: (score, matches, first, last + 1) of
     the best local alignment, in words of ``text``.  Row by row; gaps within a
     row by a running maximum; memory of four rows."""
@@ -52,19 +61,19 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     best = (0, 0, 0, 0)
     for w in item:
         same = text == w
-        diagonal = h[:-1] + np.where(same, MATCH, MISMATCH)
-        up = h[1:] + GAP
+        diagonal = h[:-1] + np.where(same, MATCH, mismatch)
+        up = h[1:] + gap
         take = diagonal >= up
         row = np.concatenate([[0], np.maximum(np.where(take, diagonal, up), 0)])
         new_start = np.concatenate([[0], np.where(take, start[:-1], start[1:])])
         new_hits = np.concatenate([[0], np.where(take, hits[:-1] + same, hits[1:])])
         fresh = row == 0
         new_start[fresh], new_hits[fresh] = column[fresh], 0
-        # A gap in the text costs -GAP a word: best over j of row[j] + GAP * (k - j).
-        lifted = row - GAP * column
+        # A gap in the text costs -gap a word: best over j of row[j] + gap * (k - j).
+        lifted = row - gap * column
         top = np.maximum.accumulate(lifted)
         origin = np.maximum.accumulate(np.where(lifted == top, column, 0))
-        h = top + GAP * column
+        h = top + gap * column
         start, hits = new_start[origin], new_hits[origin]
         k = int(np.argmax(h))
         if h[k] > best[0]:
@@ -72,6 +81,11 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
     return best
 
 
+def is_long(item_words: int, min_score: float) -> bool:
+    """Whether a quote can be a hit that is less than ``min_score`` of the item."""
+    return QUOTE_WORDS < min_score * item_words
+
+
 class Seeds:
     """The n-grams of a block of items, in order, and where they occur."""
 
@@ -100,14 +114,18 @@ class Seeds:
         found = np.flatnonzero(self.distinct[at] == grams)
         return found, at[found]
 
-    def keep_rare(self, df: np.ndarray, n_docs: int, rare_share: float) -> None:
+    def keep_rare(self, df: np.ndarray, n_docs: int, rare_share: float, min_score: float) -> None:
         """Leave out n-grams that are neither rare in the corpus nor among the
-        rarer half of an item's."""
+        rarer half of an item's, or of a long item's stretch."""
         number = np.searchsorted(self.distinct, self.gram)
         keep = df[number] <= rare_share * n_docs
         for i in range(len(self.ids)):
             own = np.arange(*np.searchsorted(self.owner, [i, i + 1]))  # owners are in order here
             keep[own] |= df[number[own]] <= np.median(df[number[own]])
+            if is_long(len(self.words[i]), min_score):
+                for a in range(0, len(own), PIECE):
+                    piece = own[a:a + PIECE]
+                    keep[piece] |= df[number[piece]] <= np.median(df[number[piece]])
         self.gram, self.owner, self.place = self.gram[keep], self.owner[keep], self.place[keep]
         order = np.argsort(self.gram, kind="stable")
         self.gram, self.owner, self.place = self.gram[order], self.owner[order], self.place[order]
@@ -139,10 +157,14 @@ class Seeds:
             stretch = np.array([number_of.get(w, -1) for w in words[low:high]])
             # An upper bound first: no more words can match than occur in the stretch.
             most = np.minimum(np.bincount(stretch[stretch >= 0], minlength=len(number_of)), np.bincount(item)).sum()
-            if most < min_score * m:
+            if most < (QUOTE_WORDS if is_long(m, min_score) else min_score * m):
                 continue
             score, matched, first, last = align(item, stretch)
-            if score >= min_score * MATCH * m and (i not in best or score > best[i][0]):
+            hit = score >= min_score * MATCH * m
+            if not hit and is_long(m, min_score):
+                score, matched, first, last = align(item, stretch, STRICT, STRICT)
+                hit = score >= QUOTE_WORDS * MATCH
+            if hit and (i not in best or score > best[i][0]):
                 best[i] = (score, matched, low + first, low + last - 1)
         return [(self.ids[i], round(s / (MATCH * len(self.words[i])), 6), k, len(self.words[i]), f, e)
                 for i, (s, k, f, e) in sorted(best.items())]
@@ -200,6 +222,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
                rare_share: float = RARE_SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with ``leaks``: an array of (item_id, score, matched_words,
     item_words, first_word, last_word) per document, by item, empty if clean.
+    Of a long item, a quote is enough; its score can be below ``min_score``.
 
     Null and blank texts and items have no words and no leaks.  An item with
     fewer than ``n_words`` words is no evidence inside longer prose: it is
@@ -212,7 +235,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     for k, items in enumerate(item_blocks(benchmark, item_id, item_text, block_chars)):
         seeds = Seeds(items, n_words)
         df, n_docs = _document_counts(texts, seeds)
-        seeds.keep_rare(df, n_docs, rare_share)
+        seeds.keep_rare(df, n_docs, rare_share, min_score)
         out = out.withColumn(f"__leaks_{k}__", _finder(docs.sparkSession, seeds, min_score)(F.col(f"`{text}`")))
         made.append(F.col(f"__leaks_{k}__"))
     found = F.concat(*made) if made else F.array().cast(T.ArrayType(HIT))
