@@ -155,7 +155,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     ``labelled``: findings of ``with_features`` with a ``label`` of 0 or 1;
     by default those of ``docs`` under ``weak_labels``.  Without both labels to
     learn from, a candidate's weak label decides, and where that is null, whether
-    it is assigned to a credential name.  Null and blank texts hold no
+    it is assigned to a credential name.  A value of a known key format is a
+    secret whatever the forest says.  Null and blank texts hold no
     candidates; repeated documents and words give repeated rows.
     """
     found = write_table(weak_labels(with_features(candidates(docs, text, doc_id), docs, text)), "secret-candidates")
@@ -173,7 +174,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH,
                                     seed=SEED).fit(assemble.transform(sample))
     judged = forest.transform(assemble.transform(found))
-    return (judged.withColumn("probability", F.round(vector_to_array("probability")[1], 6))
+    known = F.col("value").rlike(KNOWN_FORMATS)
+    return (judged.withColumn("probability", F.when(known, 1.0).otherwise(
+        F.round(vector_to_array("probability")[1], 6)))
             .withColumn("is_secret", F.col("probability") >= min_probability)
             .drop("features", "rawPrediction", "prediction"))
 
