@@ -63,3 +63,14 @@ def test_ratings_of_awkward_documents(spark):
             assert got.count() == docs.count()
             assert got.where(f"(text is null or trim(text) = '') and {flag} and doc_id != 903").isEmpty()
         assert rate(docs.limit(0), ratings).collect() == []
+
+
+def test_copies_of_a_text_teach_once_and_no_language_is_dropped(spark, monkeypatch):
+    one = [(f"der hund {k} und die katze {chr(97 + k)}", "de") for k in range(10)]
+    two = [(f"the dog {k} and the cat {chr(97 + k)}", "en") for k in range(10)]
+    table = lambda rows: spark.createDataFrame(rows, "text string, lang string")
+    plain, copied = (langid.fit(table(rows), max_train_docs=10) for rows in (one + two, one * 3 + two + two[:1] * 500))
+    assert plain[0] == copied[0] == ["de", "en"] and (plain[1] == copied[1]).all()
+    monkeypatch.setattr(langid, "MAX_LANGS", 1)
+    with pytest.raises(ValueError):
+        langid.fit(table(one + two))

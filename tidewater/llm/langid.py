@@ -6,9 +6,9 @@ and bucket; the matrix of log probabilities (languages x buckets, float32) is
 broadcast, and each batch of texts is scored in numpy by gathering the matrix
 rows of the n-grams that occur and adding them up per text.
 
-Bounds: at most MAX_LANGS languages (the most frequent ones) and, for fitting
-only, about MAX_TRAIN_DOCS documents per language, picked by a hash of the
-text; the matrix has at most MAX_LANGS x 2^BITS floats.  Prediction covers
+Bounds: at most MAX_LANGS languages (more are an error) and, for fitting only,
+about MAX_TRAIN_DOCS distinct texts per language, picked by a hash of the
+text; copies of a text teach once.  The matrix has at most MAX_LANGS x 2^BITS floats.  Prediction covers
 every document and whole texts.
 """
 
@@ -79,17 +79,22 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     """Languages in order, and the matrix whose row i holds log P(bucket | language i).
 
     Rows with a null text or language, or without a letter, teach nothing; an
-    empty table gives no languages.  The class prior is uniform.
+    empty table gives no languages.  The class prior is uniform.  More than
+    MAX_LANGS languages are a ValueError: none is left out unseen.
     """
     rows = pick(labelled, text=text, lang=lang).where("text is not null and lang is not null")
-    # Languages are few; MAX_LANGS + 1 rows reach the driver at most.
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    # Languages are few; MAX_LANGS + 1 rows reach the driver at most.  Texts are counted by their hashes.
+    sizes = (rows.select("lang", F.xxhash64("text").alias("text")).distinct()
+             .groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS + 1).collect())
     if not sizes:
         return [], np.zeros((0, 1 << BITS), np.float32)
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages to learn")
     share = F.create_map(*[x for r in sizes for x in
                            (F.lit(r["lang"]), F.lit(min(1.0, max_train_docs / r["count"])))])
     unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(unit < F.try_element_at(share, F.col("lang")))
+    # The hash takes or leaves all copies of a text, so only what is taken is made distinct.
+    sample = rows.where(unit < F.try_element_at(share, F.col("lang"))).distinct()
     counts = (sample.mapInPandas(_count, "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     found = counts.groupBy("lang").applyInPandas(_log_probs, "lang string, docs long, row binary").collect()

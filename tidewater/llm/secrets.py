@@ -9,7 +9,7 @@ path and address marks, and the words before it; it is trained on labelled
 findings and removes false positives.
 
 Everything runs as DataFrame operations and Spark ML.  Fitting takes at most
-MAX_TRAIN findings per label, first by a hash of the finding.
+MAX_TRAIN distinct findings (by their features) per label, first by a hash of them.
 """
 
 from __future__ import annotations
@@ -161,7 +161,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     """
     found = write_table(weak_labels(with_features(candidates(docs, text, doc_id), docs, text)), "secret-candidates")
     train = found if labelled is None else labelled
-    train = train.select("label", *FEATURES).where("label is not null")
+    # Equal findings teach once, so that copies of one don't fill a label's sample.
+    train = train.select("label", *FEATURES).where("label is not null").distinct()
     parts = [train.where(F.col("label") == y).orderBy(F.xxhash64(*FEATURES), *FEATURES).limit(max_train)
              for y in (0.0, 1.0)]
     # At most 2 x max_train rows, in one partition and a fixed order, so that reruns grow the same trees.
