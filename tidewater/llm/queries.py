@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, mixing, quality, quality_rules, secrets, suffix_dedup, toxicity, url_filter
+from . import (code_compression, decontaminate, hard_negatives, jaccard, langid, mixing, quality, quality_rules, secrets,
+               simhash, sql, suffix_dedup, toxicity, url_filter)
 from .storage import read
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_hard_negatives": sql.HARD_NEGATIVES, "op13_vector_codes": sql.vector_codes()}
 
 
 def query(fn):
@@ -87,3 +88,26 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.simhash_groups(docs).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose vec_id is divisible by 100; labels of rows whose vec_id is divisible by 7 are moved
+    to the next one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = code_compression.compress(read(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error",
+                        F.lit(code_compression.digest(codebooks)).alias("codebooks_sha256"))
