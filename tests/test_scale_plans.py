@@ -36,11 +36,52 @@ def test_first_wins_hot_key_matches_brute_force(spark):
     assert len(got) == 2001
 
 
-def test_first_wins_combines_map_side(spark):
-    plan = _plan(dedupe.dedupe_urls(_hot(spark)))
-    assert "partial_min_by" in plan
-    # the partial aggregate sits below the exchange
-    assert plan.index("Exchange") < plan.rindex("partial_min_by")
+def test_first_wins_is_a_hash_aggregate_of_narrow_rows(spark):
+    """A wide column, a key with a third of the rows: no sort below an exchange."""
+    wide = _hot(spark).withColumn("html", F.repeat(F.lit("x"), 1000))
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(dedupe.dedupe_urls(wide))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    lines = plan.splitlines()
+    depth = [len(x) - len(x.lstrip(" +-:|")) for x in lines]
+    top = next(i for i, x in enumerate(lines) if "HashAggregate" in x and "partial_min" in x)
+    below = [lines[top]]
+    for x, d in zip(lines[top + 1:], depth[top + 1:]):
+        if d <= depth[top]:
+            break
+        below.append(x)
+    assert len(below) > 1 and not any("Sort" in x or "Exchange" in x for x in below)
+    assert not any("html" in x for x in below)
+
+
+def test_first_wins_orders_of_all_kinds(spark):
+    import datetime as dt
+    rows = [(k, dt.date(2024, 1, 1 + (i * 7) % 5) if i % 4 else None, (i * 5) % 3 - 1, (i * 11) % 7 - 3 + (1 << 60),
+             dt.datetime(2024, 1, 1, i % 24), i % 2 == 0, f"s{(i * 3) % 5}", i) for k in range(6) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, d date, i int, l long, t timestamp, b boolean, s string, id long") \
+        .withColumn("pos", F.struct("d", "i", "l"))
+    low = lambda x: (x is not None, x)
+    for order in (["d", "i", "l"], ["pos", "i", "id"], ["l", "t", "id"], ["b", "i", "id"], ["s", "id"]):
+        got = {r.k: r.id for r in dedupe.first_wins(df, "k", order, "_k").collect()}
+        want = {}
+        for r in sorted(df.collect(), key=lambda r: [tuple(map(low, r[c])) if c == "pos" else low(r[c])
+                                                     for c in order]):
+            want.setdefault(r.k, r)
+        assert len(got) == 6
+        for k, r in want.items():
+            same = [x.id for x in df.collect() if x.k == k and all(x[c] == r[c] for c in order)]
+            assert got[k] in same
+
+
+def test_first_wins_keeps_one_of_equal_rows(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), ("a", 1, "y"), (None, 0, "z"), ("b", None, "w")],
+                               "k string, pos int, v string")
+    rows = dedupe.first_wins(df, "k", ["pos"], "_k").collect()
+    assert sorted(r.k for r in rows) == ["a", "b"]
 
 
 def test_first_n_per_window_limits_before_shuffle(spark):
