@@ -98,3 +98,40 @@ def test_staged_forms_match_column_forms(spark):
     assert [x["full_name"] for x in p["people"]] == ["Bo"]          # case-sensitive keys, non-objects dropped
     assert p["people"][0].get("notes") is None                        # non-string member -> NULL (to_json omits it)
     assert [x["name"] for x in p["companies"]] == ["Acme"]
+
+
+def test_reads_what_python_reads(spark):
+    """Against json.loads itself: trailing values, repeated keys, NaN, cut texts, brackets inside strings."""
+    import json
+    texts = ['{"a": 1} {"b": 2}', '{"a": 1}{"a": 2}', '[1] [2]', '{"a": 1, "a": 2}', '{"a": {"b": 1, "b": [3]}}',
+             '{"a": NaN}', '{"a": [Infinity, -Infinity]}', '{"a": "} {", "b": "] x"}', '{"a": "\\\\" }', '{"a": 1}}',
+             '{"a": "{"}}', '{"a": 1}, {"b": 2}', '{"a": [{"b": 1}, {"c": "}, {"}]}', '{"a": "\\\\"}, {"b": "\\""}', '{"a": [1}]',
+             '{"a": 1,}', '{"a": tru}', ' {"a" : [ ] } ', '{}', '[]', '{"a": "x', 'NaN', 'text', '"a" "b"', '3 4', None, "",
+             "x {\"a\": 1} y {\"b\": 2} z", "x {\"a\": 1, \"a\": 5} y", '{"a": 1} tail }', "[" * 2000 + "]" * 2000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    got = {r.i: r for r in rows.select("i", F.to_json(lj.strict_parse_json("x")).alias("v"),
+                                       F.to_json(lj.json_object_from_text("x")).alias("o")).collect()}
+    staged = {r.i: r.v for r in lj.with_answer_object(rows, "x", "v").select("i", F.to_json("v").alias("v")).collect()}
+
+    def loads(t):
+        try:
+            return lj._finite(json.loads(t.strip())) if t is not None else None
+        except (ValueError, RecursionError):
+            return None
+
+    def same(text, value):
+        return value is None if text is None else json.loads(text) == value
+    for i, x in enumerate(texts):
+        whole = loads(x)
+        span = x[x.find("{"): x.rfind("}") + 1] if x and "{" in x and "}" in x else None
+        found = whole if whole is not None else loads(span)
+        assert x in ("NaN", texts[-1]) or same(got[i].v, whole), x
+        assert same(got[i].o, found if isinstance(found, dict) else None), x
+        assert same(staged[i], found if isinstance(found, dict) else None), x
+
+
+def test_only_doubtful_texts_are_read_again(spark):
+    texts = ['{"a": 1}', '{"a": [1, 2], "b": {}}', "no json", '{"a"', None, '{"a": 1} {"b": 2}', '{"a": 1, "a": 2}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    again = [r.i for r in df.filter(lj.doubtful(F.col("x"), F.try_parse_json("x"))).collect()]
+    assert again == [5, 6]

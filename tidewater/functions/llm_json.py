@@ -4,16 +4,22 @@ Answers are parsed into Spark's VARIANT type and every type guard of the
 reference (``isinstance(x, str)``, ``isinstance(x, list)``, truthiness, ...)
 becomes a test on ``schema_of_variant``.  All of it stays in the JVM.
 
-Known parser difference: ``try_parse_json`` accepts trailing text after a
-complete value and rejects duplicate object keys, where Python's
-``json.loads`` does the opposite.  Results differ only for answers whose
-trailing text itself closes a brace, or that repeat a key.
+``try_parse_json`` accepts trailing text after a complete value and rejects
+repeated object keys and NaN, where Python's ``json.loads`` does the opposite.
+Rows where that can matter, and only those, are read by ``json.loads`` itself
+in one Arrow-batched UDF.
 """
 
 from __future__ import annotations
 
+import json
+import math
+import sys
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .strings import bind_columns, col_, let, py_strip, truthy_str
 
@@ -26,6 +32,9 @@ DEFAULT_RELEVANCE = "Low"
 DEFAULT_ROLE = "Mentioned"
 # -----------------------------------------------------------------------------
 
+#: From the first opening to the last closing brace.
+SPAN = r"(?s)\{.*\}"
+
 _NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "DECIMAL")
 
 PERSON_T = ("struct<full_name:string,primary_title:string,primary_company:string,"
@@ -79,43 +88,89 @@ def llm_response_content(body) -> Column:
 
 
 _JSON_SCALAR = r"^(-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|\"(?s:.*)\")$"
+#: After a closing bracket, JSON goes on with a comma, another one, or ends.
+_GOES_ON, _COMMA = r"[}\]]\s*[^\s,}\]]", r"[}\]]\s*,"
+
+
+def _closes(t: Column) -> Column:
+    """The text ends as the value that it begins with would, or is a scalar."""
+    return (F.when(t.startswith("{"), t.endswith("}")).when(t.startswith("["), t.endswith("]"))
+            .otherwise(t.rlike(_JSON_SCALAR)))
+
+
+def _finite(x):
+    """NaN and infinities, which JSON lacks, as the largest number (a true one)."""
+    if isinstance(x, float) and not math.isfinite(x):
+        return sys.float_info.max
+    if isinstance(x, dict):
+        return {k: _finite(v) for k, v in x.items()}
+    return [_finite(v) for v in x] if isinstance(x, list) else x
+
+
+def _reread_one(text: str | None) -> str | None:
+    if text is None:
+        return None
+    try:
+        return json.dumps(_finite(json.loads(text)))
+    except (ValueError, RecursionError):
+        return None
+
+
+@F.pandas_udf(T.StringType())
+def _reread(texts: pd.Series) -> pd.Series:
+    """Texts that the fast parser can't be trusted with (null for all others),
+    in a form it can be: read strictly, of a repeated key the last value."""
+    return texts.map(_reread_one).astype(object)
+
+
+def _brackets(t: Column) -> Column:
+    """The text without its strings, so that all brackets are JSON's own."""
+    return F.regexp_replace(F.regexp_replace(t, r"(?s)\\.", ""), '"[^"]*"', "0")
+
+
+def _count(t: Column, pattern: str) -> Column:
+    return F.regexp_count(t, F.lit(pattern))
+
+
+def doubtful(t: Column, parsed: Column) -> Column:
+    """The fast parser refuses the text, though it ends as JSON would, or may
+    have stopped before the text's end (a value followed by more than a comma
+    or a bracket, brackets that don't pair up, or, where a comma follows a
+    bracket, fewer values than the text has): those few rows are read again."""
+    bare = _brackets(t)
+    opens = r"[{\[]"
+    short = bare.rlike(_COMMA) & (_count(bare, opens) != _count(_brackets(F.to_json(parsed)), opens))
+    return F.coalesce(_closes(t), F.lit(False)) & F.coalesce(
+        parsed.isNull() | (t.startswith('"') & (bare != "0")) | bare.rlike(_GOES_ON) | (_count(bare, opens) != _count(bare, r"[}\]]")) | short, F.lit(True))
 
 
 def strict_parse_json(text) -> Column:
-    """Parse ``text`` as exactly one JSON value (Python ``json.loads``).
+    """Parse ``text`` as exactly one JSON value (Python ``json.loads``): no
+    text after it, of repeated keys the last one, NaN and infinities.
 
-    ``try_parse_json`` stops after the first complete value; requiring the
-    stripped text to end with the closing character of that value's type
-    (or to be a bare scalar) rejects trailing text.  Two concatenated
-    objects ('{..} {..}') still parse as the first.
+    The fast parser ``try_parse_json`` stops after the first complete value
+    and refuses repeated keys and NaN; only texts where that could matter go
+    through the slow reader.
     """
-    def body(t):
-        v = F.try_parse_json(t)
-        closes = (F.when(t.startswith("{"), t.endswith("}"))
-                  .when(t.startswith("["), t.endswith("]"))
-                  .otherwise(t.rlike(_JSON_SCALAR)))
-        return F.when(closes, v)
-    return let(py_strip(col_(text)), body)
+    t = py_strip(col_(text))
+    fast = F.try_parse_json(t)
+    again = doubtful(t, fast)
+    slow = F.try_parse_json(_reread(F.when(again, t)))
+    return F.when(again, slow).when(_closes(t), fast)
 
 
 def json_object_from_text(text) -> Column:
     """Strict parse; if that fails, the greedy first-'{'..last-'}' span;
     NULL unless the result is a JSON object."""
-    def body(t):
-        strict = strict_parse_json(t)
-        return let(F.when(strict.isNotNull(), strict)
-                   .otherwise(strict_parse_json(F.regexp_extract(t, r"(?s)\{.*\}", 0))),
-                   lambda parsed: F.when(truthy_str(t) & is_obj(parsed), parsed))
-    return let(col_(text), body)
+    t = col_(text)
+    strict = strict_parse_json(t)
+    parsed = F.coalesce(strict, strict_parse_json(F.when(strict.isNull(), F.regexp_extract(t, SPAN, 0))))
+    return F.when(truthy_str(t) & is_obj(parsed), parsed)
 
 
 def strip_code_fence(text) -> Column:
     """D9 prefix/suffix handling, in the reference's order, before trimming."""
-    x = col_(text)
-    x = F.when(x.startswith("```json"), F.substring(x, 8, 1 << 30)).otherwise(x)
-    x = F.when(x.startswith("```"), F.substring(x, 4, 1 << 30)).otherwise(x)
-    x = F.when(x.endswith("```"), F.left(x, F.length(x) - 3)).otherwise(x)
-    return x
+    return F.regexp_replace(F.regexp_replace(col_(text), r"\A(?:```json)?(?:```)?", ""), r"```\z", "")
 
 
 def parse_fenced_json(text) -> Column:
@@ -297,24 +352,28 @@ def with_answer_object(df: DataFrame, text: str, out: str = "v") -> DataFrame:
     ``out`` is produced by a one-row generator, so a later filter on it is
     not pushed below and evaluated a second time.
     """
-    t, v = _tmp(out, "t"), _tmp(out, "v")
     raw = F.col(text)
-    d = df.withColumn(t, py_strip(raw))
-    tc = F.col(t)
-    closes = (F.when(tc.startswith("{"), tc.endswith("}"))
-              .when(tc.startswith("["), tc.endswith("]"))
-              .otherwise(tc.rlike(_JSON_SCALAR)))
-    # the span always starts with '{' and ends with '}', so it needs no strip
-    # and no closing check; the coalesce only parses it when the text fails
-    sv = _tmp(out, "strict")
-    d = d.withColumn(sv, F.when(closes, F.try_parse_json(tc)))
-    d = d.withColumn(v, F.coalesce(F.col(sv), F.try_parse_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0))))
+    names = {k: _tmp(out, k) for k in ("t", "fast", "again", "slow", "strict", "span", "sfast", "sagain", "sslow")}
+    c = {k: F.col(v) for k, v in names.items()}
+
+    def parsed(d: DataFrame, t: str, fast: str, again: str, slow: str) -> DataFrame:
+        """``t`` parsed fast, and the doubtful texts once more: one UDF call."""
+        d = d.withColumn(names[fast], F.try_parse_json(c[t]))
+        d = d.withColumn(names[again], doubtful(c[t], c[fast]))
+        return d.withColumn(names[slow], _reread(F.when(c[again], c[t])))
+
+    d = parsed(df.withColumn(names["t"], py_strip(raw)), "t", "fast", "again", "slow")
+    d = d.withColumn(names["strict"], F.when(c["again"], F.try_parse_json(c["slow"])).when(_closes(c["t"]), c["fast"]))
+    # The span starts with '{' and ends with '}'; it is looked for only when the text fails.
+    d = d.withColumn(names["span"], F.when(c["strict"].isNull(), F.regexp_extract(raw, SPAN, 0)))
+    d = parsed(d, "span", "sfast", "sagain", "sslow")
+    v = F.coalesce(c["strict"], F.when(c["sagain"], F.try_parse_json(c["sslow"])).when(_closes(c["span"]), c["sfast"]))
     # an object without a cast: a strict parse is one when the text starts
     # with '{' (a parsed array or scalar is not, and does not fall back); a
     # parsed span always starts with '{'
-    is_object = F.coalesce(F.when(F.col(sv).isNotNull(), tc.startswith("{")), F.col(v).isNotNull())
-    d = bind_columns(d, **{out: F.when(truthy_str(raw) & is_object, F.col(v))})
-    return d.drop(t, sv, v)
+    is_object = F.coalesce(F.when(c["strict"].isNotNull(), c["t"].startswith("{")), v.isNotNull())
+    d = bind_columns(d, **{out: F.when(truthy_str(raw) & is_object, v)})
+    return d.drop(*names.values())
 
 
 def with_answer_members(df: DataFrame, v: str, prefix: str):
@@ -369,5 +428,4 @@ def primary_or_fallback(primary_text, primary_error, fallback_text, fallback_err
     """The primary answer unless the primary call errored; an
     unparseable primary answer gives NULL and does not fall back."""
     fe = col_(fallback_error) if fallback_error is not None else F.lit(None).cast("string")
-    return (F.when(col_(primary_error).isNull(), parse_fenced_json(primary_text))
-            .when(fe.isNull(), parse_fenced_json(fallback_text)))
+    return parse_fenced_json(F.when(col_(primary_error).isNull(), col_(primary_text)).when(fe.isNull(), col_(fallback_text)))
