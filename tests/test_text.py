@@ -75,3 +75,43 @@ def test_comments_and_raw_text_elements_nest_like_a_parser(spark):
     long = "A paragraph that is clearly longer than forty characters in total."
     page = f"<nav><!-- </nav> -->menu</nav><p>{long}</p><footer>bye</footer>"
     assert one(spark, text.page_main_text("x"), page) == long
+
+
+LONG = [f"Paragraph number {k} is clearly longer than forty characters in total." for k in range(4)]
+
+
+def test_nested_and_unclosed_noise_elements(spark):
+    a, b, c, d = LONG
+    pages = {
+        f"<nav><nav><p>{a}</p></nav><p>{b}</p></nav><p>{c}</p>": c,
+        f"<div><nav><p>{a}</p></div><p>{b}</p>": b,                      # closed by its parent's end tag
+        f"<footer><nav><p>{a}</footer><p>{b}</p></nav><p>{c}</p>": f"{b} {c}",  # a stray end tag closes nothing
+        f"<p>{a}</p><aside><p>{b}</p>": a,                               # never closed
+        f"<p>{a}</p></nav><p>{b}</p>": f"{a} {b}",
+        f"<header><script>if (a < b) '</header>'</script><header></header><p>{a}</p></header><p>{b}</p>": b,
+        f"<nav title='a > b'><nav></nav><!-- </nav> --><p>{a}</p></nav><p>{b}</p>": b,
+        f"<nav><img><br/><nav/></nav></nav><p>{a}</p>": a,
+        f"<body><p>{a}<p>{b}<nav><nav></nav></nav><p>{c}</body>": f"{a} {b} {c}",
+        f"<NAV><Nav></nav><p>{a}</p></NAV><p>{b}</p>": b,
+        f"<p>{d}</p>": d,
+    }
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, x string")
+    got = {r.i: r.t for r in df.select("i", text.page_main_text("x").alias("t")).collect()}
+    assert got == dict(enumerate(pages.values()))
+
+
+def test_only_pages_with_leftover_noise_are_scanned_again(spark):
+    pages = [f"<nav>m</nav><p>{LONG[0]}</p><footer>f</footer>", "<nav><nav></nav></nav>", None, "plain"]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, x string")
+    left = text._drop_elements(F.col("x"), text.NOISE_TAGS).rlike(text._NOISE_LEFT)
+    assert [r.i for r in df.filter(left).collect()] == [1]
+
+
+def test_a_very_long_page_with_nested_noise(spark):
+    page = "<nav>" * 20_000 + "x" + "</nav>" * 20_000 + f"<p>{LONG[0]}</p>"
+    assert one(spark, text.page_main_text("x"), page) == LONG[0]
+
+
+def test_all_paragraphs(spark):
+    ps = "".join(f"<p>paragraph number {i:02d} with enough characters to pass</p>" for i in range(40))
+    assert "number 39" in one(spark, text.page_main_text("x", None), f"<body>{ps}</body>")

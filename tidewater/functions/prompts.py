@@ -7,6 +7,8 @@ ship them, and the answers come back as a table (see S9).
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,67 +21,54 @@ EXTRACTION_SYSTEM_PROMPT = (
     "You are a data extraction assistant specialized in data center news. "
     "Return only valid JSON and no surrounding markdown."
 )
-# The user prompt, line by line, as the reference's indented template renders it.
-_I = "        "
-EXTRACTION_USER_PROMPT_LINES = [
-    "",
-    _I + "Analyze this article:",
-    _I + "Title: {title}",
-    _I + "Summary: {summary}",
-    _I + "Full text excerpt: {excerpt}",
-    _I,
-    _I + "Extract the following fields in JSON:",
-    _I + "- summary: 2-4 sentences.",
-    _I + "- mentions_cooling_or_water: boolean",
-    _I + "- cooling_water_summary: string or null",
-    _I + "- people: list of {{full_name, primary_title, primary_company, lead_relevance (High/Medium/Low), notes}}",
-    _I + "- companies: list of {{name, sector, country, notes}}",
-    _I + "- country: string or null",
-    _I,
-    _I + "Ensure valid JSON.",
-    _I,
-]
+# Slots are in braces, as for str.format.
+EXTRACTION_USER_PROMPT = """
+        Analyze this article:
+        Title: {title}
+        Summary: {summary}
+        Full text excerpt: {excerpt}
+        
+        Extract the following fields in JSON:
+        - summary: 2-4 sentences.
+        - mentions_cooling_or_water: boolean
+        - cooling_water_summary: string or null
+        - people: list of {{full_name, primary_title, primary_company, lead_relevance (High/Medium/Low), notes}}
+        - companies: list of {{name, sector, country, notes}}
+        - country: string or null
+        
+        Ensure valid JSON.
+        """
 BRIEFING_DEFAULT_TITLE = "No Title"
 BRIEFING_DEFAULT_CONTENT = "No Content"
-BRIEFING_PROMPT_LINES = [
-    "",
-    _I + "Analyze the following news article and provide a JSON output.",
-    _I,
-    _I + "Article Title: {title}",
-    _I + "Article Content: {content}",
-    "",
-    _I + "Output JSON format:",
-    _I + "{{",
-    _I + "    \"summary\": \"3 sentences summary of the article\",",
-    _I + "    \"author\": \"Name of the author if available, else 'Unknown'\",",
-    _I + "    \"entities\": [\"List of key companies or organizations mentioned, with a brief connection bio "
-         "in parentheses, e.g., 'Google (Tech Giant)'\"],",
-    _I + "    \"relevance_score\": <integer between 1 and 10 indicating relevance to tech/AI/business news>",
-    _I + "}}",
-    _I,
-    _I + "Ensure the output is valid JSON. Do not include markdown formatting like ```json ... ```.",
-    _I,
-]
+BRIEFING_PROMPT = """
+        Analyze the following news article and provide a JSON output.
+        
+        Article Title: {title}
+        Article Content: {content}
+
+        Output JSON format:
+        {{
+            "summary": "3 sentences summary of the article",
+            "author": "Name of the author if available, else 'Unknown'",
+            "entities": ["List of key companies or organizations mentioned, with a brief connection bio in parentheses, e.g., 'Google (Tech Giant)'"],
+            "relevance_score": <integer between 1 and 10 indicating relevance to tech/AI/business news>
+        }}
+        
+        Ensure the output is valid JSON. Do not include markdown formatting like ```json ... ```.
+        """
 # -----------------------------------------------------------------------------
 
 
-def _render(lines: list[str], **cols: Column) -> Column:
-    """Render a template whose {name} slots are filled by columns."""
-    template = "\n".join(lines)
-    parts: list[Column] = []
-    rest = template
-    while "{" in rest:
-        i = rest.index("{")
-        if rest[i:i + 2] == "{{":
-            parts.append(F.lit(rest[:i + 1]))
-            rest = rest[i + 2:]
-            continue
-        j = rest.index("}", i)
-        parts.append(F.lit(rest[:i]))
-        parts.append(cols[rest[i + 1:j]])
-        rest = rest[j + 1:]
-    parts.append(F.lit(rest.replace("}}", "}")))
-    return F.concat(*[p if not isinstance(p, Column) else p for p in parts])
+def template_parts(template: str) -> list[tuple[str, str | None]]:
+    """(text, the slot behind it or None) of a ``str.format`` template."""
+    return [(text, slot) for text, slot, _, _ in Formatter().parse(template)]
+
+
+def _render(template: str, **cols: Column) -> Column:
+    """A template whose slots are filled by columns."""
+    parts = [p for text, slot in template_parts(template) for p in
+             ([F.lit(text)] if slot is None else [F.lit(text), cols[slot]])]
+    return F.concat(*parts)
 
 
 def _py_format(c: Column) -> Column:
@@ -89,7 +78,7 @@ def _py_format(c: Column) -> Column:
 
 def extraction_user_prompt(title, summary, full_text) -> Column:
     excerpt = F.substring(F.coalesce(col_(full_text), F.lit("")), 1, EXTRACTION_TEXT_CAP)
-    return _render(EXTRACTION_USER_PROMPT_LINES, title=_py_format(col_(title)),
+    return _render(EXTRACTION_USER_PROMPT, title=_py_format(col_(title)),
                    summary=_py_format(col_(summary)), excerpt=excerpt)
 
 
@@ -107,5 +96,5 @@ def briefing_prompt(title, content, description) -> Column:
     description, 'No Content'."""
     c, d = col_(content), col_(description)
     body = F.when(truthy_str(c), c).when(truthy_str(d), d).otherwise(F.lit(BRIEFING_DEFAULT_CONTENT))
-    return _render(BRIEFING_PROMPT_LINES, title=F.coalesce(col_(title), F.lit(BRIEFING_DEFAULT_TITLE)),
+    return _render(BRIEFING_PROMPT, title=F.coalesce(col_(title), F.lit(BRIEFING_DEFAULT_TITLE)),
                    content=body)

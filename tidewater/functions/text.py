@@ -2,14 +2,16 @@
 
 HTML is handled without a DOM: noise elements are removed by regex, tags
 are turned into control-character markers, and the text nodes are
-recovered with ``split``/``transform``/``filter``.  Entity decoding is the
-only step that leaves the JVM (one Arrow-batched pandas UDF around the
-standard library's ``html.unescape``), and it only sees paragraph text.
+recovered with ``split``/``transform``/``filter``.  Two steps leave the JVM,
+both Arrow-batched: entity decoding (the standard library's ``html.unescape``),
+which only sees paragraph text, and a scan with a tag stack of pages whose noise
+elements are nested or not closed.
 """
 
 from __future__ import annotations
 
 import html as _html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -98,9 +100,65 @@ def meta_description(h: Column) -> Column:
 
 _META_SEP, _NO_REGIONS = "\u0004", "\u0005"
 
+#: A start or end tag of a noise element, left over where such elements lie in each other or aren't closed.
+_NOISE_LEFT = rf"(?i)</?(?:{'|'.join(NOISE_TAGS)})\b"
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# Elements without content or end tag, and those whose content is no markup.
+_VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+_RAW_TEXT = {"script", "style"}
+
+
+def strip_nested_noise(page: str) -> str:
+    """``page`` without comments and noise elements, with a stack of the open
+    elements: an end tag closes everything opened since its start tag, also a
+    noise element without an end tag of its own; an end tag of no open element
+    closes nothing; a noise element that nothing closes goes on to the end."""
+    out, stack, hidden, at = [], [], 0, 0
+    i = 0
+    while m := _MARKUP.search(page, i):
+        if not hidden:
+            out.append(page[at:m.start()])
+        at = i = m.end()
+        name = (m[2] or "").lower()
+        if not name:
+            out.append("" if hidden else NODE)  # a comment
+        elif m[1]:
+            if name in stack:
+                was = hidden
+                while (closed := stack.pop()) != name:
+                    hidden -= closed in NOISE_TAGS
+                hidden -= name in NOISE_TAGS
+                out.append("" if hidden else NODE if was else m[0])
+            elif name not in NOISE_TAGS:
+                out.append("" if hidden else m[0])
+        else:
+            out.append("" if hidden else m[0] if name not in NOISE_TAGS else NODE)
+            if name in _VOID or m[3].endswith("/") and name not in NOISE_TAGS:
+                continue
+            if name in _RAW_TEXT:  # its content holds no tags; skipped as a whole
+                end = re.compile(rf"</{name}\s*>", re.I).search(page, i)
+                at = i = end.end() if end else len(page)
+                continue
+            stack.append(name)
+            hidden += name in NOISE_TAGS
+    if not hidden:
+        out.append(page[at:])
+    return "".join(out)
+
+
+@F.pandas_udf(T.StringType())
+def _strip_nested(pages: pd.Series) -> pd.Series:
+    """``strip_nested_noise`` of the few pages that need it (null for all others)."""
+    return pages.map(lambda p: None if p is None else strip_nested_noise(p)).astype(object)
+
 
 def _strip_noise(html: Column) -> Column:
-    return _drop_elements(html, NOISE_TAGS)
+    """The page without comments and noise elements: one regex pass, which
+    takes each element up to its first end tag; pages where that leaves a tag
+    of such an element behind are scanned again with a stack."""
+    fast = _drop_elements(html, NOISE_TAGS)
+    nested = fast.rlike(_NOISE_LEFT)
+    return F.when(nested, _strip_nested(F.when(nested, html))).otherwise(fast)
 
 
 def _regions(h: Column) -> Column:
@@ -143,12 +201,13 @@ def paragraphs(c) -> Column:
     return page_parts(c)["paragraphs"]
 
 
-def page_main_text(c, max_paragraphs: int = MAX_PARAGRAPHS,
+def page_main_text(c, max_paragraphs: int | None = MAX_PARAGRAPHS,
                    min_chars: int = MIN_PARAGRAPH_CHARS) -> Column:
-    """Long paragraphs (first N joined by ' '), else meta description."""
+    """Long paragraphs (first N, or all for None, joined by ' '), else meta description."""
     def body(parts):
         long_ps = F.filter(parts["paragraphs"], lambda p: F.length(p) > min_chars)
-        joined = let(long_ps, lambda ps: F.when(F.size(ps) > 0, F.array_join(F.slice(ps, 1, max_paragraphs), " ")))
+        joined = let(long_ps, lambda ps: F.when(F.size(ps) > 0, F.array_join(
+            ps if max_paragraphs is None else F.slice(ps, 1, max_paragraphs), " ")))
         return F.coalesce(joined, py_strip(parts["meta"]))
     return let(page_parts(c), body)
 
