@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .functions import ids, text, urls
 from .operators.sizing import proven_small
 from .operators import dedupe, resolve
-from .session import table_path
+from .session import materialize, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -128,6 +128,20 @@ def q_j1(spark, sf):
     return new
 
 
+@query("J1_filtered_known_urls")
+def q_j1_filtered(spark, sf):
+    """New entries by way of a Bloom filter and a look-up of what it passes on;
+    the stored URLs were added in two commits."""
+    from .operators.known_urls import add_urls, new_entries
+    root = scratch_path(spark, "known_urls")
+    stored = known_pages(spark, sf).select("page_id", urls.canonical_url("url").alias("url"))
+    for half in (0, 1):
+        add_urls(spark, root, f"run {half}", stored.filter(F.pmod(F.floor(F.col("page_id") / 2), F.lit(2)) == half),
+                 buckets=4, bits=1 << 16)
+    e = urls.with_canonical_url(page_entries(spark, sf), "url", "canonical_url")
+    return new_entries(spark, root, e.select(F.col("canonical_url").alias("url"), "kw_pos", "entry_pos"))
+
+
 @query("J1_known_semi_join")
 def q_j1k(spark, sf):
     e = page_entries(spark, sf).withColumn("url", urls.canonical_url("url"))
@@ -148,8 +162,9 @@ def q_a10(spark, sf):
 
 @query("S3_raw_page_scan")
 def q_s3(spark, sf):
-    return t(spark, sf, "pages").select("page_id", "url", F.length("html").alias("html_chars"),
-                                        F.md5("html").alias("html_md5"))
+    from .sources.feeds import read_pages
+    return read_pages(spark, table_path(sf, "pages"), "page_id").select(
+        "page_id", "url", F.length("html").alias("html_chars"), F.md5("html").alias("html_md5"))
 
 
 @query("S4_table_scan_explicit_columns")
@@ -281,7 +296,7 @@ def page_articles(spark, sf) -> DataFrame:
         F.regexp_extract("url", r"//([^/?#]+)", 1).alias("source_name"),
         (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("page_id") * 7))
         .alias("publish_datetime"),
-        text.page_main_text("html").alias("full_text"))
+        text.page_main_text("html", None).alias("full_text"))
 
 
 @query("E0_top_relevant_pages")
@@ -301,7 +316,7 @@ def q_e0(spark, sf):
         text.html_unescape(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"),
         (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("page_id") * 7))
         .alias("publish_datetime"),
-        text.page_main_text("html").alias("full_text"))
+        text.page_main_text("html", None).alias("full_text"))
     a = a.select("article_id", "canonical_url", "title", "publish_datetime",
                  text.build_summary("title", F.lit(None).cast("string"), "full_text").alias("summary"),
                  text.topic_flag("title", F.lit(None).cast("string"), "full_text", FIXTURE_KEYWORDS).alias("relevant"))
@@ -556,9 +571,8 @@ def q_j5(spark, sf):
 
 @query("J6_link_person_join")
 def q_j6(spark, sf):
-    linked, missing = resolve.link_person_ids(deduped_links(spark, sf), person_ids(spark, sf))
-    return linked.withColumn("status", F.lit("linked")).unionByName(
-        missing.withColumn("status", F.lit("missing"))).select("article_id", "person_key", "person_id", "status")
+    return resolve.with_person_ids(deduped_links(spark, sf), person_ids(spark, sf)).select(
+        "article_id", "person_key", "person_id", F.col("outcome").alias("status"))
 
 
 @query("J9_failure_provenance")
@@ -627,8 +641,12 @@ def failures_fixture(spark, sf) -> DataFrame:
     rid = F.lit(fixture_sql.RUN_ID)
     ws, we = run_window()
     ext = error_rows(spark, sf).filter(F.col("event_type") == "error")
-    bad_people = sinks.split_valid(stamped(resolved_people(spark, sf).filter("is_new")), PEOPLE_SCHEMA)[1]
-    _, missing = resolve.link_person_ids(deduped_links(spark, sf), person_ids(spark, sf))
+    # People are resolved once; rejected ones and the ids for links are read from the result.
+    people = stamped(resolved_people(spark, sf))
+    people = materialize(people.withColumn("ok", sinks.required_ok(people, PEOPLE_SCHEMA)), "people_outcomes")
+    bad_people = people.filter(F.col("is_new") & ~F.col("ok"))
+    missing = resolve.with_person_ids(deduped_links(spark, sf), ent.ids_after_insert(people, F.col("ok"))) \
+        .filter(F.col("outcome") == resolve.MISSING)
     return fl.union_failures([
         fl.extract_failures(ext, rid, ws, we, as_of()),
         fl.insert_failures(bad_people, "person_insert", "full_name", rid, ws, we, as_of()),
@@ -703,7 +721,7 @@ def page_run(spark, sf) -> ingest_plan.RunOutput:
     return ingest_plan.ingest(page_feed(spark, sf), landed_pages(spark, sf), known,
                               existing(spark, sf, "EXISTING_COMPANIES"),
                               empty_people, existing(spark, sf, "EXISTING_ARTICLE_PEOPLE"),
-                              fixture_sql.RUN_ID, as_of(), page_order="page_id")
+                              fixture_sql.RUN_ID, as_of(), page_order="page_id", mode="backfill")
 
 
 def landed_pages(spark, sf) -> DataFrame:
@@ -1031,9 +1049,22 @@ def q_i4(spark, sf):
 @query("I5_window_assignment")
 def q_i5(spark, sf):
     ev = t(spark, sf, "events").select("event_id", F.col("user_id").cast("bigint").alias("user_id"), "ts")
-    a = st.assign_windows(ev, state_table(spark, sf), "user_id", "ts")
-    return a.groupBy(F.col("user_id").alias("state_id"), "window_start", "window_end") \
-        .agg(F.count(F.lit(1)).alias("n_events"))
+    return st.window_counts(ev, state_table(spark, sf), "user_id", "ts", count="n_events") \
+        .withColumnRenamed("user_id", "state_id")
+
+
+@query("I5_unequal_windows")
+def q_i5_unequal(spark, sf):
+    """Events per window of its feed, windows of 1 to 9 days that overlap."""
+    state = state_table(spark, sf).select(F.col("state_id").alias("user_id"), "backfill_start_date", "backfill_end_date")
+    starts = state.select("user_id", "backfill_end_date", F.explode(F.sequence(
+        "backfill_start_date", "backfill_end_date", F.expr("INTERVAL 5 DAYS"))).alias("window_start"))
+    length = F.pmod(F.col("user_id") + F.dayofmonth("window_start"), F.lit(9)).cast("int")
+    windows = starts.select("user_id", "window_start", F.least(F.date_add("window_start", length), F.col("backfill_end_date"))
+                            .alias("window_end"))
+    ev = t(spark, sf, "events").select("event_id", F.col("user_id").cast("bigint").alias("user_id"), "ts")
+    return st.assign_to_windows(ev, windows, "user_id", "ts", salts=4).groupBy(
+        F.col("user_id").alias("state_id"), "window_start", "window_end").agg(F.count("*").alias("n_events"))
 
 
 @query("J10_keyword_window_cross_join")
@@ -1077,6 +1108,40 @@ def q_s1(spark, sf):
     return feeds.parse_rss_items(rss_items(spark, sf), "item_xml", as_of())
 
 
+@query("S1_landed_feed_files")
+def q_s1_files(spark, sf):
+    """Feeds of up to 20 items landed as files under their keyword and number,
+    read as a stream (a run after each half has landed) and as a batch."""
+    from .sources.feeds import read_feeds, stream_to_table
+    landing, target, checkpoint = (scratch_path(spark, f"feeds_{x}") for x in ("landing", "items", "ckpt"))
+    items = rss_items(spark, sf).select(
+        (F.col("page_id") % 7).cast("int").alias("kw_pos"), F.floor(F.col("page_id") / 140).cast("int").alias("feed_pos"),
+        F.struct("page_id", "item_xml").alias("item"))
+    feeds_ = items.groupBy("kw_pos", "feed_pos").agg(F.concat(  # at most 20 items each
+        F.lit('<?xml version="1.0"?>\n<rss version="2.0"><channel><title>Feed</title>\n'),
+        F.array_join(F.transform(F.array_sort(F.collect_list("item")), lambda x: x["item_xml"]), "\n"),
+        F.lit("\n</channel></rss>")).alias("value"))
+    for half in (0, 1):
+        feeds_.filter(F.col("kw_pos") % 2 == half).repartition("kw_pos", "feed_pos").write.mode("append") \
+            .partitionBy("kw_pos", "feed_pos").text(landing)
+        stream_to_table(read_feeds(spark, landing, as_of(), stream=True), target, checkpoint)
+    batch = read_feeds(spark, landing, as_of())
+    return (spark.read.schema(batch.schema).parquet(target).withColumn("read_as", F.lit("stream"))
+            .unionByName(batch.withColumn("read_as", F.lit("batch"))))
+
+
+@query("S2_landed_response_files")
+def q_s2_files(spark, sf):
+    """API responses landed one a line, files numbered."""
+    from .sources.feeds import read_news_api
+    landing = scratch_path(spark, "responses")
+    r = news_responses(spark, sf).select(F.floor(F.col("resp_pos") / 50).cast("int").alias("file_pos"), "resp_pos", "body")
+    files = r.groupBy("file_pos").agg(F.array_join(F.transform(  # at most 50 responses each
+        F.array_sort(F.collect_list(F.struct("resp_pos", "body"))), lambda x: x["body"]), "\n").alias("value"))
+    files.repartition("file_pos").write.partitionBy("file_pos").text(landing)
+    return read_news_api(spark, landing).select("file_pos", "resp_pos", "art_pos", "title", "url", "publishedAt")
+
+
 @query("P9_feed_date_parse")
 def q_p9(spark, sf):
     e = t(spark, sf, "events").select("event_id", "ts")
@@ -1150,17 +1215,38 @@ def q_i6(spark, sf):
     return spark.read.schema(ARTICLES_SCHEMA).parquet(path).select("article_id", "url")
 
 
+PAGES_SCHEMA = "page_id long, url string, html string"
+
+
 @query("T1_incremental_ingest_stream")
 def q_t1(spark, sf):
     from pyspark.sql import types as T
     from .streaming.ingest_stream import ingest_stream, read_target
-    schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
-                           T.StructField("html", T.StringType())])
     target = scratch_path(spark, "stream_articles")
     # a glob that matches exactly the landed file (a file stream needs a
     # directory or a glob; landing areas are directories in production)
-    ingest_stream(spark, f"{sf.rstrip('/')}/[p]ages.parquet", schema, target, scratch_path(spark, "stream_ckpt"),
-                  order="page_id")
+    ingest_stream(spark, f"{sf.rstrip('/')}/[p]ages.parquet", T._parse_datatype_string(PAGES_SCHEMA), target,
+                  scratch_path(spark, "stream_ckpt"), order="page_id")
+    return read_target(spark, target).select("url", "article_id")
+
+
+@query("T1_keyed_state_replay")
+def q_t1_state(spark, sf):
+    """Three runs of one stream over a folder that fills: two thirds of the
+    pages, then all of them (so most are known), then the second batch once
+    more, as after a driver lost before its commit.  Stored articles are
+    the stream's initial state."""
+    from pyspark.sql import types as T
+    from .streaming.ingest_stream import forget_last_commit, ingest_stream, read_target
+    landing, target, checkpoint = (scratch_path(spark, f"stream_{x}") for x in ("landing", "articles", "ckpt"))
+    schema = T._parse_datatype_string("url string, entry_pos long")
+    pages = t(spark, sf, "pages").select("url", F.col("page_id").alias("entry_pos"))
+    history = known_pages(spark, sf).select(urls.canonical_url("url").alias("url"))
+    for landed in (pages.filter("entry_pos % 3 <> 1"), pages.withColumn("entry_pos", F.col("entry_pos") + (1 << 40))):
+        landed.write.mode("append").parquet(landing)
+        ingest_stream(spark, landing, schema, target, checkpoint, history=history)
+    forget_last_commit(spark, checkpoint)
+    ingest_stream(spark, landing, schema, target, checkpoint, history=history)
     return read_target(spark, target)
 
 
@@ -1170,7 +1256,8 @@ def q_t1(spark, sf):
 
 @query("E1_ingest_run")
 def q_e1(spark, sf):
-    """One ingestion run over every window: rows each output table receives."""
+    """One ingestion run over every window, without model answers: rows each
+    output table receives."""
     r = page_run(spark, sf)
     parts = [("articles", r.articles), ("companies", r.companies), ("people", r.people),
              ("article_people", r.article_people), ("extraction_failures", r.failures), ("events", r.events)]
@@ -1181,6 +1268,71 @@ def q_e1(spark, sf):
     return out
 
 
+def seeded_store(spark, sf, feed) -> str:
+    """A store whose first commit holds the tables of earlier runs and a
+    backfill state that ends with the feed's last window."""
+    from .schemas import TABLES
+    from .sinks import commits
+    root = scratch_path(spark, "store")
+    now = as_of()
+    stamps = {"created_at": now, "updated_at": now}
+    stored = known_pages(spark, sf).select(urls.canonical_url("url").alias("url")).distinct().select(
+        ids.stable_id(ids.ARTICLE, F.col("url")).alias("article_id"), F.lit("Stored").alias("title"),
+        F.lit("Stored").alias("summary"), "url", F.lit("Stored").alias("source_name"), F.lit("en").alias("language"),
+        F.lit(False).alias("mentions_cooling_or_water")).withColumns(stamps)
+    people = existing(spark, sf, "EXISTING_PEOPLE").withColumn("lead_relevance", F.lit("Low")).withColumns(stamps)
+    state = feed.agg(F.min("window_start").alias("backfill_start_date"), F.max("window_end").alias("backfill_end_date")) \
+        .select(F.lit(1).cast("long").alias("state_id"), "*", F.lit(False).alias("backfill_complete"),
+                now.alias("updated_at")).filter("backfill_start_date is not null")
+    commits.commit(spark, root, "earlier", {
+        "articles": stored, "companies": existing(spark, sf, "EXISTING_COMPANIES").withColumns(stamps), "people": people,
+        "article_people": existing(spark, sf, "EXISTING_ARTICLE_PEOPLE").withColumn("created_at", now),
+        "ingestion_state": state}, schemas=TABLES)
+    return root
+
+
+@query("E1_committed_run")
+def q_e1_committed(spark, sf):
+    """One run with model answers, failed extractions and bad rows, committed
+    as one version: every row that it added to a table, and the state.  The
+    same run is started twice; it commits once."""
+    from .plans.run import STORED, read, run_ingest
+    from .sinks import commits
+    feed = page_feed(spark, sf).withColumn("publish_datetime", F.when(
+        F.col("entry_pos") % 13 == 7, F.lit("sometime last week")).otherwise(
+        F.date_format("publish_datetime", "yyyy-MM-dd HH:mm:ss")))
+    root = seeded_store(spark, sf, feed)
+    landed_pages(spark, sf).select("url", "page_id").filter("url <> ''").createOrReplaceTempView("canonical_pages")
+    plan = st.plan_runs(read(spark, root, "ingestion_state"), F.lit("2030-01-01").cast("date"), backfill_days=36500)
+    for _ in range(2):
+        version = run_ingest(spark, root, feed, landed_pages(spark, sf), fixture_sql.RUN_ID, as_of(), plan,
+                             answers=spark.sql(fixture_sql.PAGE_ANSWERS), errors=spark.sql(fixture_sql.PAGE_ERRORS),
+                             limits=fixture_sql.COLUMN_LIMITS, page_order="page_id", mode="backfill")
+    change = commits.history(spark, root)[version]["tables"]
+    text_of = {
+        "articles": ("article_id", ["url", "title", "summary", "source_name", "publish_datetime", "language", "country",
+                                    "mentions_cooling_or_water", "cooling_water_summary", "created_at"]),
+        "companies": ("company_id", ["name", "sector", "country", "notes"]),
+        "people": ("person_id", ["full_name", "primary_title", "primary_company", "lead_relevance", "notes"]),
+        "article_people": ("article_id", ["person_id", "role_in_article", "relation_description"]),
+        "extraction_failures": ("failure_id", ["article_url", "article_title", "stage", "error_type", "error_kind",
+                                               "error_message", "run_id", "window_start", "window_end"]),
+        "ingestion_state": ("state_id", ["backfill_start_date", "backfill_end_date", "backfill_progress_cutoff",
+                                         "backfill_complete"]),
+        "run_stats": ("processed", ["mode", "window_start", "window_end", "inserted", "updated", "people_added",
+                                    "companies_added", "skipped", "dropped"]),
+        "run_events": (None, ["event_json"])}
+    out = None
+    for name, (key, cols) in text_of.items():
+        rows = spark.read.schema(STORED[name]).parquet(f"{root}/{change[name]['folder']}")
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols]
+        d = rows.select(F.lit(version).alias("version"), F.lit(name).alias("table_name"),
+                        (F.col(key) if key else F.lit(None)).cast("long").alias("row_key"),
+                        F.concat_ws("|", *parts).alias("row_text"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 @query("E2_report_job")
 def q_e2(spark, sf):
     """The Markdown report written as one text file and read back in order."""

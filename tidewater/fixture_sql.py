@@ -169,3 +169,17 @@ SELECT CAST(user_id AS BIGINT) AS state_id,
   CAST(NULL AS STRING) AS lock_owner, CAST(NULL AS TIMESTAMP) AS lock_expires_at,
   TIMESTAMP '2024-01-01 00:00:00' AS updated_at
 FROM events GROUP BY user_id"""
+
+# Model answers and failed extractions of pages, by canonical URL (``canonical_pages``: page_id, url), and the
+# warehouse's column lengths: some companies and people don't fit.
+_FIRST_PAGES = "SELECT url, min(page_id) AS page_id FROM canonical_pages GROUP BY url"
+PAGE_ANSWERS = f"""
+SELECT url, {EXTRACTION_ANSWER} AS answer
+FROM (SELECT url, page_id AS event_id, page_id % 40 AS user_id, CAST(page_id % 100 AS INT) AS k,
+        CASE WHEN page_id % 9 = 5 THEN 'a very long division of some other' ELSE 'kind' || CAST(page_id % 9 AS STRING) END
+          AS event_type
+      FROM ({_FIRST_PAGES}) f WHERE page_id % 5 <> 0) e"""
+PAGE_ERRORS = f"""
+SELECT url, 'ReadTimeout' AS error_type, 'no answer from ' || url AS error_message
+FROM ({_FIRST_PAGES}) f WHERE page_id % 11 = 3"""
+COLUMN_LIMITS = {"companies": {"name": 32}, "people": {"primary_company": 32}}

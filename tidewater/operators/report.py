@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import in_lookback, iso_utc
+from .numbering import numbered
 
 # ---- fixed values (must equal the reference's behaviour) -------------------
 REPORT_TITLE = "# Data Center Water News Report"
@@ -103,8 +104,8 @@ def presentation(df: DataFrame) -> DataFrame:
 def markdown_lines(totals_df: DataFrame, top: DataFrame, stages: DataFrame, *, generated: Column,
                    project: str, dataset: str, days: int, files: dict[str, str]) -> DataFrame:
     """K7: the report as (section, line_no, line) rows; sorting by
-    (section, line_no) gives the file.  Every input is already bounded
-    (one totals row, <= 10 articles, one row per stage)."""
+    (section, line_no) gives the file (one totals row, <= 10 articles, a line
+    per stage, numbered without a single task for all of them)."""
     def lit_lines(section: int, lines: list[str]) -> list[Column]:
         return [F.struct(F.lit(section).alias("section"), F.lit(i).alias("line_no"), F.lit(s).alias("line"))
                 for i, s in enumerate(lines)]
@@ -142,9 +143,8 @@ def markdown_lines(totals_df: DataFrame, top: DataFrame, stages: DataFrame, *, g
                  F.lit("").alias("line")),
     )).alias("l")).select("l.*").filter(F.col("line").isNotNull())
 
-    ranked = stages.withColumn("rank", F.row_number().over(
-        Window.orderBy(F.col("failure_count").desc(), "stage")))
-    fails = ranked.select(F.lit(5).alias("section"), F.col("rank").alias("line_no"),
+    ranked = numbered(stages, F.col("failure_count").desc(), F.col("stage").asc(), name="rank")
+    fails = ranked.select(F.lit(5).alias("section"), F.col("rank").cast("int").alias("line_no"),
                           F.concat(F.lit("- "), F.col("stage"), F.lit(": "),
                                    F.col("failure_count").cast("string")).alias("line"))
     no_fail = stages.agg(F.count(F.lit(1)).alias("n")).select(

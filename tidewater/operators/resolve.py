@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids
-from ..functions.strings import py_strip
 
 
 def new_vs_known(entries: DataFrame, known_urls: DataFrame, url_col: str = "url",
@@ -74,18 +73,22 @@ def relation_exists(links: DataFrame, existing: DataFrame) -> DataFrame:
     return links.join(existing.select("article_id", "person_id"), ["article_id", "person_id"], "left_semi")
 
 
-def link_person_ids(links: DataFrame, person_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Attach person_id by person_key; (linked, missing)."""
+LINKED, MISSING = "linked", "missing"
+
+
+def with_person_ids(links: DataFrame, person_ids: DataFrame) -> DataFrame:
+    """``person_id`` by person_key and its ``outcome`` (linked, missing):
+    one join, both outcomes are filters of it."""
     # one id per key (the smallest, should a key ever carry two): deterministic
     pid = person_ids.groupBy("person_key").agg(F.min("person_id").alias("person_id"))
-    j = links.join(pid, "person_key", "left")
-    return j.filter(F.col("person_id").isNotNull()), j.filter(F.col("person_id").isNull())
+    return links.join(pid, "person_key", "left").withColumn(
+        "outcome", F.when(F.col("person_id").isNull(), MISSING).otherwise(LINKED))
 
 
-def insert_only_merge(source: DataFrame, target: DataFrame, keys=("article_id", "person_id")) -> DataFrame:
-    """K3: rows of ``source`` whose keys are not in ``target`` (WHEN NOT
-    MATCHED THEN INSERT; never update).  Append the result to the target."""
-    return source.join(target.select(*keys), list(keys), "left_anti")
+def link_person_ids(links: DataFrame, person_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """J6 as two frames: (linked, missing)."""
+    j = with_person_ids(links, person_ids)
+    return tuple(j.filter(F.col("outcome") == o).drop("outcome") for o in (LINKED, MISSING))
 
 
 def case_insensitive_equal(a, b):
@@ -98,10 +101,6 @@ def null_safe_company_match(a, b):
     return F.lower(a).eqNullSafe(F.lower(b))
 
 
-def trimmed(c):
-    return py_strip(c)
-
-
 def first_link_per_pair(links: DataFrame, order=("article_pos", "elem_pos")) -> DataFrame:
     """Links of one run that resolve to the same (article_id, person_id):
     the first in list order wins, as it would for one MERGE per link."""

@@ -95,6 +95,39 @@ def assign_windows(rows: DataFrame, state: DataFrame, key: str, ts: str,
         rows.columns + [ws.alias("window_start"), F.least(F.date_add(ws, days - 1), F.col("_e")).alias("window_end")])
 
 
+def window_counts(rows: DataFrame, state: DataFrame, key: str, ts: str, days: int = BACKFILL_WINDOW_DAYS,
+                  count: str = "n") -> DataFrame:
+    """I5 counts: rows per feed and backfill window.  Rows are counted per
+    feed and day first (with a map-side step), so a feed with half of all rows
+    meets its state row as one row per day."""
+    daily = rows.groupBy(F.col(key), F.to_date(col_(ts)).alias("_day")).agg(F.count("*").alias("_n"))
+    return (assign_windows(daily, state, key, "_day", days).groupBy(key, "window_start", "window_end")
+            .agg(F.sum("_n").alias(count)))
+
+
+def assign_to_windows(rows: DataFrame, windows: DataFrame, key: str, ts: str, bin_days: int = 7,
+                      salts: int = 1) -> DataFrame:
+    """Each row with every window (``window_start`` to ``window_end``, both
+    included, of its ``key``) that holds its day; windows of any length, also
+    overlapping ones.
+
+    Windows are listed under each ``bin_days`` long bin that they touch, so the
+    join is on (key, bin) and looks at few pairs beyond its result.  ``salts``
+    deals the rows of one (key, bin) to that many tasks; the windows are
+    repeated for each.
+    """
+    day = F.to_date(col_(ts))
+    bin_of = lambda d: F.floor(F.unix_date(d) / F.lit(bin_days)).cast("int")
+    w = (windows.where("window_start <= window_end").select(F.col(key).alias("_key"), "window_start", "window_end")
+         .withColumn("_bin", F.explode(F.sequence(bin_of(F.col("window_start")), bin_of(F.col("window_end")))))
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    salt = F.pmod(F.xxhash64(*[c for c in rows.columns]), F.lit(salts)).cast("int")
+    r = rows.withColumns({"_day": day, "_row_bin": bin_of(day), "_row_salt": salt})
+    on = ((F.col(key) == F.col("_key")) & (F.col("_row_bin") == F.col("_bin")) & (F.col("_row_salt") == F.col("_salt"))
+          & F.col("_day").between(F.col("window_start"), F.col("window_end")))
+    return r.join(w, on).select(*rows.columns, "window_start", "window_end")
+
+
 def seed_defaults(feeds: DataFrame, today: Column, start_date: str = DEFAULT_BACKFILL_START) -> DataFrame:
     """K10 defaults: a fresh state row per feed id."""
     s = F.lit(start_date).cast("date")

@@ -1,21 +1,27 @@
 """One ingestion run over landed feed entries, as a single Spark plan.
 
 entries -> first-wins URL dedupe (-> first N per window) -> canonical URL ->
-new-vs-known anti join -> page text + heuristics (+ optional landed model
-answers) -> article rows (validated) -> entities (exploded, deduped,
-resolved, validated) -> links (deduped, id-joined, insert-only merge) ->
-dead-letter rows, run stats and event rows.
+one status per entry (skipped, updated, new) -> page text + heuristics (+
+landed model answers) -> article rows -> entities (exploded, deduped,
+resolved) -> links (deduped, id-joined, insert-only merge) -> dead-letter
+rows, run stats and event rows.
 
 Every step is a DataFrame transform on all windows at once (``window_start``
 /``window_end`` columns); the reference's one-query-per-row lookups are
-joins.  The cheap dedupe and anti join run before any text work.
+joins.  The cheap dedupe and the join to known URLs run before any text work.
+
+Each stage tags its rows with an ``outcome`` and is written once: tables,
+dead-letter rows and counters are filters and counts of these few tables, so
+no branch is computed twice.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, text, urls
@@ -66,11 +72,14 @@ def article_rows(df: DataFrame, extracted: str, now: Column, keep=()) -> DataFra
     title = F.coalesce(F.col("title"), F.lit(DEFAULT_TITLE))
     summary = F.coalesce(F.when(x["summary"] != "", x["summary"]),
                          F.when(F.col("summary") != "", F.col("summary")), title)
+    published = F.col("publish_datetime")
+    if df.schema["publish_datetime"].dataType.typeName() != "string":  # a text is validated with the row
+        published = published.cast("timestamp")
     return df.select(
         ids.stable_id(ids.ARTICLE, F.col("url")).alias("article_id"), title.alias("title"),
         F.lit(None).cast("string").alias("author"), summary.alias("summary"), F.col("url"),
         F.coalesce(F.col("source_name"), F.lit(DEFAULT_SOURCE)).alias("source_name"),
-        F.col("publish_datetime").cast("timestamp").alias("publish_datetime"),
+        published.alias("publish_datetime"),
         F.lit(LANGUAGE).alias("language"), x["country"].alias("country"), x["full_text"].alias("full_text"),
         F.coalesce(x["mentions_cooling_or_water"], F.lit(False)).alias("mentions_cooling_or_water"),
         x["cooling_water_summary"].alias("cooling_water_summary"),
@@ -85,17 +94,29 @@ def inserted_events(articles: DataFrame, run_id: Column, now: Column) -> DataFra
         F.concat(F.lit(INSERTED_PREFIX), F.col("title")).alias("detail"))).alias("event_json"))
 
 
-def run_stats(statuses: DataFrame, by: list[str]) -> DataFrame:
-    """A3: counters per run/window from one status row per entry plus
-    per-entity rows (``kind`` column: 'entry', 'company', 'person')."""
-    s, k = F.col("status"), F.col("kind")
-    return statuses.groupBy(*by).agg(
-        F.count_if(k == "entry").alias("processed"),
-        F.count_if((k == "entry") & (s == "inserted")).alias("inserted"),
-        F.count_if((k == "entry") & (s == "updated")).alias("updated"),
-        F.count_if((k == "person") & (s == "inserted")).alias("people_added"),
-        F.count_if((k == "company") & (s == "inserted")).alias("companies_added"),
-        F.count_if((k == "entry") & (s == "skipped")).alias("skipped"))
+def run_stats(entries: DataFrame, articles: DataFrame, companies: DataFrame, people: DataFrame,
+              dropped: DataFrame | None, mode: str | None) -> DataFrame:
+    """A3: counters per window, each stage's rows counted by outcome first, so
+    that only a few rows per window meet.  ``dropped`` are the entries beyond
+    the run's limit; the reference forgets them."""
+    win = ["window_start", "window_end"]
+    o = F.col("outcome")
+    counters = ["processed", "inserted", "updated", "people_added", "companies_added", "skipped", "dropped"]
+
+    def counts(df: DataFrame, **c: Column) -> DataFrame:
+        d = df.groupBy(*win).agg(*[F.count_if(cond).alias(n) for n, cond in c.items()])
+        return d.select(*win, *[F.col(n) if n in c else F.lit(0).cast("long").alias(n) for n in counters])
+
+    parts = [counts(entries, processed=F.lit(True), updated=o == UPDATED, skipped=o == SKIPPED),
+             counts(articles, inserted=o == INSERTED, skipped=o != INSERTED),
+             counts(companies, companies_added=o == INSERTED), counts(people, people_added=o == INSERTED)]
+    if dropped is not None:
+        parts.append(counts(dropped, dropped=F.lit(True)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy(*win).agg(*[F.sum(n).alias(n) for n in counters]).select(
+        F.lit(mode).cast("string").alias("mode"), *win, *counters)
 
 
 @dataclass
@@ -109,39 +130,70 @@ class RunOutput:
     events: DataFrame
 
 
+NEW, UPDATED, SKIPPED = "new", "updated", "skipped"
+INSERTED, REJECTED, KNOWN, FAILED = "inserted", "rejected", "known", "failed"
+WINDOW = ["window_start", "window_end"]
+
+
+def entry_outcomes(entries: DataFrame, known_urls: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(entries with ``outcome``, entries dropped by the limit).
+
+    Raw URLs are deduped per window, as the fetch does.  Of the rest, entries
+    without a URL are skipped; those whose canonical URL is stored already, or
+    is that of an earlier entry of the run, are updated; others are new.
+    """
+    pos = ["window_start", "kw_pos", "entry_pos"]
+    e = entries.withColumn("_key", F.when(F.coalesce(F.col("url"), F.lit("")) != "", F.col("url")))
+    missing = e.filter(F.col("_key").isNull()).drop("_key")
+    first = dedupe.first_wins(e.filter(F.col("_key").isNotNull()), F.struct(*WINDOW, F.col("_key")),
+                              ["kw_pos", "entry_pos"], "_dk").drop("_dk", "_key")
+    dropped = first.limit(0)
+    if limit is not None:
+        ranked = first.withColumn("_rank", F.row_number().over(
+            Window.partitionBy(*WINDOW).orderBy("kw_pos", "entry_pos")))
+        dropped = ranked.filter(F.col("_rank") > limit).drop("_rank")
+        first = dedupe.first_n_per_group(first, limit, WINDOW, ["kw_pos", "entry_pos"], "_rank").drop("_rank")
+    canon = materialize(urls.with_canonical_url(first.unionByName(missing), "url", "canonical_url"), "ingest_entries")
+    ok = F.coalesce(F.col("canonical_url"), F.lit("")) != ""
+    firsts = dedupe.first_wins(canon.filter(ok).select("canonical_url", *pos), F.col("canonical_url"), pos, "_ck") \
+        .select(F.col("canonical_url").alias("_u"), *[F.col(c).alias(f"_{c}") for c in pos])
+    known = known_urls.filter("url is not null").select(F.col("url").alias("_known")).distinct()
+    same = [F.col("canonical_url") == F.col("_u"), *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in pos]]
+    tagged = (canon.join(firsts, reduce(and_, same), "left")
+              .join(known, F.col("canonical_url") == F.col("_known"), "left"))
+    outcome = (F.when(~ok, SKIPPED).when(F.col("_known").isNotNull() | F.col("_u").isNull(), UPDATED).otherwise(NEW))
+    return materialize(tagged.withColumn("outcome", outcome).drop("_u", "_known", *[f"_{c}" for c in pos]),
+                       "ingest_outcomes"), dropped
+
+
 def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing_companies: DataFrame,
            existing_people: DataFrame, existing_links: DataFrame, run_id: str, now: Column,
            answers: DataFrame | None = None, limit: int | None = None,
-           keywords: list[str] = text.TOPIC_KEYWORDS, page_order: str | None = None) -> RunOutput:
+           keywords: list[str] = text.TOPIC_KEYWORDS, page_order: str | None = None,
+           errors: DataFrame | None = None, limits: dict[str, dict[str, int]] | None = None,
+           mode: str | None = None, max_paragraphs: int | None = None) -> RunOutput:
     """One run over all windows of ``entries``.
 
     entries: window_start, window_end, kw_pos, entry_pos, title, url,
     source_name, publish_datetime, summary.  pages: url (canonical), html
     and, when ``page_order`` names it, a fetch position (non-null, unique
     within a URL): several fetches of one URL may have landed and the first
-    wins (without it, pages must hold one row per URL).  answers (optional): url, answer.  limit (optional):
+    wins (without it, pages must hold one row per URL).  answers (optional):
+    url, answer.  errors (optional): url, error_type, error_message of
+    extractions that failed; these entries are skipped (answers and errors
+    hold one row per canonical URL).  limit (optional):
     first entries of each window that the run looks at; all by default.
+    limits (optional): {table: {column: most characters}} beyond which a row
+    is rejected.  max_paragraphs: paragraphs of a page's text; all by default.
     """
-    rid = F.lit(run_id)
-    win = ["window_start", "window_end"]
-    e = entries.withColumn("_key", F.when(F.coalesce(F.col("url"), F.lit("")) != "", F.col("url")))
-    missing = e.filter(F.col("_key").isNull())
-    first = dedupe.first_wins(e.filter(F.col("_key").isNotNull()),
-                              F.struct(*win, F.col("_key")), ["kw_pos", "entry_pos"], "_dk").drop("_dk", "_key")
-    if limit is not None:
-        first = dedupe.first_n_per_group(first, limit, win, ["kw_pos", "entry_pos"], "_rank").drop("_rank")
-    # materialised once: every branch below (skips, repeats, known, new) reads it
-    canon = materialize(urls.with_canonical_url(first, "url", "canonical_url"), "ingest_entries")
-    blank = canon.filter(F.coalesce(F.col("canonical_url"), F.lit("")) == "")
-    canon = canon.filter(F.coalesce(F.col("canonical_url"), F.lit("")) != "") \
-        .withColumn("raw_url", F.col("url")).withColumn("url", F.col("canonical_url")).drop("canonical_url")
-    # one article per canonical URL over the whole run (window-first): a later
-    # copy is what a sequential run would find already stored
-    pos = ["window_start", "kw_pos", "entry_pos"]
-    firsts = dedupe.first_wins(canon, F.col("url"), pos, "_ck").drop("_ck")
-    repeats = canon.join(firsts.select("url", *pos, F.lit(True).alias("_first")), ["url", *pos], "left") \
-        .filter(F.col("_first").isNull())
-    new, known = resolve.new_vs_known(firsts, known_urls)
+    rid, limits = F.lit(run_id), limits or {}
+    tagged, dropped = entry_outcomes(entries, known_urls, limit)
+    new = tagged.filter(F.col("outcome") == NEW).drop("outcome") \
+        .withColumn("url", F.col("canonical_url")).drop("canonical_url")
+    if errors is not None:
+        new = new.join(errors.select("url", "error_type", "error_message"), "url", "left")
+    else:
+        new = new.withColumns({c: F.lit(None).cast("string") for c in ("error_type", "error_message")})
 
     # Fetch only what is new, then extract text for those pages alone.  Of
     # several fetches of a URL the first is found on narrow rows (a hash
@@ -152,7 +204,8 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
         by = ["url", page_order]
         keys = pages.groupBy("url").agg(F.min(page_order).alias(page_order)).join(keys, "url", "left_semi")
     wanted = pages.select(*by, "html").join(keys, by, "left_semi").select("url", "html")
-    fetched = new.join(wanted, "url", "left").withColumn("full_text", text.page_main_text("html")).drop("html")
+    fetched = new.join(wanted, "url", "left").withColumn(
+        "full_text", text.page_main_text("html", max_paragraphs)).drop("html")
     fetched = fetched.withColumn("_heur", heuristic_payload("title", "summary", "full_text", "source_name",
                                                             keywords))
     if answers is not None:
@@ -162,61 +215,54 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
     else:
         fetched = fetched.withColumn("_x", F.col("_heur"))
 
-    # page text + extraction is the expensive part: compute it once (a table
-    # written to spark.checkpoint.dir) and let articles, entities, links,
-    # failures and stats read the result
-    rows = materialize(article_rows(fetched, "_x", now, keep=[*win, "kw_pos", "entry_pos", "_x"]), "ingest_rows")
-    ok_articles, bad_articles = tables.split_valid(rows, ARTICLES)
+    # Page text and extraction are the expensive part; each table below is
+    # written once under spark.checkpoint.dir and read by all that follow.
+    rows = article_rows(fetched, "_x", now, keep=[*WINDOW, "kw_pos", "entry_pos", "error_type", "error_message", "_x"])
+    rows = materialize(rows.withColumn("outcome", F.when(F.col("error_type").isNotNull(), FAILED).when(
+        tables.required_ok(rows, ARTICLES, limits.get("articles")), INSERTED).otherwise(REJECTED)), "ingest_rows")
 
     # entities of inserted articles, with provenance and positions
-    prov = ok_articles.select("article_id", F.struct("window_start", "kw_pos", "entry_pos").alias("article_pos"),
-                              F.col("url").alias("article_url"), F.col("title").alias("article_title"),
-                              *win, F.col("_x.companies").alias("companies"), F.col("_x.people").alias("people"))
-    comp_rows = entities.explode_companies(prov, keep=win)
-    ppl_rows = entities.explode_people(prov, keep=win)
-    comps = resolve.resolve_companies(dedupe.dedupe_companies(comp_rows), existing_companies)
-    ppl = resolve.resolve_people(dedupe.dedupe_people(ppl_rows), existing_people)
-    new_comps = comps.filter("is_new").withColumn("created_at", now).withColumn("updated_at", now)
-    new_ppl = ppl.filter("is_new").withColumn("created_at", now).withColumn("updated_at", now) \
-        .withColumn("email_if_public", F.lit(None).cast("string")) \
-        .withColumn("linkedin_if_public", F.lit(None).cast("string"))
-    ok_comps, bad_comps = tables.split_valid(new_comps, COMPANIES)
-    ok_ppl, bad_ppl = tables.split_valid(new_ppl, PEOPLE)
-
-    pid = ppl.filter(~F.col("is_new")).select("person_key", "person_id") \
-        .unionByName(ok_ppl.select("person_key", "person_id"))
-    links = dedupe.dedupe_relations(entities.links_from_people(ppl_rows, keep=win))
-    linked, unlinked = resolve.link_person_ids(links, pid)
-    link_rows = resolve.first_link_per_pair(linked).select(
+    prov = rows.filter(F.col("outcome") == INSERTED).select(
+        "article_id", F.struct("window_start", "kw_pos", "entry_pos").alias("article_pos"),
+        F.col("url").alias("article_url"), F.col("title").alias("article_title"), *WINDOW,
+        F.col("_x.companies").alias("companies"), F.col("_x.people").alias("people"))
+
+    def resolved(found: DataFrame, schema, table: str) -> DataFrame:
+        stamped = found.withColumns({"created_at": now, "updated_at": now})
+        ok = tables.required_ok(stamped, schema, limits.get(table))
+        return materialize(stamped.withColumn("outcome", F.when(~F.col("is_new"), KNOWN).when(ok, INSERTED)
+                                              .otherwise(REJECTED)), f"ingest_{table}")
+
+    comps = resolved(resolve.resolve_companies(dedupe.dedupe_companies(entities.explode_companies(prov, keep=WINDOW)),
+                                               existing_companies), COMPANIES, "companies")
+    mentions = entities.explode_people(prov, keep=WINDOW)
+    ppl = resolved(resolve.resolve_people(dedupe.dedupe_people(mentions), existing_people)
+                   .withColumns({c: F.lit(None).cast("string") for c in ("email_if_public", "linkedin_if_public")}),
+                   PEOPLE, "people")
+
+    ids_of = ppl.filter(F.col("outcome") != REJECTED).select("person_key", "person_id")
+    links = materialize(resolve.with_person_ids(dedupe.dedupe_relations(
+        entities.links_from_people(mentions, keep=WINDOW)), ids_of), "ingest_links")
+    link_rows = resolve.first_link_per_pair(links.filter(F.col("outcome") == resolve.LINKED)).select(
         "article_id", "person_id", "role_in_article", "relation_description", now.alias("created_at"))
     new_links = tables.merge_insert_only(link_rows, existing_links, ["article_id", "person_id"])
 
     ws, we = F.col("window_start"), F.col("window_end")
+    of_article = rows.withColumn("article_url", F.col("url")).withColumn("article_title", F.col("title"))
+    rejected = F.col("outcome") == REJECTED
     fails = fl.union_failures([
-        fl.insert_failures(bad_articles.withColumn("article_url", F.col("url"))
-                           .withColumn("article_title", F.col("title")), "article_insert", "url", rid, ws, we, now),
-        fl.insert_failures(bad_comps, "company_insert", "name", rid, ws, we, now),
-        fl.insert_failures(bad_ppl, "person_insert", "full_name", rid, ws, we, now),
-        fl.link_failures(unlinked, rid, ws, we, now),
+        fl.extract_failures(of_article.filter(F.col("outcome") == FAILED), rid, ws, we, now),
+        fl.insert_failures(of_article.filter(rejected), "article_insert", "url", rid, ws, we, now),
+        fl.insert_failures(comps.filter(rejected), "company_insert", "name", rid, ws, we, now),
+        fl.insert_failures(ppl.filter(rejected), "person_insert", "full_name", rid, ws, we, now),
+        fl.link_failures(links.filter(F.col("outcome") == resolve.MISSING), rid, ws, we, now),
     ])
-
-    entry_status = (missing.select(*win, F.lit("skipped").alias("status"))
-                    .unionByName(blank.select(*win, F.lit("skipped").alias("status")))
-                    .unionByName(known.select(*win, F.lit("updated").alias("status")))
-                    .unionByName(repeats.select(*win, F.lit("updated").alias("status")))
-                    .unionByName(ok_articles.select(*win, F.lit("inserted").alias("status")))
-                    .unionByName(bad_articles.select(*win, F.lit("skipped").alias("status")))
-                    .withColumn("kind", F.lit("entry")))
-    # first occurrence (window-first order) attributes a new entity to a window
-    comp_status = ok_comps.select(*win, F.lit("inserted").alias("status"), F.lit("company").alias("kind"))
-    ppl_status = ok_ppl.select(*win, F.lit("inserted").alias("status"), F.lit("person").alias("kind"))
-    stats = run_stats(entry_status.unionByName(comp_status).unionByName(ppl_status), win)
-
+    inserted = F.col("outcome") == INSERTED
     return RunOutput(
-        articles=tables.align_to_schema(ok_articles, ARTICLES),
-        companies=tables.align_to_schema(ok_comps, COMPANIES),
-        people=tables.align_to_schema(ok_ppl, PEOPLE),
+        articles=tables.align_to_schema(rows.filter(inserted), ARTICLES),
+        companies=tables.align_to_schema(comps.filter(inserted), COMPANIES),
+        people=tables.align_to_schema(ppl.filter(inserted), PEOPLE),
         article_people=new_links,
         failures=fails,
-        stats=stats,
-        events=inserted_events(ok_articles, rid, now))
+        stats=run_stats(tagged, rows, comps, ppl, dropped if limit is not None else None, mode),
+        events=inserted_events(rows.filter(inserted), rid, now))

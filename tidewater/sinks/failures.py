@@ -13,9 +13,9 @@ STAGES = ["extract", "article_insert", "company_insert", "person_insert", "relat
 INSERT_ERROR, PERMANENT_WRITE = "InsertError", "permanent_write"
 MISSING_PERSON_ID, DEPENDENT_WRITE = "MissingPersonId", "dependent_write"
 INSERT_MESSAGES = {
-    "article_insert": "Failed to insert article row.",
-    "company_insert": "Failed to insert company row.",
-    "person_insert": "Failed to insert person row.",
+    "article_insert": "Failed to insert article row into BigQuery.",
+    "company_insert": "Failed to insert company row into BigQuery.",
+    "person_insert": "Failed to insert person row into BigQuery.",
 }
 MISSING_PERSON_MESSAGE = "Skipped article-person relation because person ID was unavailable."
 # -----------------------------------------------------------------------------

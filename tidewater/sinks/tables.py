@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def required_ok(df: DataFrame, schema: T.StructType) -> Column:
-    """True when every REQUIRED column of ``schema`` is non-NULL and every
-    present value survives a cast to its declared type."""
+def required_ok(df: DataFrame, schema: T.StructType, limits: dict[str, int] | None = None) -> Column:
+    """True when every REQUIRED column of ``schema`` is non-NULL, every
+    present value survives a cast to its declared type, and no text is longer
+    than its column's ``limits`` (characters) allow."""
     ok = F.lit(True)
+    for name, most in (limits or {}).items():
+        ok = ok & F.coalesce(F.length(F.col(name)) <= most, F.lit(True))
     for f in schema.fields:
         if f.name not in df.columns:
             if not f.nullable:
@@ -28,13 +31,14 @@ def required_ok(df: DataFrame, schema: T.StructType) -> Column:
     return ok
 
 
-def split_valid(df: DataFrame, schema: T.StructType, flag: str = "_valid") -> tuple[DataFrame, DataFrame]:
+def split_valid(df: DataFrame, schema: T.StructType, flag: str = "_valid",
+                limits: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """K2: (rows that would insert, rows that would be rejected).
 
     One projection computes the flag; both outputs are filters of it, so the
     input is scanned once per consumer and never collected.
     """
-    flagged = df.withColumn(flag, required_ok(df, schema))
+    flagged = df.withColumn(flag, required_ok(df, schema, limits))
     return flagged.filter(F.col(flag)).drop(flag), flagged.filter(~F.col(flag)).drop(flag)
 
 

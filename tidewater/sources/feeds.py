@@ -36,36 +36,64 @@ def parse_rss_items(items: DataFrame, xml_col: str, now: Column) -> DataFrame:
         F.coalesce(html_to_text(F.col("_i.description")), F.lit("")).alias("summary"))
 
 
-def read_rss(spark: SparkSession, path: str, now: Column) -> DataFrame:
-    """S1 on landed feed files: one row per <item> (file order kept in
-    ``entry_pos`` within each file)."""
-    raw = spark.read.format("xml").option("rowTag", "item").schema(RSS_ITEM_SCHEMA).load(path)
-    return raw.select(
-        F.input_file_name().alias("feed_file"), F.monotonically_increasing_id().alias("entry_pos"),
-        F.col("title"), F.col("link").alias("url"),
-        F.coalesce(F.col("source._VALUE"), F.lit(DEFAULT_SOURCE)).alias("source_name"),
-        feed_date(F.col("pubDate"), now).alias("publish_datetime"),
-        F.coalesce(html_to_text(F.col("description")), F.lit("")).alias("summary"))
-
-
-def news_api_articles(responses: DataFrame, body_col: str, pos_col: str) -> DataFrame:
+ITEM = r"(?s)<item\b.*?</item\s*>"
+
+
+def landed_texts(spark: SparkSession, path: str, positions: str, stream: bool = False,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed text files, one row each (``value``), with the numbers that their
+    folders are named by (``kw_pos=3/feed_pos=12/...``).  As a stream, the
+    file source's checkpoint says which files have been read."""
+    reader = (spark.readStream if stream else spark.read).schema(f"value string, {positions}").option("wholetext", True)
+    if stream and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.format("text").load(path)
+
+
+def read_feeds(spark: SparkSession, path: str, now: Column, positions: str = "kw_pos int, feed_pos int",
+               stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S1 on landed feed files, as a batch or a stream: one row per <item> with
+    its folder's positions and ``entry_pos``, its place in the file.  A file
+    is one row until its items are numbered, so places don't depend on how
+    files are split among tasks."""
+    texts = landed_texts(spark, path, positions, stream, max_files_per_trigger)
+    names = [c for c in texts.columns if c != "value"]
+    items = texts.select(*names, F.posexplode(F.regexp_extract_all("value", F.lit(ITEM), F.lit(0)))
+                         .alias("entry_pos", "item_xml"))
+    return parse_rss_items(items, "item_xml", now)
+
+
+def stream_to_table(rows: DataFrame, target: str, checkpoint: str) -> None:
+    """Append what has landed since the checkpoint's last run; a batch that is
+    run again finds its output committed."""
+    (rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def news_api_articles(responses: DataFrame, body_col: str, *pos_cols: str) -> DataFrame:
     """Responses with status 'ok', exploded to one row per article with
-    (response position, article position) kept."""
-    r = responses.select(F.col(pos_col).alias("resp_pos"), F.from_json(F.col(body_col), NEWS_API_SCHEMA).alias("r"))
+    the response's positions and the article's place kept."""
+    r = responses.select(*pos_cols, F.from_json(F.col(body_col), NEWS_API_SCHEMA).alias("r"))
     r = r.filter(F.col("r.status") == OK_STATUS)
-    e = r.select("resp_pos", F.posexplode("r.articles").alias("art_pos", "a"))
-    return e.select("resp_pos", "art_pos", "a.title", "a.url", "a.description", "a.content", "a.publishedAt",
+    e = r.select(*pos_cols, F.posexplode("r.articles").alias("art_pos", "a"))
+    return e.select(*pos_cols, "art_pos", "a.title", "a.url", "a.description", "a.content", "a.publishedAt",
                     "a.author")
 
 
-def read_news_api(spark: SparkSession, path: str) -> DataFrame:
-    """S2 on landed response files (one JSON document per file)."""
-    raw = spark.read.schema(NEWS_API_SCHEMA).option("multiLine", True).json(path)
-    raw = raw.select(F.input_file_name().alias("resp_file"), "*").filter(F.col("status") == OK_STATUS)
-    e = raw.select("resp_file", F.posexplode("articles").alias("art_pos", "a"))
-    return e.select("resp_file", "art_pos", "a.*")
+def read_news_api(spark: SparkSession, path: str, positions: str = "file_pos int", one_per_line: bool = True,
+                  stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S2 on landed response files, as a batch or a stream: a response per line
+    (``resp_pos``, counted in its file), or one document per file."""
+    texts = landed_texts(spark, path, positions, stream, max_files_per_trigger)
+    names = [c for c in texts.columns if c != "value"]
+    lines = F.split("value", "\r?\n") if one_per_line else F.array("value")
+    bodies = texts.select(*names, F.posexplode(lines).alias("resp_pos", "body"))
+    return news_api_articles(bodies, "body", *names, "resp_pos")
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """S3: landed raw pages (url, html) - columns pruned at the scan."""
-    return spark.read.parquet(path).select("url", "html")
+def read_pages(spark: SparkSession, path: str, *positions: str, stream: bool = False) -> DataFrame:
+    """S3: landed raw pages (url, html, and fetch positions), columns pruned at
+    the scan; as a stream, of the files that have landed since the last run."""
+    if stream:
+        return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select(*positions, "url", "html")
+    return spark.read.parquet(path).select(*positions, "url", "html")
