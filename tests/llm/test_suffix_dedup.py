@@ -50,6 +50,40 @@ def test_matches_a_count_of_windows(spark, max_kinds):
                    for r in got), key=str) == brute(rows, 40)
 
 
+def test_periodic_and_multi_piece_texts(spark, monkeypatch):
+    """Texts over many pieces and sorts, periodic ones among them, and a passage in a third of all documents."""
+    monkeypatch.setattr(suffix_dedup, "PIECE", 70)
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 200)
+    monkeypatch.setattr(suffix_dedup, "TASK_BYTES", 1000)
+    monkeypatch.setattr(suffix_dedup, "ROWS", 10)
+    r = rng(11)
+    common = prose(r, 25, 5000)
+    rows = [(i, prose(r, 40, 5000) + (f" {common[i % 7:]} " if i % 3 == 0 else "") + prose(r, 10, 5000)) for i in range(45)]
+    rows += [(90, "abc" * 300), (91, "abc" * 100 + "x" + "bca" * 100), (92, "z" * 500), (93, "abcabd" * 60)]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in rows])
+    got = suffix_dedup.remove_repeats(docs, span=40, gram=12).collect()
+    assert sorted(((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, hashlib.sha256(bytes(x.kept)).hexdigest())
+                   for x in got), key=str) == brute(rows, 40)
+
+
+def test_factor_step_memory_of_a_task():
+    """A task of TASK_BYTES whose anchors fill one sort each stays far below a worker's share."""
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+    r = np.random.default_rng(2)
+    rows = []
+    for k in range(suffix_dedup.TASK_BYTES // 700):
+        rows.append((k // 300, k, 0, 0, r.integers(97, 101, 700).astype(np.uint8).tobytes()))
+    group = pd.DataFrame(rows, columns=["key", "doc_id", "text_hash", "start", "data"])
+    tracemalloc.start()
+    suffix_dedup._factors(400)(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+
+
 def test_first_copy_stays(spark):
     p = prose(rng(), 40, 9999)
     docs = frame(spark, [(2, "x " + p, None, None, None), (1, p + " y", None, None, None), (3, p, None, None, None)])

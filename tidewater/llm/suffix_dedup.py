@@ -9,10 +9,13 @@ Exact for 64-bit hash pairs, over whole texts as UTF-8 bytes:
    the anchor and the hash of all bytes of its windows.
 2. Runs that occur twice in full are repeated in full: counted by key, no
    bytes are moved.
-3. Of anchors whose runs differ, one run of each kind is fetched and dealt by
-   anchor to bounded tasks, which sort their suffixes and take the longest
-   previous factors, in both directions of the order of places: a window
-   repeats where the factor reaches SPAN.
+3. Of anchors whose runs differ, one run of each kind is looked at further, and
+   only if the bytes before or those behind its anchor, as far as half a window's
+   rest, are equal in another kind: equal windows agree on one side at least as
+   far as that.  These runs are fetched and dealt by anchor to tasks of about
+   TASK_BYTES, which sort the suffixes of some anchors at a time (SORT_BYTES) and
+   take the longest previous factors, in both directions of the order of places
+   from one suffix order: a window repeats where the factor reaches SPAN.
 4. Anchors with more than MAX_KINDS different runs would not fit a task; the
    windows of their runs are counted one by one instead, by hash.
 """
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .ngrams import BASE, BASE_INV, MASK, MULT, _byte_codes, mix
 from .storage import pick, write_table
-from .suffix_order import SuffixOrder, longest_previous_factors
+from .suffix_order import SuffixOrder, reached_both_ways
 
 SPAN = 400
 GRAM = 100
@@ -37,7 +40,11 @@ GRAM = 100
 PIECE = 1 << 20
 POSITION_BITS = np.uint64(21)
 MAX_KINDS = 2_000
-TASK_BYTES = 4_000_000
+TASK_BYTES = 1_000_000
+#: Bytes of anchors that are sorted together; a single anchor has at most MAX_KINDS * 2 * SPAN.
+SORT_BYTES = 1 << 18
+#: Rows of step 1 that are yielded at a time.
+ROWS = 50_000
 
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
 
@@ -79,8 +86,11 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(text: bytes, span: int = SPAN, gram: int = GRAM) -> Iterator[pd.DataFrame]:
-    """Rows (key, run, start, n_starts) of one text: the anchor's hash, the
-    hash of the run's bytes and of the anchor's offset, and the starts."""
+    """Rows (key, run, left, right, start, n_starts) of one text: the anchor's
+    hash, the hash of the run's bytes and of the anchor's offset, the hashes of
+    the anchor with half a window's rest before and behind it (null where the
+    run doesn't reach that far), and the starts."""
+    half = (span - gram) // 2
     for low in range(0, len(text) - span + 1, PIECE):
         data = np.frombuffer(text, np.uint8)[low: low + PIECE + span - 1]
         n = len(data)
@@ -95,19 +105,31 @@ def runs_of(text: bytes, span: int = SPAN, gram: int = GRAM) -> Iterator[pd.Data
         a = anchor[first]
         with np.errstate(over="ignore"):
             run = roll.of(first, last + span, 1) ^ mix((a - first).astype(np.uint64) * MULT + np.uint64(3))
-        yield pd.DataFrame({"key": roll.of(a, a + gram, 2).view(np.int64), "run": run.view(np.int64),
+        sides = {}
+        for name, begin, end in (("left", a - half, a + gram), ("right", a, a + gram + half)):
+            inside = (begin >= first) & (end <= last + span)
+            h = roll.of(np.where(inside, begin, 0), np.where(inside, end, 0), 4).view(np.int64)
+            sides[name] = pd.arrays.IntegerArray(h, ~inside)
+        yield pd.DataFrame({"key": roll.of(a, a + gram, 2).view(np.int64), "run": run.view(np.int64), **sides,
                             "start": first + low, "n_starts": (last - first + 1).astype(np.int32)})
 
 
+RUN_COLUMNS = ["doc_id", "text_hash", "key", "run", "left", "right", "start", "n_starts"]
+
+
 def _runs(span: int, gram: int):
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, size = [], 0
         for b in batches:
-            parts = []
             for doc_id, text_hash, data in zip(b["doc_id"], b["text_hash"], b["data"]):
                 for rows in runs_of(data, span, gram):
                     parts.append(rows.assign(doc_id=doc_id, text_hash=text_hash))
-            if parts:
-                yield pd.concat(parts)[["doc_id", "text_hash", "key", "run", "start", "n_starts"]]
+                    size += len(rows)
+                    if size >= ROWS:
+                        yield pd.concat(parts)[RUN_COLUMNS]
+                        parts, size = [], 0
+        if parts:
+            yield pd.concat(parts)[RUN_COLUMNS]
     return make
 
 
@@ -125,18 +147,15 @@ def _cut(span: int):
 def _factors(span: int):
     """Step 3 for the runs of one task: starts of each run whose window has an
     earlier or a later equal one among the runs of other kinds."""
-    def find(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["key", "doc_id", "text_hash", "start"], kind="stable").reset_index(drop=True)
+    def sort(group: pd.DataFrame) -> list[pd.DataFrame]:
         lengths = group["data"].map(len).to_numpy()
         base = np.cumsum(lengths) - lengths
-        order = SuffixOrder(np.frombuffer(b"".join(group["data"]), np.uint8), span)
+        order = SuffixOrder(np.frombuffer(b"".join(group["data"]), np.uint8), span, levels=False)
         counts = lengths - span + 1
         owner = np.repeat(np.arange(len(group)), counts)
         inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        starts = base[owner] + inside
         # Places in the order of documents; the key sorts first, but equal windows have equal keys.
-        earlier = longest_previous_factors(order, starts, starts) >= span
-        later = longest_previous_factors(order, starts, -starts) >= span
+        earlier, later = reached_both_ways(order, base[owner] + inside)
         out = []
         for name, flag in (("earlier", earlier), ("later", later)):
             edge = np.flatnonzero(flag & np.concatenate([[True], ~flag[:-1] | (owner[1:] != owner[:-1])]))
@@ -147,7 +166,19 @@ def _factors(span: int):
                                      "begin": group["start"].iloc[k].to_numpy() + inside[edge],
                                      "end": group["start"].iloc[k].to_numpy() + inside[stop] + span,
                                      "later": name == "later"}))
-        return pd.concat(out)
+        return out
+
+    def find(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["key", "doc_id", "text_hash", "start"], kind="stable").reset_index(drop=True)
+        before = np.concatenate([[0], np.cumsum(group["data"].map(len).to_numpy())])
+        keys = group["key"].to_numpy()
+        edges = np.append(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])), len(keys))
+        out, low = [], 0
+        for k, high in zip(edges, edges[1:]):
+            if k > low and before[high] - before[low] > SORT_BYTES:
+                out += sort(group.iloc[low:k])
+                low = k
+        return pd.concat(out + sort(group.iloc[low:]))
     return find
 
 
@@ -179,18 +210,25 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     full = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("data"))
     long_ = full.where(F.length("data") >= span)
     runs = write_table(long_.mapInPandas(_runs(span, gram), "doc_id long, text_hash long, key long, run long, "
-                                                            "start long, n_starts int"), "repeat-runs")
+                                                            "left long, right long, start long, n_starts int"),
+                       "repeat-runs")
     many = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     shared = write_table(runs.join(many, "key"), "repeat-shared")
     place = F.struct("doc_id", "text_hash", "start", "n_starts")
-    kinds = write_table(shared.groupBy("key", "run").agg(F.count("*").alias("n"), F.min(place).alias("first")),
-                        "repeat-kinds")
+    kinds = write_table(shared.groupBy("key", "run").agg(
+        F.count("*").alias("n"), F.min(place).alias("first"), F.min("left").alias("left"),
+        F.min("right").alias("right")), "repeat-kinds")
     whole = (shared.join(kinds.where("n > 1").select("key", "run", "first"), ["key", "run"])
              .select("doc_id", "text_hash", F.col("start").alias("begin"),
                      (F.col("start") + F.col("n_starts") - 1 + span).alias("end"),
                      (place == F.col("first")).alias("is_first")))
     found = whole.where(~F.col("is_first") if keep_first else F.lit(True)).drop("is_first")
 
+    sides = [kinds.where(F.col(side).isNotNull()).groupBy("key", side).agg(F.count("*").alias("m")).where("m > 1")
+             for side in ("left", "right")]
+    alike = [kinds.select("key", "run", "first", side).join(pairs, ["key", side], "left_semi").drop(side)
+             for side, pairs in zip(("left", "right"), sides)]
+    kinds = write_table(alike[0].unionByName(alike[1]).dropDuplicates(["key", "run"]), "repeat-alike")
     mixed = (kinds.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1")
              .withColumn("hot", F.col("kinds") > max_kinds).select("key", "hot"))
     wanted = write_table(kinds.join(mixed, "key").select(

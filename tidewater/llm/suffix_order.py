@@ -10,9 +10,10 @@ FIRST = 8
 class SuffixOrder:
     """Ranks of the substrings of 8, 16, ... bytes at every position, by prefix
     doubling, and of ``cap`` bytes, which orders the suffixes as far as that.
-    Memory: 4 bytes a position and level."""
+    Memory: 4 bytes a position and level kept; without ``levels`` only the last
+    one is, which is enough to see matches of ``cap`` bytes."""
 
-    def __init__(self, data: np.ndarray, cap: int):
+    def __init__(self, data: np.ndarray, cap: int, levels: bool = True):
         self.data, self.cap = data, cap
         n = len(data)
         padded = np.concatenate([data, np.zeros(FIRST, np.uint8)])
@@ -24,8 +25,12 @@ class SuffixOrder:
         while length * 2 <= cap:
             self.levels.append((length * 2, self._pair(self.levels[-1][1], self.levels[-1][1], length)))
             length *= 2
+            if not levels:
+                del self.levels[0]
         self.rank = self.levels[-1][1] if length == cap else self._pair(
             self.levels[-1][1], self.levels[-1][1], cap - length)
+        if not levels:
+            self.levels = []
 
     @staticmethod
     def _rank(keys: np.ndarray) -> np.ndarray:
@@ -88,3 +93,21 @@ def longest_previous_factors(order: SuffixOrder, starts: np.ndarray, place: np.n
     out = np.empty(len(at), np.int64)
     out[by_suffix] = best
     return out
+
+
+def reached_both_ways(order: SuffixOrder, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each start, whether its longest previous factor has ``cap`` bytes
+    or more, in rising and in falling order of starts: whether the previous or
+    the next smaller (larger) start in suffix order is equal as far as that."""
+    by_suffix = np.argsort(order.rank[starts], kind="stable")
+    rank, place = order.rank[starts][by_suffix], starts[by_suffix]
+    out = []
+    for key in (place, -place):
+        before = nearest_smaller(key)
+        after = len(key) - 1 - nearest_smaller(key[::-1])[::-1]
+        hit = (before >= 0) & (rank[before] == rank)
+        hit |= (after < len(key)) & (rank[np.minimum(after, len(key) - 1)] == rank)
+        flag = np.empty(len(key), bool)
+        flag[by_suffix] = hit
+        out.append(flag)
+    return out[0], out[1]
