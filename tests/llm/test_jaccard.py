@@ -72,6 +72,34 @@ def test_groups_over_a_block_are_split_without_loss(spark, monkeypatch):
     assert got(jaccard.jaccard_groups(docs)) == components(rows)
 
 
+def test_a_shingle_in_a_third_of_all_documents_is_dealt_by_class(spark, monkeypatch):
+    r = rng(6)
+    common = "one very common passage that a third of all documents hold in full length and word by word"
+    rows = []
+    for i in range(150):
+        body = prose(r, 12 if i % 5 else 80, 3000)
+        rows += [(3 * i, body), (3 * i + 1, common + " " + prose(r, r.choice([2, 40]), 3000))]
+        if i % 7 == 0:
+            rows.append((3 * i + 2, body + " tail"))
+    docs = frame(spark, [(i, t, None, None, None) for i, t in rows], clash=False)
+    hot = []
+    real = jaccard.hot_items
+    monkeypatch.setattr(jaccard, "hot_items", lambda table: hot.append(real(table)) or hot[-1])
+    monkeypatch.setattr(jaccard, "BUCKET_ITEMS", 500)
+    monkeypatch.setattr(jaccard, "SMALL", 16)
+    assert got(jaccard.jaccard_groups(docs)) == components(rows)
+    assert len(hot[0]) >= 10
+
+
+def test_structured_words_do_not_meet():
+    """Complementary Thue-Morse words, on which polynomial hashes modulo 2^64 agree whatever their base."""
+    a = b"a"
+    for _ in range(10):
+        a += a.translate(bytes.maketrans(b"ab", b"ba"))
+    b = a.translate(bytes.maketrans(b"ab", b"ba"))
+    assert jaccard.shingle_set(a.decode())[0] != jaccard.shingle_set(b.decode())[0]
+
+
 def test_the_border_counts_as_a_link(spark):
     a = [f"x{k}" for k in range(11)]  # 7 shingles
     rows = [(1, " ".join(a)), (2, " ".join(a[:-1])), (3, " ".join(["y", *a[:-1]]))]

@@ -8,6 +8,8 @@ Exact for 64-bit shingle hashes, at any group size:
    them for small sets) are dealt by hash, as packed columns, and each class's
    shared ones are counted; a class that misses more of them than a link
    allows has no link.  This is a bound, not an estimate: no link is lost.
+   Shingles of very many sets are known to be shared from step 1's batches;
+   their pairs are dealt by class, so no task holds all owners of one.
 3. Global order.  For the classes that remain, each shingle's number of
    classes orders the shingles; two linked sets share one of the rarest
    size - needed + 1 of each, so classes with such a shingle in common are
@@ -42,6 +44,10 @@ SMALL = 128
 #: Shingles that one task sorts at a time in steps 2 and 3, and a block's in step 4.
 BUCKET_ITEMS = 4_000_000
 BLOCK_ITEMS = 1_000_000
+#: A shingle of at least this share of a batch's texts (and this many) may be hot; most hot shingles that are kept in mind.
+HOT_SHARE = 0.001
+HOT_LEAST = 8
+HOT_ITEMS = 100_000
 LIMIT = np.uint64(int(SHARE * 2**64))
 
 
@@ -63,20 +69,45 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _set_table(keyed: DataFrame, n: int) -> DataFrame:
+    """One row per document; the first of each batch also has the shingles that
+    many of the batch's classes hold (``often``, with their counts)."""
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [shingle_set(t, n) for t in b["text"]]
+            names = [class_of(x) if len(x) else None for x in found]
+            items, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *{
+                c: x for c, x in zip(names, found) if c}.values()]), return_counts=True)
+            often = counts >= max(HOT_LEAST, HOT_SHARE * len(found))
+            many = [{"item": int(i), "n": int(k)} for i, k in zip(items[often].view(np.int64), counts[often])]
             yield pd.DataFrame({
                 "doc_id": b["doc_id"], "text_hash": b["text_hash"], "size": [len(x) for x in found],
-                "low": [int((x < LIMIT).sum()) for x in found],
-                "class": [class_of(x) if len(x) else None for x in found]})
+                "low": [int((x < LIMIT).sum()) for x in found], "class": names,
+                "often": [many, *[None] * (len(found) - 1)][:len(found)]})
 
-    return keyed.mapInPandas(make, "doc_id long, text_hash long, size long, low long, class binary")
+    return keyed.mapInPandas(make, "doc_id long, text_hash long, size long, low long, class binary, "
+                                   "often array<struct<item: bigint, n: bigint>>")
 
 
-def _packed(keyed: DataFrame, n: int, buckets: int, all_items: bool) -> DataFrame:
+def hot_items(table: DataFrame) -> np.ndarray:
+    """Shingles of very many classes, sorted; at most HOT_ITEMS of them.  All
+    are held by several classes, so they needn't be counted again, and the
+    pairs that hold them are dealt by class; which ones are in the list only
+    decides where work is done."""
+    top = (table.where("often is not null").select(F.explode("often").alias("o")).groupBy("o.item")
+           .agg(F.sum("o.n").alias("n")).orderBy(F.desc("n"), "item").limit(HOT_ITEMS).select("item").collect())
+    return np.sort(np.array([r["item"] for r in top], np.int64).view(np.uint64))
+
+
+def _among(items: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(items), bool)
+    return hot[np.minimum(np.searchsorted(hot, items), len(hot) - 1)] == items
+
+
+def _packed(keyed: DataFrame, n: int, buckets: int, all_items: bool, hot: np.ndarray) -> DataFrame:
     """Rows (bucket, items, classes, lengths): the shingles of many sets that
-    fall into one bucket, set after set, a set once per task."""
+    fall into one bucket, set after set, a set once per task.  Hot shingles are
+    dealt by class, to buckets from ``buckets`` on."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[bytes] = set()
         for b in batches:
@@ -92,10 +123,12 @@ def _packed(keyed: DataFrame, n: int, buckets: int, all_items: bool) -> DataFram
                 continue
             items = np.concatenate(sets)
             owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-            bucket = ((items & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             names = np.frombuffer(b"".join(classes), "V16")
+            own = np.frombuffer(b"".join(classes), "<u4").reshape(-1, 4)[:, 0] % buckets + buckets
+            bucket = np.where(_among(items, hot), own[owner],
+                              (items & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(2 * buckets + 1))
             for k in np.flatnonzero(np.diff(cuts)):
                 part = order[cuts[k]: cuts[k + 1]]
                 own, lengths = np.unique(owner[part], return_counts=True)
@@ -106,9 +139,10 @@ def _packed(keyed: DataFrame, n: int, buckets: int, all_items: bool) -> DataFram
     return keyed.mapInPandas(pack, "bucket int, items binary, classes binary, lengths binary")
 
 
-def _shared(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _shared(group: pd.DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(items, class numbers, number of classes per item, class names) of the
-    distinct (item, class) pairs whose item several classes have."""
+    distinct (item, class) pairs whose item several classes have; hot items
+    come last in any order by number."""
     items = np.frombuffer(b"".join(group["items"]), np.uint64)
     lengths = np.frombuffer(b"".join(group["lengths"]), np.uint32)
     names, number = np.unique(np.frombuffer(b"".join(group["classes"]), ">u8").reshape(-1, 2), axis=0,
@@ -119,29 +153,36 @@ def _shared(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     new = np.ones(len(items), bool)
     new[1:] = (items[1:] != items[:-1]) | (owner[1:] != owner[:-1])
     items, owner = items[new], owner[new]
+    if group["bucket"].iloc[0] >= buckets:
+        return items, owner, np.full(len(items), 1 << 40), names
     start = np.flatnonzero(np.concatenate([[True], items[1:] != items[:-1]]))
     counts = np.diff(np.append(start, len(items)))
     df = np.repeat(counts, counts)
     many = df > 1
-    return items[many], owner[many], df[many], names
+    return items[many], owner[many], df[many].astype(np.int64), names
 
 
-def _count_shared(group: pd.DataFrame) -> pd.DataFrame:
-    items, owner, _, names = _shared(group)
-    every = np.bincount(owner, minlength=len(names))
-    low = np.bincount(owner[items < LIMIT], minlength=len(names))
-    used = np.flatnonzero(every)
-    return pd.DataFrame({"class": [names[i].tobytes() for i in used], "every": every[used], "low": low[used]})
+def _count_shared(buckets: int):
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        items, owner, _, names = _shared(group, buckets)
+        every = np.bincount(owner, minlength=len(names))
+        low = np.bincount(owner[items < LIMIT], minlength=len(names))
+        used = np.flatnonzero(every)
+        return pd.DataFrame({"class": [names[i].tobytes() for i in used], "every": every[used], "low": low[used]})
+    return count
 
 
-def _return_shared(group: pd.DataFrame) -> pd.DataFrame:
-    items, owner, df, names = _shared(group)
-    order = np.argsort(owner, kind="stable")
-    cuts = np.searchsorted(owner[order], np.arange(len(names) + 1))
-    used = np.flatnonzero(np.diff(cuts))
-    cut = lambda x, i: x[order[cuts[i]: cuts[i + 1]]].tobytes()
-    return pd.DataFrame({"class": [names[i].tobytes() for i in used], "items": [cut(items, i) for i in used],
-                         "df": [cut(df.astype(np.int64), i) for i in used]})
+def _return_shared(buckets: int):
+    def give(group: pd.DataFrame) -> pd.DataFrame:
+        items, owner, df, names = _shared(group, buckets)
+        order = np.argsort(owner, kind="stable")
+        cuts = np.searchsorted(owner[order], np.arange(len(names) + 1)) * 8
+        items, df = items[order].tobytes(), df[order].tobytes()
+        used = np.flatnonzero(np.diff(cuts))
+        return pd.DataFrame({"class": [names[i].tobytes() for i in used],
+                             "items": [items[cuts[i]: cuts[i + 1]] for i in used],
+                             "df": [df[cuts[i]: cuts[i + 1]] for i in used]})
+    return give
 
 
 def _ordered(percent: int):
@@ -250,10 +291,11 @@ def jaccard_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.first("low").alias("low"),
         F.min(F.struct("doc_id", "text_hash")).alias("rep"))
 
+    hot = hot_items(table)
     totals = table.agg(F.sum("size")).first()[0] or 0
     buckets = max(16, int(totals * SHARE // BUCKET_ITEMS) + 1)
-    counted = (_packed(keyed.select("text"), n_words, buckets, False).groupBy("bucket")
-               .applyInPandas(_count_shared, "class binary, every long, low long")
+    counted = (_packed(keyed.select("text"), n_words, buckets, False, hot).groupBy("bucket")
+               .applyInPandas(_count_shared(buckets), "class binary, every long, low long")
                .groupBy("class").agg(F.sum("every").alias("shared"), F.sum("low").alias("shared_low")))
     least = F.ceil(F.col("size") * percent / F.lit(100.0))
     # A partner of a set below 3/4 SMALL is below SMALL, so all shingles of both were dealt.
@@ -271,8 +313,8 @@ def jaccard_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         labels = None
     else:
         buckets = max(16, int(items // BUCKET_ITEMS) + 1)
-        returned = (_packed(texts, n_words, buckets, True).groupBy("bucket")
-                    .applyInPandas(_return_shared, "class binary, items binary, df binary"))
+        returned = (_packed(texts, n_words, buckets, True, hot).groupBy("bucket")
+                    .applyInPandas(_return_shared(buckets), "class binary, items binary, df binary"))
         spread = max(16, int(items // BUCKET_ITEMS) + 1)
         sets = write_table(
             returned.join(left.select("class", "size"), "class")

@@ -7,6 +7,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 
 MULT = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x2545F4914F6CDD1D
@@ -64,16 +65,19 @@ def words_of(text: str | None) -> list[bytes]:
 
 def shingle_hashes(words: list[bytes], n: int) -> np.ndarray:
     """Hash of every n-word window, in text order; one window of all words
-    when there are fewer than n; none without words."""
+    when there are fewer than n; none without words.  The words' XXH64 are
+    chained by a bijective mixer, so that no structure of the text makes
+    different windows meet."""
     if not words:
         return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    data = np.frombuffer(joined, dtype=np.uint8)
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
     k = min(n, len(words))
-    return range_hashes(data, starts[: len(words) - k + 1], ends[k - 1:])
+    each = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    m = len(words) - k + 1
+    h = np.full(m, k, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(k):
+            h = mix(h * MULT + each[i: i + m])
+    return h
 
 
 def letter_codes(text: str) -> np.ndarray:
