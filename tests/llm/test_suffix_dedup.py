@@ -55,7 +55,6 @@ def test_periodic_and_multi_piece_texts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 70)
     monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 200)
     monkeypatch.setattr(suffix_dedup, "TASK_BYTES", 1000)
-    monkeypatch.setattr(suffix_dedup, "ROWS", 10)
     r = rng(11)
     common = prose(r, 25, 5000)
     rows = [(i, prose(r, 40, 5000) + (f" {common[i % 7:]} " if i % 3 == 0 else "") + prose(r, 10, 5000)) for i in range(45)]

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +44,6 @@ MAX_KINDS = 2_000
 TASK_BYTES = 1_000_000
 #: Bytes of anchors that are sorted together; a single anchor has at most MAX_KINDS * 2 * SPAN.
 SORT_BYTES = 1 << 18
-#: Rows of step 1 that are yielded at a time.
-ROWS = 50_000
 
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
 
@@ -69,6 +68,12 @@ class Rolling:
             np.cumsum(_byte_codes()[data] * _powers(BASE, len(data)), dtype=np.uint64, out=self.sums[1:])
         self.inverse = _powers(BASE_INV, len(data) + 1)
 
+    def of_all(self, width: int) -> np.ndarray:
+        """Hashes of all ranges of one width."""
+        n = len(self.sums) - width
+        with np.errstate(over="ignore"):
+            return mix((self.sums[width:] - self.sums[:n]) * self.inverse[:n])
+
     def of(self, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
         with np.errstate(over="ignore"):
             h = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
@@ -85,62 +90,90 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:m], forth[width - 1: width - 1 + m])
 
 
-def runs_of(text: bytes, span: int = SPAN, gram: int = GRAM) -> Iterator[pd.DataFrame]:
-    """Rows (key, run, left, right, start, n_starts) of one text: the anchor's
-    hash, the hash of the run's bytes and of the anchor's offset, the hashes of
-    the anchor with half a window's rest before and behind it (null where the
-    run doesn't reach that far), and the starts."""
-    half = (span - gram) // 2
-    for low in range(0, len(text) - span + 1, PIECE):
-        data = np.frombuffer(text, np.uint8)[low: low + PIECE + span - 1]
-        n = len(data)
-        roll = Rolling(data)
-        at = np.arange(n - gram + 1)
-        grams = roll.of(at, at + gram)
-        position = np.uint64((1 << 21) - 1)
-        least = sliding_least((grams & ~position) | at.astype(np.uint64), span - gram + 1)
-        anchor = (least & position).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        last = np.append(first[1:], len(anchor)) - 1
-        a = anchor[first]
-        with np.errstate(over="ignore"):
-            run = roll.of(first, last + span, 1) ^ mix((a - first).astype(np.uint64) * MULT + np.uint64(3))
-        sides = {}
-        for name, begin, end in (("left", a - half, a + gram), ("right", a, a + gram + half)):
-            inside = (begin >= first) & (end <= last + span)
-            h = roll.of(np.where(inside, begin, 0), np.where(inside, end, 0), 4).view(np.int64)
-            sides[name] = pd.arrays.IntegerArray(h, ~inside)
-        yield pd.DataFrame({"key": roll.of(a, a + gram, 2).view(np.int64), "run": run.view(np.int64), **sides,
-                            "start": first + low, "n_starts": (last - first + 1).astype(np.int32)})
+def runs_of(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> dict[str, np.ndarray]:
+    """Runs of texts that lie one after another in ``data`` (text i from
+    offsets[i] to offsets[i + 1]): owner (the text), key (the anchor's hash),
+    run (the hash of the run's bytes and of the anchor's offset), left and
+    right (the anchor with half a window's rest before and behind it; 0 where
+    the run doesn't reach that far, by has_left and has_right), start (within
+    the text) and n_starts.  Windows lie within one text."""
+    half, n = (span - gram) // 2, len(data)
+    if n < span:
+        return {}
+    roll = Rolling(data)
+    position = np.uint64((1 << 21) - 1)
+    least = sliding_least((roll.of_all(gram) & ~position) | np.arange(n - gram + 1, dtype=np.uint64), span - gram + 1)
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: n - span + 1]
+    starts = np.flatnonzero(np.arange(n - span + 1) + span <= offsets[owner + 1])
+    if not len(starts):
+        return {}
+    anchor = (least[starts] & position).astype(np.int64)  # of different texts, different
+    new = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    first, last, a = starts[new], starts[np.append(new[1:], len(starts)) - 1], anchor[new]
+    with np.errstate(over="ignore"):
+        run = roll.of(first, last + span, 1) ^ mix((a - first).astype(np.uint64) * MULT + np.uint64(3))
+    out = {"owner": owner[first], "key": roll.of(a, a + gram, 2).view(np.int64), "run": run.view(np.int64),
+           "start": first - offsets[owner[first]], "n_starts": (last - first + 1).astype(np.int32)}
+    for name, begin, end in (("left", a - half, a + gram), ("right", a, a + gram + half)):
+        inside = (begin >= first) & (end <= last + span)
+        h = roll.of(np.where(inside, begin, 0), np.where(inside, end, 0), 4)
+        out |= {name: np.where(inside, h, np.uint64(0)).view(np.int64), f"has_{name}": inside}
+    return out
+
+
+def _filled(texts: Iterator[tuple], span: int) -> Iterator[tuple[list[tuple], list[bytes], int]]:
+    """(rows, their bytes, offset in the text) in portions of about PIECE bytes: many short texts, or a piece of a
+    long one, which goes on for span - 1 bytes into the next."""
+    rows, parts, size = [], [], 0
+    for row, text in texts:
+        if len(text) > PIECE:
+            for low in range(0, len(text) - span + 1, PIECE):
+                yield [row], [text[low: low + PIECE + span - 1]], low
+            continue
+        rows.append(row)
+        parts.append(text)
+        size += len(text)
+        if size >= PIECE:
+            yield rows, parts, 0
+            rows, parts, size = [], [], 0
+    if rows:
+        yield rows, parts, 0
 
 
 RUN_COLUMNS = ["doc_id", "text_hash", "key", "run", "left", "right", "start", "n_starts"]
 
 
 def _runs(span: int, gram: int):
-    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts, size = [], 0
-        for b in batches:
-            for doc_id, text_hash, data in zip(b["doc_id"], b["text_hash"], b["data"]):
-                for rows in runs_of(data, span, gram):
-                    parts.append(rows.assign(doc_id=doc_id, text_hash=text_hash))
-                    size += len(rows)
-                    if size >= ROWS:
-                        yield pd.concat(parts)[RUN_COLUMNS]
-                        parts, size = [], 0
-        if parts:
-            yield pd.concat(parts)[RUN_COLUMNS]
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = (((i, h), t.as_py()) for b in batches for i, h, t in zip(
+            b.column("doc_id").to_pylist(), b.column("text_hash").to_pylist(), b.column("data")))
+        for rows, parts, low in _filled(texts, span):
+            offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+            r = runs_of(np.frombuffer(b"".join(parts), np.uint8), offsets, span, gram)
+            if not r:
+                continue
+            ids = [pa.array([x[k] for x in rows], pa.int64()).take(pa.array(r["owner"])) for k in (0, 1)]
+            sides = [pa.array(r[side], mask=~r[f"has_{side}"]) for side in ("left", "right")]
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(r["key"]), pa.array(r["run"]), *sides,
+                                              pa.array(r["start"] + low), pa.array(r["n_starts"])], RUN_COLUMNS)
     return make
 
 
 def _cut(span: int):
     """Bytes of the wanted runs of each text."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["doc_id", "text_hash", "key", "start", "data"]
         for b in batches:
+            out, size = [], 0
             for i, t, data, wanted in zip(b["doc_id"], b["text_hash"], b["data"], b["wanted"]):
-                yield pd.DataFrame(
-                    [(i, t, w["key"], w["start"], data[w["start"]: w["start"] + w["n_starts"] - 1 + span])
-                     for w in wanted], columns=["doc_id", "text_hash", "key", "start", "data"])
+                for w in wanted:
+                    out.append((i, t, w["key"], w["start"], data[w["start"]: w["start"] + w["n_starts"] - 1 + span]))
+                    size += len(out[-1][4])
+                    if size >= PIECE:
+                        yield pd.DataFrame(out, columns=columns)
+                        out, size = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=columns)
     return cut
 
 
@@ -209,7 +242,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = pick(docs, doc_id=doc_id, text=text)
     full = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("data"))
     long_ = full.where(F.length("data") >= span)
-    runs = write_table(long_.mapInPandas(_runs(span, gram), "doc_id long, text_hash long, key long, run long, "
+    runs = write_table(long_.mapInArrow(_runs(span, gram), "doc_id long, text_hash long, key long, run long, "
                                                             "left long, right long, start long, n_starts int"),
                        "repeat-runs")
     many = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
