@@ -31,6 +31,8 @@ USES_NETLOC = ["", "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais",
 
 _SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _PARTS_RE = r"(?s)^(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#.*)?$"
+#: URLs of which only the path's end can change: lower-case, plain characters, no parameters, query or fragment.
+_PLAIN_RE = r"^https?://[a-z0-9.:_-]+(/[!-~&&[^?#;]]*)?$"
 
 
 def percent_decode(c) -> Column:
@@ -86,7 +88,8 @@ def canonical_url(c) -> Column:
     """P1 as a column expression (for use inside other expressions).
 
     Stages are bound once each with single-element ``transform`` lambdas,
-    so no sub-expression is repeated in the tree.
+    so no sub-expression is repeated in the tree.  Plain URLs, where only the
+    path's end can change, take a short way without lambdas.
     """
     raw = col_(c)
 
@@ -118,7 +121,8 @@ def canonical_url(c) -> Column:
         path = F.when((path != "/") & path.endswith("/"), F.left(path, F.length(path) - 1)).otherwise(path)
         scheme = F.when(p["scheme"] == "", F.lit("https")).otherwise(p["scheme"])
         return let(F.struct(scheme.alias("scheme"), p["netloc"].alias("netloc"), path.alias("path"),
-                            _query_string(p["query"]).alias("qs")), _final)
+                            F.when(p["query"] == "", F.lit("")).otherwise(_query_string(p["query"])).alias("qs")),
+                   _final)
 
     def _final(p):
         scheme, netloc, path, qs = p["scheme"], p["netloc"], p["path"], p["qs"]
@@ -128,4 +132,7 @@ def canonical_url(c) -> Column:
                 .otherwise(path))
         return F.concat(scheme, F.lit(":"), body, F.when(qs != "", F.concat(F.lit("?"), qs)).otherwise(F.lit("")))
 
-    return F.when(raw.isNull() | (raw == ""), raw).otherwise(let(s0, with_s))
+    plain = (F.when(raw.rlike(r"^[a-z]+://[^/]+$"), F.concat(raw, F.lit("/")))
+             .when(raw.endswith("/") & ~raw.rlike(r"^[a-z]+://[^/]+/$"), F.left(raw, F.length(raw) - 1)).otherwise(raw))
+    return (F.when(raw.isNull() | (raw == ""), raw).when(raw.rlike(_PLAIN_RE), plain)
+            .otherwise(let(s0, with_s)))
