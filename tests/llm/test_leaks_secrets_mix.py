@@ -1,7 +1,8 @@
 """Decontamination, secret scan and mixing on planted cases."""
 
+import os
 import string
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -10,6 +11,8 @@ from tidewater.llm import decontaminate, mixing, secrets
 
 from .helpers import awkward, frame, prose, rng, words
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_alignment_equals_the_full_table():
     r = np.random.default_rng(1)
@@ -63,6 +66,45 @@ def test_excerpts_of_long_items_are_found(spark):
     assert leak[101].matched_words == 30 and leak[102].matched_words >= 57 and leak[200].matched_words == 40
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_findings_equal_an_alignment_of_all_pairs(spark):
+    """Every document against every item, whole; only pairs that share too few words to reach the score are left out."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()
+    want = set()
+    for d in docs:
+        w = [x.lower() for x in words(d.text)]
+        have = Counter(w)
+        for it in items:
+            own = [x.lower() for x in words(it.text)]
+            need = decontaminate.MIN_SCORE * len(own)
+            if not own or sum(min(n, have[x]) for x, n in Counter(own).items()) < min(need, decontaminate.QUOTE_WORDS):
+                continue
+            number = {x: k for k, x in enumerate(dict.fromkeys(own))}
+            item, text = np.array([number[x] for x in own]), np.array([number.get(x, -1) for x in w])
+            score = decontaminate.align(item, text)[0]
+            if score >= need * decontaminate.MATCH or decontaminate.is_long(len(own), decontaminate.MIN_SCORE) and (
+                    decontaminate.align(item, text, decontaminate.STRICT, decontaminate.STRICT)[0]
+                    >= decontaminate.QUOTE_WORDS * decontaminate.MATCH):
+                want.add((d.doc_id, it.item_id))
+    found = decontaminate.find_leaks(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet"))
+    got = {(x.doc_id, y.item_id) for x in found.collect() for y in x.leaks}
+    assert want and len(got & want) >= 0.9 * len(want)
+    assert got == want
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sizes_do_not_depend_on_the_session(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        docs = frame(spark, [(1, None, None, "a", None), (2, "x y z", None, "a", None)])
+        got = {x.doc_id: (x.size, x.source_size) for x in mixing.mix_sources(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == {1: (0, 3), 2: (3, 3)}
+
+
 def test_no_benchmark_and_no_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_leaks(frame(spark, awkward()), none).where("size(leaks) > 0").isEmpty()
@@ -153,6 +195,45 @@ def test_copies_of_a_finding_do_not_fill_the_sample(spark, monkeypatch):
     assert len(rows) == len(set(rows)) == 13
 
 
+LOOPS = ["a=", "a", "a1", "=", "token=", "token", "secret\"", ",", ",a", ",a=", "&a=", "'", "\"", "\\\\", "a.", "1.", "@a", "(",
+         "token='", "a-", "eyJa.", "/", "password: ", "key =", "ghp_"]
+
+
+@pytest.mark.parametrize("pattern", ["LONG_RUN", "IN_TEXT", "NAME_ENDS", "NAME", "NAME_VALUE", "NAME_OF_VALUE", "FIRST_VALUE",
+                                     "PLAIN_NAME", "LONE_ASSIGN", "ADDRESS", "NUMBER", "KNOWN_FORMATS"])
+def test_patterns_survive_words_of_many_repetitions(spark, pattern):
+    n = 100_000 if pattern in ("PLAIN_NAME", "NUMBER", "LONE_ASSIGN", "KNOWN_FORMATS", "LONG_RUN") else 5_000
+    df = spark.createDataFrame([(x * n + y,) for x in LOOPS for y in ("", "A1b2C3d4E5f6G7", " x")], "w string")
+    assert df.where(df.w.rlike(getattr(secrets, pattern))).count() >= 0
+
+
+def test_a_word_of_many_assignments_does_not_end_the_job(spark):
+    secret = key(rng(9))
+    docs = spark.createDataFrame([(0, "a=" * 100_000 + secret), (1, "x" * 3_000_000 + " token=" + secret),
+                                  (2, "a.b=" * 50_000 + " " + "=" * 100_000)], "doc_id long, text string")
+    found = {(x.doc_id, x.value) for x in secrets.candidates(docs).collect()}
+    assert {(0, secret), (1, secret)} <= found
+
+
+def test_only_the_judged_words_are_redacted(spark):
+    text = ("\tpassword: string is a type; a string of strings.\n\n token: example1 for example10 and counterexample12 "
+            "authorization: required for requirements ")
+    docs = frame(spark, [(1, text, "en", "a", 1), (2, "nothing", "en", "a", 1), (1, "other text", "en", "a", 1)])
+    found = secrets.candidates(docs).selectExpr("*", "value in ('string', 'example1') AS is_secret")
+    got = {(x.doc_id, x.text) for x in secrets.redact(docs, found).collect()}
+    assert got == {(1, text.replace("password: string", "password: [SECRET]").replace("token: example1 ", "token: [SECRET] ")),
+                   (2, "nothing"), (1, "other text")}
+
+
+def test_words_at_both_ends_and_several_in_one_word(spark):
+    a, b = "alpha1secret22", "beta2secret333"
+    for text in (f"token={a}", f" token={a};secret={b} ", f"token={a} x secret={b}", f"{a},{b}\r\n\x0b{a}"):
+        docs = spark.createDataFrame([(None, text)], "doc_id long, text string")
+        found = secrets.candidates(docs).selectExpr("*", "true AS is_secret")
+        want = text.replace(a, "[SECRET]").replace(b, "[SECRET]")
+        assert [x.text for x in secrets.redact(docs, found).collect()] == [want]
+
+
 def test_nothing_to_scan(spark):
     assert secrets.scan(frame(spark, [])).collect() == []
     assert secrets.scan(frame(spark, awkward())).where("is_secret").isEmpty()

@@ -37,7 +37,8 @@ EPSILON = 1e-9
 
 def n_words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; 0 for null."""
-    return F.coalesce(F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")), F.lit(0)).cast("long")
+    # The null goes first: the size of a null array is null or -1, by the session's settings.
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
 def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, most: int = MAX_REPEATS) -> dict:

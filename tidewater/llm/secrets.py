@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import bind_columns
-from .storage import pick, write_table
+from .storage import drop_table, pick, write_table
 
 # The characters of keys, names that credentials are assigned to,
 # and the openings of well-known key formats.
@@ -33,16 +33,20 @@ KNOWN_FORMATS = (r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox
 ASSIGN = r"(?:=>|:=|[:=])"
 LONG_RUN = rf"(?<!{KEY_CHARS})(?=[A-Za-z+/=_.@-]*[0-9]){KEY_CHARS}{{12,}}"
 #: A credential name and its assignment, wherever they stand in a word; also in escaped JSON.
-NAMED = rf"(?i:{CREDENTIALS})[\w\"'\\-]*"
+#: The loops take characters of one class and never give them back, so that no word, however long and
+#: repetitive, needs deep recursion or rescans; a name goes on for at most NAME_TAIL characters.
+NAME_TAIL = 64
+NAMED = rf"(?i:{CREDENTIALS})[\w\"'\\-]{{0,{NAME_TAIL}}}+"
 #: In a text: a run of key characters with a digit, seen once from its start; or an assignment.
 IN_TEXT = rf"{LONG_RUN}|{NAMED}\s*{ASSIGN}\s*\S{{6,}}"
 NAME_ENDS = rf"{NAMED}{ASSIGN}$"
 NAME = rf"{NAMED}$"
 #: Where the next assignment of a list, query string or object starts.
-NEXT_NAME = rf"[&,;|)}}\]]+\\*[\"']?[\w.%$-]+\\*[\"']?{ASSIGN}"
+SEPARATOR = r"[&,;|)}\]]"
+NEXT_NAME = rf"(?<!{SEPARATOR}){SEPARATOR}++\\*+[\"']?+[\w.%$-]++\\*+[\"']?+{ASSIGN}"
 OPEN = r"(?:[(\[{<]*\\*[\"'])?"
 #: Up to the closing quote; without quotes, up to a quote, the next assignment or the word's end.
-VALUE = rf"(?<=\")[^\s\"]+|(?<=')[^\s']+|(?<![\"'])[^\s\"']+?(?=\\*[\"']|$|{NEXT_NAME})"
+VALUE = rf"(?<=\")[^\s\"]++|(?<=')[^\s']++|(?<![\"'])[^\s\"']+?(?=\\*[\"']|$|{NEXT_NAME})"
 #: The value is only looked at, so that names inside it are found as well.
 NAME_VALUE = rf"{NAMED}{ASSIGN}{OPEN}(?=({VALUE}))"
 NAME_OF_VALUE = rf"{NAMED}{ASSIGN}(?={OPEN}[^\s\"']{{6,}})"
@@ -50,12 +54,15 @@ NAME_OF_VALUE = rf"{NAMED}{ASSIGN}(?={OPEN}[^\s\"']{{6,}})"
 FIRST_VALUE = (rf"^[\\\"'(\[{{<]*((?<=\")[^\s\"]+|(?<=')[^\s']+"
                rf"|(?<![\"'])\S+?(?=[\"']?{NEXT_NAME}|$))")
 #: A plain name before the value inside a run, as in a query string.
-PLAIN_NAME = rf"^(?:[A-Za-z_.-]+=+)+(?={KEY_CHARS}{{12,}})"
+PLAIN_NAME = rf"^[A-Za-z_.-][A-Za-z_.=-]*=(?={KEY_CHARS}{{12}})"
+SPACE = r"[\x20\x09-\x0D]"
 LONE_ASSIGN = rf"^{ASSIGN}$"
 ADDRESS = r"^[^@]+@[A-Za-z0-9.-]+\.[A-Za-z]+$|^\d{1,3}(?:\.\d{1,3}){3}$|://"
 NUMBER = r"^[0-9][0-9.,:+/-]*$"
 
 MIN_WORD, MAX_WORD = 4, 20
+#: Letter runs of candidates, of at most MAX_WORD characters each, that are broadcast to the corpus's words.
+MAX_BROADCAST_RUNS = 500_000
 MAX_TRAIN = 10_000
 MIN_PROBABILITY = 0.5
 TREES, DEPTH, SEED = 40, 6, 7
@@ -112,7 +119,10 @@ def _letter_runs(value: Column) -> Column:
 def with_features(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """``found`` with the columns of FEATURES."""
     values = found.select("value").distinct().withColumn("run", F.explode(_letter_runs(F.col("value"))))
-    runs = values.select("run").distinct()
+    # Written, so that their number is known: few runs go to the words, not all words to the runs.
+    runs = write_table(values.select("run").distinct(), "secret-runs")
+    if runs.count() <= MAX_BROADCAST_RUNS:
+        runs = F.broadcast(runs)
     alone = rf"(?<!\S)([a-z]{{{MIN_WORD},{MAX_WORD}}})(?=[.,;:!?]*(?:\s|$))"
     words = pick(docs, text=text).select(
         F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(alone), F.lit(1)))).alias("run"))
@@ -159,7 +169,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     secret whatever the forest says.  Null and blank texts hold no
     candidates; repeated documents and words give repeated rows.
     """
-    found = write_table(weak_labels(with_features(candidates(docs, text, doc_id), docs, text)), "secret-candidates")
+    every = write_table(candidates(docs, text, doc_id), "secret-words")
+    found = write_table(weak_labels(with_features(every, docs, text)), "secret-candidates")
+    drop_table(every)
     train = found if labelled is None else labelled
     # Equal findings teach once, so that copies of one don't fill a label's sample.
     train = train.select("label", *FEATURES).where("label is not null").distinct()
@@ -184,14 +196,31 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
 
 def redact(docs: DataFrame, findings: DataFrame, text: str = "text", doc_id: str = "doc_id",
            mark: str = REDACTED) -> DataFrame:
-    """``docs`` with every confirmed secret of a document replaced by ``mark``.
-    Columns, also clashing ones, and all rows stay."""
+    """``docs`` with every confirmed secret replaced by ``mark`` in the words
+    where it was found, and nowhere else; of two secrets in one word the longer
+    one goes first.  Columns, also clashing ones, and all rows stay."""
+    value = F.struct("word_no", "value")
     hits = (findings.where("is_secret").groupBy(F.col("doc_id").alias("__id__"), F.col("text_hash").alias("__hash__"))
-            .agg(F.collect_set("value").alias("__found__")))
+            .agg(F.collect_set(value).alias("__found__")))
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__id__")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__hash__"))
-    longest_first = F.array_sort("__found__", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a))
-                                 .when(a < b, -1).when(a > b, 1).otherwise(0))
-    clean = F.aggregate(longest_first, F.col(f"`{text}`"), lambda t, v: F.replace(t, v, F.lit(mark)))
-    return docs.join(hits, same, "left").select(*[
-        F.when(F.col("__found__").isNull(), F.col(f"`{c}`")).otherwise(clean).alias(c) if c == text
-        else F.col(f"`{c}`") for c in docs.columns])
+    # Pieces are a word and the space behind it; a piece of space alone comes first if the text starts with one.
+    pieces = F.split(F.col(f"`{text}`"), rf"(?<={SPACE})(?!{SPACE})")
+    first = F.when(F.col(f"`{text}`").rlike(rf"^{SPACE}"), 1).otherwise(0)
+    # One step per word with a finding, in order: what lies before it is taken as it is.
+    words = F.array_sort(F.array_distinct(F.transform("__found__", lambda f: f["word_no"])))
+    longest_first = F.array_sort("__found__", lambda a, b: F.length(b["value"]) - F.length(a["value"]))
+    of_word = lambda n: F.filter("__longest__", lambda f: f["word_no"] == n)
+    marked = lambda n: F.aggregate(of_word(n), F.get("__pieces__", n + F.col("__first__")),
+                                   lambda t, f: F.replace(t, f["value"], F.lit(mark)))
+    before = lambda i, n: F.slice("__pieces__", F.when(i == 0, 1).otherwise(
+        F.get("__words__", i - 1) + F.col("__first__") + 2),
+        n + F.col("__first__") - F.when(i == 0, 0).otherwise(F.get("__words__", i - 1) + F.col("__first__") + 1))
+    parts = F.transform("__words__", lambda n, i: F.concat(F.array_join(before(i, n), ""), marked(n)))
+    last = F.element_at("__words__", -1) + F.col("__first__") + 2
+    rest = F.array_join(F.slice("__pieces__", last, F.size("__pieces__")), "")
+    found = docs.join(hits, same, "left")
+    whole = found.where("__found__ is null").select(*[F.col(f"`{c}`") for c in docs.columns])
+    cut = bind_columns(found.where("__found__ is not null"), __pieces__=pieces, __first__=first, __words__=words,
+                       __longest__=longest_first)
+    return whole.unionAll(cut.select(*[
+        F.concat(F.array_join(parts, ""), rest).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]))
