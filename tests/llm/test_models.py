@@ -3,12 +3,13 @@
 import os
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import langid, quality, queries, toxicity
 
-from .helpers import awkward, frame
+from .helpers import awkward, frame, prose, rng
 
 SF, LARGE = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 has_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -74,3 +75,77 @@ def test_copies_of_a_text_teach_once_and_no_language_is_dropped(spark, monkeypat
     monkeypatch.setattr(langid, "MAX_LANGS", 1)
     with pytest.raises(ValueError):
         langid.fit(table(one + two))
+
+
+def test_language_scores_equal_a_dictionary_naive_bayes(spark):
+    """Counts in dictionaries, n-grams cut by hand, exact logarithms."""
+    import math
+    from collections import Counter
+
+    from tidewater.llm.ngrams import gram_buckets, letter_codes
+    r = rng(21)
+    texts = {"xx": "ka to mi su re la", "yy": "der und das ein ich", "zz": "los que una con por"}
+    rows = [(i, " ".join(r.choice(v.split()) for _ in range(r.randrange(1, 30))) + r.choice(["", "!", " 12 Ä"]), g)
+            for i in range(60) for g, v in texts.items()]
+    docs = spark.createDataFrame([(i * 3 + k, t, g) for k, (i, t, g) in enumerate(rows)], "doc_id long, text string, lang string")
+
+    def grams(text):
+        letters = "".join(c if c.isalpha() else " " for c in text.lower())
+        line = " " + " ".join(letters.split()) + " "
+        return [line[i: i + n] for n in langid.ORDERS for i in range(len(line) - n + 1)]
+
+    def bucket(g):
+        codes = np.array([ord(c) for c in g], np.uint32)
+        return int(gram_buckets(codes, len(g), langid.BITS)[0])
+    assert letter_codes("Ab, c1d").tobytes() == np.array([ord(c) for c in " ab c d "], np.uint32).tobytes()
+    counts = {g: Counter() for g in texts}
+    for t, g in {(t, g) for _, t, g in rows}:
+        counts[g].update(map(bucket, grams(t)))
+    size = 1 << langid.BITS
+
+    def logs(text, g):
+        total = sum(counts[g].values()) + langid.SMOOTHING * size
+        return sum(math.log((counts[g][bucket(x)] + langid.SMOOTHING) / total) for x in grams(text))
+    asked = ["ka der", "los", "to mi das ein", "su", "q", "una mi"]
+    got = langid.predict(spark.createDataFrame(list(enumerate(asked)), "i int, text string"), langid.fit(docs)).collect()
+    for row in got:
+        found = {g: logs(asked[row.i], g) for g in texts}
+        best = max(sorted(found), key=found.get)
+        posterior = 1 / sum(math.exp(v - found[best]) for v in found.values())
+        assert row.lang_pred == best and row.score == pytest.approx(posterior, abs=2e-3)
+
+
+@pytest.mark.parametrize("grades", [[0, 1, 2], [-1, 3, 4, 9, 20]])
+def test_grades_above_two_are_learned_in_order(spark, grades):
+    """Graded by how many marker words a text holds; thresholds rise, tails fall."""
+    from tidewater.llm import ordinal
+    r = rng(31)
+    docs, ratings = [], []
+    for i in range(150 * len(grades)):
+        k = i % len(grades)
+        body = prose(r, 40, 60).split()
+        for m in range(k):
+            body.insert(r.randrange(len(body)), f"marker{m}")
+        docs.append((i, " ".join(body)))
+        ratings.append((i, grades[k]))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    taught = spark.createDataFrame([x for x in ratings if x[0] % 5], "doc_id long, grade int")
+    model = ordinal.fit(table, taught, "quality")
+    assert len(model.thresholds) == len(grades) - 1 and (np.diff(model.thresholds) > 0).all()
+    got = {x.doc_id: x for x in ordinal.predict(table, model).collect()}
+    held = [(got[i], g) for i, g in ratings if i % 5 == 0]
+    assert sum(x.grade_pred == g for x, g in held) >= 0.9 * len(held)
+    for x, _ in held:
+        assert len(x.tail_probabilities) == len(grades) - 1
+        assert all(a >= b for a, b in zip(x.tail_probabilities, x.tail_probabilities[1:]))
+        p = -np.diff([1.0, *x.tail_probabilities, 0.0])
+        assert x.expected_grade == pytest.approx(float(np.dot(p, grades)), abs=1e-3)
+
+
+def test_result_columns_replace_input_columns_of_their_names(spark):
+    docs = spark.createDataFrame([(1, "a b c", 7.0, "x"), (2, "d e", 8.0, "y")],
+                                 "doc_id long, text string, expected_grade double, toxic string")
+    ratings = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, grade int")
+    got = toxicity.rate_severity(docs, ratings)
+    assert len(set(got.columns)) == len(got.columns) and "expected_grade" not in got.columns
+    assert dict(got.dtypes)["toxic"] == "boolean"

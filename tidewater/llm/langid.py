@@ -104,17 +104,32 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     return [r["lang"] for r in found], np.stack([np.frombuffer(r["row"], np.float32) for r in found])
 
 
-def score_text(text: str, matrix: np.ndarray) -> np.ndarray:
-    """Log likelihood of the whole text under each language; matrix is
-    (buckets, languages), so that one n-gram's values lie together."""
-    total = np.zeros(matrix.shape[1])
+def score_text(text: str, matrix: np.ndarray) -> tuple[np.ndarray, int]:
+    """Log likelihood of the whole text under each language, and its number of
+    n-grams; matrix is (buckets, languages), so that one n-gram's values lie
+    together."""
+    total, n = np.zeros(matrix.shape[1]), 0
     for b in _buckets(text):
         total += matrix[b].sum(axis=0, dtype=np.float64)
-    return total
+        n += len(b)
+    return total, n
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (posterior of the predicted language).
+def own_range(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per language (matrix row), the mean log probability of an n-gram of its
+    own texts, and that of one it has never seen."""
+    logs = matrix.astype(np.float64)
+    return (np.exp(logs) * logs).sum(axis=1), logs.min(axis=1)
+
+
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text",
+            with_fit: bool = False) -> DataFrame:
+    """``docs`` with lang_pred, score (posterior of the predicted language) and,
+    for ``with_fit``, fit: the mean log probability of the text's n-grams in
+    that language, from 0 (all unseen) to 1 (as in the texts it was learnt
+    from) and a little above.  The posterior compares the learnt languages
+    only and is near 1 for any longer text; the fit doesn't depend on the
+    length and is low for a text in none of them.
 
     ``und`` with score 0 for a null text, a text without letters, or when
     no language was learnt.  A tie goes to the language first in order.
@@ -122,26 +137,29 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
     they are; only the text column goes to Python.
     """
     langs, matrix = model
+    usual, unseen = own_range(matrix) if langs else (np.zeros(0), np.zeros(0))
     shared = docs.sparkSession.sparkContext.broadcast((langs, np.ascontiguousarray(matrix.T)))
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, fit double")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names, table = shared.value
         for batch in batches:
             out = []
             for value in batch:
                 if not names or not has_letter(value):
-                    out.append((UNKNOWN, 0.0))
+                    out.append((UNKNOWN, 0.0, 0.0))
                     continue
-                logs = score_text(value, table)
+                logs, n = score_text(value, table)
                 best = int(np.argmax(logs))
-                out.append((names[best], round(float(1 / np.exp(logs - logs[best]).sum()), 6)))
-            yield pd.DataFrame(out, columns=["lang_pred", "score"])
+                fit = (logs[best] / n - unseen[best]) / max(usual[best] - unseen[best], 1e-9)
+                out.append((names[best], round(float(1 / np.exp(logs - logs[best]).sum()), 6), round(float(fit), 6)))
+            yield pd.DataFrame(out, columns=["lang_pred", "score", "fit"])
 
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    found = ["lang_pred", "score", *["fit"] * with_fit]
+    keep = [c for c in docs.columns if c not in found]
     guess = "__guess__"
     return (docs.withColumn(guess, classify(F.col(f"`{text}`")))
-            .select(*[F.col(f"`{c}`") for c in keep], F.col(f"{guess}.lang_pred"), F.col(f"{guess}.score")))
+            .select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"{guess}.{c}") for c in found]))
 
 
 def held_out(doc_id: str = "doc_id"):

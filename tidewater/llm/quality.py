@@ -21,7 +21,10 @@ def grade_quality(docs: DataFrame, ratings: DataFrame, at_least: int = 1, text:
     of grade ``at_least`` or above) and selected.
 
     Null texts and texts without a word are not selected (p_good 0, the
-    lowest grade); a model that saw only one grade selects by that grade.
+    lowest grade); a model that saw only one grade selects by that grade.  Of
+    grades that are equally probable the lowest is predicted.  Input columns
+    called like a result are replaced, and expected_grade and
+    tail_probabilities are left out.
     """
     model = ordinal.fit(docs, ratings, "shapes", text, doc_id, grade, **(FIT | options))
     rated = ordinal.predict(docs, model, text=text)

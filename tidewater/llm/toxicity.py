@@ -21,7 +21,9 @@ def rate_severity(docs: DataFrame, severities: DataFrame, text: str = "text", do
 
     ``severities`` holds (doc_id, grade), 0 the harmless grade.  Null and empty
     texts carry no features and are never flagged; without two grades to
-    learn from, nothing is flagged.
+    learn from, nothing is flagged.  Of grades that are equally probable the
+    lowest is predicted.  Input columns called like a result are replaced, and
+    expected_grade, grade_pred and tail_probabilities are left out.
     """
     model = ordinal.fit(docs, severities, "words", text, doc_id, grade, **(FIT | options))
     rated = ordinal.predict(docs, model, text=text)
