@@ -100,6 +100,17 @@ def test_distrust_flows_to_those_that_link_to_blocked_hosts(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
 
 
+def test_one_blocked_host_does_not_outweigh_many_trusted_ones(spark):
+    """The weight of a seed doesn't depend on how many others there are."""
+    link = lambda *hosts: "".join(f'<a href="https://{h}/">x</a>' for h in hosts)
+    rows = [(i, f"https://t{i}.com/", link("hub.org" if i else "leaf.org")) for i in range(1000)]
+    rows += [(2000, "https://hub.org/", link("bad.net")), (2001, "https://leaf.org/", link("bad.net")),
+             (2002, "https://spam.org/", link("bad.net")), (2003, "https://bad.net/es/x", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages).where("page_id >= 2000").collect()}
+    assert got == {2000: "allow", 2001: "allow", 2002: "block", 2003: "block"}
+
+
 def test_no_pages(spark):
     assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 

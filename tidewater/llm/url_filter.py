@@ -112,11 +112,12 @@ def propagate(edges: DataFrame, seeds: DataFrame, name: str, tolerance: float =
 
 
 def _seeds(judged: DataFrame, verdict: str) -> DataFrame:
-    """Hosts with pages of that verdict by rule, each weighed by its share of such pages among its own."""
+    """Hosts with pages of that verdict by rule, each weighed by its share of
+    such pages among its own.  The weight of one host doesn't depend on how
+    many other seeds there are, so trust and distrust can be compared."""
     share = F.avg(F.when(F.col("rule_verdict") == verdict, 1.0).otherwise(0.0))
-    found = judged.where("host != ''").groupBy("host").agg(share.alias("share")).where("share > 0")
-    total = found.agg(F.sum("share")).first()[0] or 1.0
-    return found.select("host", (F.col("share") / total).alias("seed"))
+    return (judged.where("host != ''").groupBy("host").agg(share.alias("seed")).where("seed > 0")
+            .select("host", "seed"))
 
 
 def judge_urls(pages: DataFrame, rules=RULES, url: str = "url", html: str = "html", page_id: str = "page_id",
