@@ -12,25 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import decontaminate, jaccard, langid, mixing, secrets
-from tidewater.llm.storage import read, write_table
+from tidewater.llm.storage import drop_table, read, write_table
 
-#: Least posterior of the predicted language that a document keeps.
-MIN_LANG_SCORE = 0.5
+#: Least fit (langid.predict) that a document keeps: 1 is as the texts its language was learnt from, 0 nothing known.
+MIN_FIT = 0.65
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is recognised; null texts, texts without a
-    letter and doubtful ones go.  The stated languages are learned from, never
-    trusted for a document of its own."""
+    """Keep documents in one of the learnt languages; null texts, texts without
+    a letter and texts whose letter sequences are mostly unseen in the language
+    that they are nearest to go.  The stated languages are learned from, never
+    trusted for a document of its own.  Without a language to learn all go."""
     model = langid.fit(docs.where(~langid.held_out()))
-    guess = langid.predict(docs, model)
-    return guess.where((guess["lang_pred"] != langid.UNKNOWN) & (guess["score"] >= MIN_LANG_SCORE)).select(docs.columns)
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
+    guess = langid.predict(plain, model, with_fit=True)
+    return guess.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("fit") >= MIN_FIT)).select("row.*")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id stays
     (null ids last, ties by a hash of the text).  Documents without words are
-    linked with nothing and stay; of rows with equal id and text one stays."""
+    linked with nothing and stay; of rows with equal id and text the first by
+    its other columns, in their order, stays (columns of maps aside)."""
     found = jaccard.jaccard_groups(docs)
     no_id, own_id = F.col("doc_id").isNull().alias("__no_id__"), F.coalesce("doc_id", F.lit(0)).alias("__id__")
     first = F.min(F.struct(no_id, own_id, F.col("text_hash").alias("__hash__")))
@@ -38,7 +41,10 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     kept = found.where("`group` is not null").groupBy("group").agg(first.alias("rep")).select("rep.*")
     key = ["__no_id__", "__id__", "__hash__"]
     keyed = docs.select(*docs.columns, no_id, own_id, F.xxhash64("text").alias("__hash__"))
-    return keyed.join(kept.unionByName(alone), key, "left_semi").dropDuplicates(key).select(docs.columns)
+    order = [c for c, kind in docs.dtypes if c != "text" and "map<" not in kind and "variant" not in kind]
+    first_row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(*[F.col(f"`{c}`") for c in order]))
+    return (keyed.join(kept.unionByName(alone), key, "left_semi").groupBy(*key).agg(first_row.alias("row"))
+            .select("row.*"))
 
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +83,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each one's table is dropped once the next
+    one's is written."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = write_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, write_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_table(before)
     return docs
