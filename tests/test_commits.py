@@ -75,3 +75,13 @@ def test_a_missing_required_column_is_an_error_before_anything_is_visible(spark,
     with pytest.raises(ValueError):
         commits.commit(spark, root, "r0", {"a": spark.createDataFrame([("x",)], "name string")}, schemas=SCHEMAS)
     assert commits.latest(spark, root) == -1
+
+
+def test_vacuum_deletes_what_no_manifest_names(spark, tmp_path):
+    root = str(tmp_path)
+    assert commits.vacuum(spark, root) == []
+    commits.commit(spark, root, "r0", frames(spark, 0), schemas=SCHEMAS)
+    lost = commits.stage(frames(spark, 1)["a"], root, "a", A)
+    assert commits.vacuum(spark, root) == []
+    assert commits.vacuum(spark, root, older_than_seconds=-60) == [lost]
+    assert rows(spark, root, "a") == [(0, "name 0")] and rows(spark, root, "b") == [(0,)]

@@ -20,6 +20,7 @@ it again returns its version and writes nothing.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,3 +123,22 @@ def commit(spark: SparkSession, root: str, run_id: str, appends: dict[str, DataF
             tables[name] = {"folder": stage(df, root, name, schemas.get(name)), "replace": replace}
     publish(spark, root, base + 1, run_id, tables)
     return base + 1
+
+
+def vacuum(spark: SparkSession, root: str, older_than_seconds: float = 7 * 86400) -> list[str]:
+    """Delete staged folders that no manifest names, left by runs that died or
+    lost a conflict; returns their names.  Folders younger than
+    ``older_than_seconds`` may belong to a run that is still at work."""
+    data = f"{root.rstrip('/')}/data"
+    fs = _fs(spark, data)
+    if not fs.exists(_path(spark, data)):
+        return []
+    named = {c["folder"] for m in history(spark, root) for c in m["tables"].values()}
+    before, gone = (time.time() - older_than_seconds) * 1000, []
+    for table in fs.listStatus(_path(spark, data)):
+        for folder in fs.listStatus(table.getPath()):
+            name = f"data/{table.getPath().getName()}/{folder.getPath().getName()}"
+            if name not in named and folder.getModificationTime() <= before:
+                fs.delete(folder.getPath(), True)
+                gone.append(name)
+    return sorted(gone)
