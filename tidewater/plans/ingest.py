@@ -12,13 +12,13 @@ joins.  The cheap dedupe and the join to known URLs run before any text work.
 
 Each stage tags its rows with an ``outcome`` and is written once: tables,
 dead-letter rows and counters are filters and counts of these few tables, so
-no branch is computed twice.
+no branch is computed twice, and none that isn't asked for.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
@@ -119,17 +119,6 @@ def run_stats(entries: DataFrame, articles: DataFrame, companies: DataFrame, peo
         F.lit(mode).cast("string").alias("mode"), *win, *counters)
 
 
-@dataclass
-class RunOutput:
-    articles: DataFrame
-    companies: DataFrame
-    people: DataFrame
-    article_people: DataFrame
-    failures: DataFrame
-    stats: DataFrame
-    events: DataFrame
-
-
 NEW, UPDATED, SKIPPED = "new", "updated", "skipped"
 INSERTED, REJECTED, KNOWN, FAILED = "inserted", "rejected", "known", "failed"
 WINDOW = ["window_start", "window_end"]
@@ -166,6 +155,101 @@ def entry_outcomes(entries: DataFrame, known_urls: DataFrame, limit: int | None
                        "ingest_outcomes"), dropped
 
 
+@dataclass
+class RunOutput:
+    """What one run adds to each table, its counters and events.  Entities are
+    resolved when a table that needs them is first asked for, once."""
+    entry_outcomes: DataFrame
+    dropped: DataFrame | None
+    article_outcomes: DataFrame
+    existing_companies: DataFrame
+    existing_people: DataFrame
+    existing_links: DataFrame
+    run_id: Column
+    now: Column
+    limits: dict[str, dict[str, int]]
+    mode: str | None
+
+    def _inserted(self, df: DataFrame, schema) -> DataFrame:
+        return tables.align_to_schema(df.filter(F.col("outcome") == INSERTED), schema)
+
+    def _tagged(self, found: DataFrame, schema, table: str) -> DataFrame:
+        stamped = found.withColumns({"created_at": self.now, "updated_at": self.now})
+        ok = tables.required_ok(stamped, schema, self.limits.get(table))
+        return materialize(stamped.withColumn("outcome", F.when(~F.col("is_new"), KNOWN).when(ok, INSERTED)
+                                              .otherwise(REJECTED)), f"ingest_{table}")
+
+    @cached_property
+    def _provenance(self) -> DataFrame:
+        """Inserted articles with their entities and position."""
+        return self.article_outcomes.filter(F.col("outcome") == INSERTED).select(
+            "article_id", F.struct("window_start", "kw_pos", "entry_pos").alias("article_pos"),
+            F.col("url").alias("article_url"), F.col("title").alias("article_title"), *WINDOW,
+            F.col("_x.companies").alias("companies"), F.col("_x.people").alias("people"))
+
+    @cached_property
+    def _mentions(self) -> DataFrame:
+        return entities.explode_people(self._provenance, keep=WINDOW)
+
+    @cached_property
+    def company_outcomes(self) -> DataFrame:
+        found = dedupe.dedupe_companies(entities.explode_companies(self._provenance, keep=WINDOW))
+        return self._tagged(resolve.resolve_companies(found, self.existing_companies), COMPANIES, "companies")
+
+    @cached_property
+    def person_outcomes(self) -> DataFrame:
+        found = resolve.resolve_people(dedupe.dedupe_people(self._mentions), self.existing_people)
+        none = {c: F.lit(None).cast("string") for c in ("email_if_public", "linkedin_if_public")}
+        return self._tagged(found.withColumns(none), PEOPLE, "people")
+
+    @cached_property
+    def link_outcomes(self) -> DataFrame:
+        ids_of = self.person_outcomes.filter(F.col("outcome") != REJECTED).select("person_key", "person_id")
+        return materialize(resolve.with_person_ids(dedupe.dedupe_relations(
+            entities.links_from_people(self._mentions, keep=WINDOW)), ids_of), "ingest_links")
+
+    @cached_property
+    def articles(self) -> DataFrame:
+        return self._inserted(self.article_outcomes, ARTICLES)
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return self._inserted(self.company_outcomes, COMPANIES)
+
+    @cached_property
+    def people(self) -> DataFrame:
+        return self._inserted(self.person_outcomes, PEOPLE)
+
+    @cached_property
+    def article_people(self) -> DataFrame:
+        linked = resolve.first_link_per_pair(self.link_outcomes.filter(F.col("outcome") == resolve.LINKED))
+        rows = linked.select("article_id", "person_id", "role_in_article", "relation_description",
+                             self.now.alias("created_at"))
+        return tables.merge_insert_only(rows, self.existing_links, ["article_id", "person_id"])
+
+    @cached_property
+    def failures(self) -> DataFrame:
+        common = self.run_id, F.col("window_start"), F.col("window_end"), self.now
+        of_article = self.article_outcomes.withColumn("article_url", F.col("url")).withColumn("article_title", F.col("title"))
+        o = F.col("outcome")
+        return fl.union_failures([
+            fl.extract_failures(of_article.filter(o == FAILED), *common),
+            fl.insert_failures(of_article.filter(o == REJECTED), "article_insert", "url", *common),
+            fl.insert_failures(self.company_outcomes.filter(o == REJECTED), "company_insert", "name", *common),
+            fl.insert_failures(self.person_outcomes.filter(o == REJECTED), "person_insert", "full_name", *common),
+            fl.link_failures(self.link_outcomes.filter(o == resolve.MISSING), *common),
+        ])
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return run_stats(self.entry_outcomes, self.article_outcomes, self.company_outcomes, self.person_outcomes,
+                         self.dropped, self.mode)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return inserted_events(self.article_outcomes.filter(F.col("outcome") == INSERTED), self.run_id, self.now)
+
+
 def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing_companies: DataFrame,
            existing_people: DataFrame, existing_links: DataFrame, run_id: str, now: Column,
            answers: DataFrame | None = None, limit: int | None = None,
@@ -215,54 +299,11 @@ def ingest(entries: DataFrame, pages: DataFrame, known_urls: DataFrame, existing
     else:
         fetched = fetched.withColumn("_x", F.col("_heur"))
 
-    # Page text and extraction are the expensive part; each table below is
-    # written once under spark.checkpoint.dir and read by all that follow.
+    # Page text and extraction are the expensive part: written once under
+    # spark.checkpoint.dir and read by all that follow.
     rows = article_rows(fetched, "_x", now, keep=[*WINDOW, "kw_pos", "entry_pos", "error_type", "error_message", "_x"])
     rows = materialize(rows.withColumn("outcome", F.when(F.col("error_type").isNotNull(), FAILED).when(
         tables.required_ok(rows, ARTICLES, limits.get("articles")), INSERTED).otherwise(REJECTED)), "ingest_rows")
 
-    # entities of inserted articles, with provenance and positions
-    prov = rows.filter(F.col("outcome") == INSERTED).select(
-        "article_id", F.struct("window_start", "kw_pos", "entry_pos").alias("article_pos"),
-        F.col("url").alias("article_url"), F.col("title").alias("article_title"), *WINDOW,
-        F.col("_x.companies").alias("companies"), F.col("_x.people").alias("people"))
-
-    def resolved(found: DataFrame, schema, table: str) -> DataFrame:
-        stamped = found.withColumns({"created_at": now, "updated_at": now})
-        ok = tables.required_ok(stamped, schema, limits.get(table))
-        return materialize(stamped.withColumn("outcome", F.when(~F.col("is_new"), KNOWN).when(ok, INSERTED)
-                                              .otherwise(REJECTED)), f"ingest_{table}")
-
-    comps = resolved(resolve.resolve_companies(dedupe.dedupe_companies(entities.explode_companies(prov, keep=WINDOW)),
-                                               existing_companies), COMPANIES, "companies")
-    mentions = entities.explode_people(prov, keep=WINDOW)
-    ppl = resolved(resolve.resolve_people(dedupe.dedupe_people(mentions), existing_people)
-                   .withColumns({c: F.lit(None).cast("string") for c in ("email_if_public", "linkedin_if_public")}),
-                   PEOPLE, "people")
-
-    ids_of = ppl.filter(F.col("outcome") != REJECTED).select("person_key", "person_id")
-    links = materialize(resolve.with_person_ids(dedupe.dedupe_relations(
-        entities.links_from_people(mentions, keep=WINDOW)), ids_of), "ingest_links")
-    link_rows = resolve.first_link_per_pair(links.filter(F.col("outcome") == resolve.LINKED)).select(
-        "article_id", "person_id", "role_in_article", "relation_description", now.alias("created_at"))
-    new_links = tables.merge_insert_only(link_rows, existing_links, ["article_id", "person_id"])
-
-    ws, we = F.col("window_start"), F.col("window_end")
-    of_article = rows.withColumn("article_url", F.col("url")).withColumn("article_title", F.col("title"))
-    rejected = F.col("outcome") == REJECTED
-    fails = fl.union_failures([
-        fl.extract_failures(of_article.filter(F.col("outcome") == FAILED), rid, ws, we, now),
-        fl.insert_failures(of_article.filter(rejected), "article_insert", "url", rid, ws, we, now),
-        fl.insert_failures(comps.filter(rejected), "company_insert", "name", rid, ws, we, now),
-        fl.insert_failures(ppl.filter(rejected), "person_insert", "full_name", rid, ws, we, now),
-        fl.link_failures(links.filter(F.col("outcome") == resolve.MISSING), rid, ws, we, now),
-    ])
-    inserted = F.col("outcome") == INSERTED
-    return RunOutput(
-        articles=tables.align_to_schema(rows.filter(inserted), ARTICLES),
-        companies=tables.align_to_schema(comps.filter(inserted), COMPANIES),
-        people=tables.align_to_schema(ppl.filter(inserted), PEOPLE),
-        article_people=new_links,
-        failures=fails,
-        stats=run_stats(tagged, rows, comps, ppl, dropped if limit is not None else None, mode),
-        events=inserted_events(rows.filter(inserted), rid, now))
+    return RunOutput(tagged, dropped if limit is not None else None, rows, existing_companies, existing_people,
+                     existing_links, rid, now, limits, mode)
