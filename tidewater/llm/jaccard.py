@@ -42,7 +42,7 @@ PERCENT = 75
 SHARE = 0.4
 SMALL = 128
 #: Shingles that one task sorts at a time in steps 2 and 3, and a block's in step 4.
-BUCKET_ITEMS = 4_000_000
+BUCKET_ITEMS = 2_000_000
 BLOCK_ITEMS = 1_000_000
 #: A shingle of at least this share of a batch's texts (and this many) may be hot; most hot shingles that are kept in mind.
 HOT_SHARE = 0.001
