@@ -72,11 +72,14 @@ def stream_to_table(rows: DataFrame, target: str, checkpoint: str) -> None:
 
 def news_api_articles(responses: DataFrame, body_col: str, *pos_cols: str) -> DataFrame:
     """Responses with status 'ok', exploded to one row per article with
-    the response's positions and the article's place kept."""
-    r = responses.select(*pos_cols, F.from_json(F.col(body_col), NEWS_API_SCHEMA).alias("r"))
+    the response's positions (the last one as ``resp_pos``) and the article's
+    place kept."""
+    names = [*pos_cols[:-1], "resp_pos"]
+    r = responses.select(*pos_cols[:-1], F.col(pos_cols[-1]).alias("resp_pos"),
+                         F.from_json(F.col(body_col), NEWS_API_SCHEMA).alias("r"))
     r = r.filter(F.col("r.status") == OK_STATUS)
-    e = r.select(*pos_cols, F.posexplode("r.articles").alias("art_pos", "a"))
-    return e.select(*pos_cols, "art_pos", "a.title", "a.url", "a.description", "a.content", "a.publishedAt",
+    e = r.select(*names, F.posexplode("r.articles").alias("art_pos", "a"))
+    return e.select(*names, "art_pos", "a.title", "a.url", "a.description", "a.content", "a.publishedAt",
                     "a.author")
 
 
