@@ -115,3 +115,17 @@ def test_a_very_long_page_with_nested_noise(spark):
 def test_all_paragraphs(spark):
     ps = "".join(f"<p>paragraph number {i:02d} with enough characters to pass</p>" for i in range(40))
     assert "number 39" in one(spark, text.page_main_text("x", None), f"<body>{ps}</body>")
+
+
+def test_pages_reach_python_in_small_batches(spark):
+    """Row functions: a hundred rows at a time, where an Arrow batch holds ten thousand pages."""
+    pages = spark.createDataFrame([("<p>x</p>",)], "html string").repartition(2)
+    plan = pages.select(text.page_main_text("html"), text.html_unescape("html"))._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+
+
+def test_unescape_of_nulls_and_all_planes(spark):
+    import html
+    rows = [None, "", "a & b", "&#128512; \U0001f600 &amp;amp; &nosuch; &#xD800; &eacute", "\u0001&lt;\u0003é€"]
+    got = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, s string").select("i", text.html_unescape("s").alias("t"))
+    assert [r.t for r in sorted(got.collect())] == [r if r is None else html.unescape(r) for r in rows]
