@@ -84,6 +84,27 @@ def test_first_wins_keeps_one_of_equal_rows(spark):
     assert sorted(r.k for r in rows) == ["a", "b"]
 
 
+def test_links_are_deduped_in_one_exchange_at_most(spark):
+    """Links that lie together by article stay there; others lose all but one a key before the exchange."""
+    cols = "article_id long, person_key string, article_pos long, elem_pos int, note string"
+    rows = [(a, f"p{e % 3}" if e % 4 else None, a % 5, e if a % 2 else None, f"{a} {e}") for a in range(40) for e in range(9)]
+    links = spark.createDataFrame(rows + [(None, "p0", 1, 1, "none")] + rows[:50], cols).repartition(4)
+    key = F.when(F.col("person_key").isNotNull() & F.col("article_id").isNotNull(), F.struct("article_id", "person_key"))
+    want = dedupe.first_wins(links, key, ["article_pos", "elem_pos"], "_k").drop("_k")
+    assert sorted(dedupe.dedupe_relations(links).collect(), key=str) == sorted(want.collect(), key=str)
+    plan = _plan(dedupe.dedupe_relations(links))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.rindex("WindowGroupLimit") > plan.index("hashpartitioning")
+    assert _plan(dedupe.dedupe_relations(links.repartition(4, "article_id"))).count("Exchange hashpartitioning") == 1
+
+
+def test_both_merges_read_links_that_were_written_once(spark, monkeypatch):
+    """K3 finds the run's links once: neither merge reads the line items again."""
+    plans, append = [], catalog.sinks.append
+    monkeypatch.setattr(catalog.sinks, "append", lambda df, *a: (plans.append(_plan(df)), append(df, *a)))
+    catalog.REGISTRY["K3_insert_only_merge"](spark, SF)
+    assert len(plans) == 3 and not any("lineitem" in p for p in plans)
+
+
 def test_first_n_per_window_limits_before_shuffle(spark):
     # one hot window holds a third of the rows; the others hold one row each
     df = _hot(spark).withColumn("window_start", F.when(F.col("row_id") % 3 == 0, F.lit(-1)).otherwise(F.col("row_id")))
