@@ -5,10 +5,12 @@ checked for map-side work before the shuffle (partial aggregation, partial
 window limit) and for broadcasts of size-proven dimensions only.
 """
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater import catalog
 from tidewater.operators import dedupe
+from tidewater.plans import ingest
 
 SF = "/root/testdata/sf0.001"
 
@@ -128,3 +130,12 @@ def test_dimension_joins_are_broadcast(spark):
     assert "BroadcastHashJoin" in plan
     # the orders x customer join itself is left to AQE (it grows with the data)
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
+@pytest.mark.parametrize("name", ["I6_idempotent_replay"])
+def test_page_text_of_a_run_reaches_python_in_small_batches(spark, monkeypatch, name):
+    """A worker's memory holds a hundred pages at a time, not an Arrow batch of ten thousand."""
+    plans, write = {}, ingest.materialize
+    monkeypatch.setattr(ingest, "materialize", lambda df, to: (plans.setdefault(to, _plan(df)), write(df, to))[1])
+    catalog.REGISTRY[name](spark, SF)
+    assert "BatchEvalPython" in plans["ingest_rows"] and "ArrowEvalPython" not in plans["ingest_rows"]
