@@ -132,7 +132,7 @@ def test_dimension_joins_are_broadcast(spark):
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
 
 
-@pytest.mark.parametrize("name", ["I6_idempotent_replay"])
+@pytest.mark.parametrize("name", ["I6_idempotent_replay", "E1_ingest_run"])
 def test_page_text_of_a_run_reaches_python_in_small_batches(spark, monkeypatch, name):
     """A worker's memory holds a hundred pages at a time, not an Arrow batch of ten thousand."""
     plans, write = {}, ingest.materialize
